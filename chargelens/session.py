@@ -7,6 +7,7 @@ def local_session(cores="*", shuffle_partitions=8, **settings):
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("chargelens")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")

@@ -202,7 +202,7 @@ def _orphans():
 
 def _scaled():
     stats = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in NUMERIC)
-    columns = ", ".join(f"round((f.{c} - s.{c}_m) / CASE WHEN s.{c}_s = 0 THEN 1 ELSE s.{c}_s END, 5) AS {c}_z"
+    columns = ", ".join(f"round((f.{c} - s.{c}_m) / CASE WHEN s.{c}_s = 0 THEN 1 ELSE s.{c}_s END, 5) + 0.0::DOUBLE AS {c}_z"  # + 0.0: no minus zero
                         for c in NUMERIC)
     return _q(f"SELECT f.transaction_id, {columns} FROM features f CROSS JOIN "
               f"(SELECT {stats} FROM split WHERE part = 'train') s", _FEATURES)
