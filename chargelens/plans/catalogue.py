@@ -3,11 +3,15 @@
 from pyspark.sql import functions as F
 
 from ..functions.expressions import risk_bucket
-from ..operators import analyst, cost, evaluation, explain, features, ordered, profile, quality, scoring
+from ..operators import (analyst, cost, evaluation, explain, features, models, ordered, profile, quality,
+                         scoring)
 from ..schemas import FEATURES_NUM, ORDER, TEST_FRACTION
+from ..sources import artifacts
 from ..sources import driver_views as views
 from ..sources import tables as sources
-from . import suite
+from ..storage import new_path
+from . import explaining, suite, training
+from . import scoring as job
 
 HOUR = 3600
 
@@ -220,5 +224,118 @@ def relational_queries():
     }
 
 
+
+# ------------------------------------------------------- queries that fit models
+
+QUERY_TREES = 30    # the library default is 300
+_fitted = {}
+
+
+def _once(kind, spark, d, build):
+    """Fit once per session and folder; later queries use the fitted run, as jobs use a saved model."""
+    key = (kind, spark.sparkContext.applicationId, d)
+    if key not in _fitted:
+        _fitted[key] = build()
+    return _fitted[key]
+
+
+def _card_run(spark, d):
+    return _once("cards", spark, d, lambda: training.train_cards(
+        views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
+        customer_rows=views.size(spark, d, "customer"), trees=QUERY_TREES))
+
+
+def _wide_run(spark, d):
+    return _once("wide", spark, d, lambda: training.train_wide(
+        views.wide(spark, d), ["vec_id"], "class", "amount", trees=QUERY_TREES))
+
+
+def _artifact(spark, d):
+    """A saved and reopened model, as the scoring job finds it."""
+    def build():
+        folder = new_path(spark, "model")
+        artifacts.save(training.to_artifact(_card_run(spark, d)), folder, spark)
+        return folder
+    return _once("artifact", spark, d, build)
+
+
+def _explanation(spark, d):
+    return _once("explanation", spark, d, lambda: explaining.explain_run(_card_run(spark, d)))
+
+
+def _train_logistic(spark, d):
+    run = _card_run(spark, d)
+    rows = [(n, float(c)) for n, c in zip(run.feature_names, run.logistic.coefficients)]
+    rows.append(("intercept", float(run.logistic.intercept)))
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+def _train_forest(spark, d):
+    nodes = explain.forest_nodes(_card_run(spark, d).forest, spark)
+    return nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("nodes"),
+                                     F.count_if(F.col("left") < 0).alias("leaves"))
+
+
+def _predict_proba(spark, d):
+    return _card_run(spark, d).scored.select("transaction_id", *training.MODELS)
+
+
+def _scored(spark, d):
+    return job.score(spark, views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
+                     _artifact(spark, d), customer_rows=views.size(spark, d, "customer"))
+
+
+def _gini(spark, d):
+    run = _card_run(spark, d)
+    return models.gini_importance(run.forest, run.feature_names, spark)
+
+
+def _explain_sample(spark, d):
+    _, test, _ = _split(_txns(spark, d).select(*ORDER, "amount", "is_fraud"))
+    order = (F.col("transaction_id") % 1000003) * 7919 % 1000003
+    return explain.keep_all_positive(test, order=order)
+
+
+def _breakdown(spark, d):
+    leaves = _explanation(spark, d).leaves
+    return explain.decision_breakdown(explaining.explain_top_fraud(_card_run(spark, d), leaves))
+
+
+def _top_drivers(spark, d):
+    leaves = _explanation(spark, d).leaves
+    return explain.top_drivers(explaining.explain_top_fraud(_card_run(spark, d), leaves))
+
+
+def _contribution_points(spark, d):
+    e = _explanation(spark, d)
+    return explain.contribution_points(e.contributions, e.values, e.ranking)
+
+
+def model_queries():
+    return {
+        "train_logistic": _train_logistic,
+        "train_forest": _train_forest,
+        "predict_proba": _predict_proba,
+        "model_comparison": lambda s, d: training.model_comparison(_card_run(s, d)),
+        "model_pr_curves": lambda s, d: training.pr_curves(_card_run(s, d)),
+        "model_threshold_sweep": lambda s, d: _card_run(s, d).sweep(),
+        "metrics_document": lambda s, d: training.metrics_document(_card_run(s, d)),
+        "train_wide": lambda s, d: training.model_comparison(_wide_run(s, d)),
+        "wide_threshold_sweep": lambda s, d: _wide_run(s, d).sweep(),
+        "score_transactions": lambda s, d: scoring.flag_ranking(_scored(s, d)),
+        "score_summary": lambda s, d: scoring.flag_summary(_scored(s, d)),
+        "gini_importance": _gini,
+        "top_importances": lambda s, d: models.top(_gini(s, d), 12),
+        "explain_sample": _explain_sample,
+        "tree_contributions": lambda s, d: _explanation(s, d).contributions,
+        "mean_abs_contribution": lambda s, d: _explanation(s, d).ranking,
+        "contribution_points": _contribution_points,
+        "decision_breakdown": _breakdown,
+        "top_drivers": _top_drivers,
+        "importance_overlap": lambda s, d: explain.importance_overlap(
+            _explanation(s, d).ranking, _gini(s, d)),
+    }
+
+
 def queries():
-    return relational_queries()
+    return relational_queries() | model_queries()

@@ -75,7 +75,7 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
     weights = features.class_weights(early, layout.label).collect()     # one row per class
     train_rows = sum(w["n"] for w in weights)
     inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical)
-    ready = inputs.transform(early).select(
+    ready = inputs.transform(_spread(early, layout.order)).select(
         "features", F.col(layout.label).cast("double").alias("label"),
         features.weight_column(weights, layout.label).alias("weight"))
     logistic = models.fit_logistic(ready, train_rows, "label")
@@ -87,6 +87,19 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
                    table.count(), train_rows)
 
 
+def _spread(df, order):
+    """Rows in at least one partition per core.
+
+    A small table comes back from disk in few pieces, which would leave the solvers few tasks. A
+    large one has more pieces than cores and is not moved. Rows are ordered inside each partition
+    so that the forest draws the same sample when a partition is computed again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *order).sortWithinPartitions(*order)
+
+
 def train_cards(txns, customers, customer_rows=None, **settings):
     return train(features.build_features(txns, customers, customer_rows=customer_rows), CARD, **settings)
 

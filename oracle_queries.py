@@ -350,4 +350,11 @@ SELECT transaction_id, is_fraud FROM (
          row_number() OVER (ORDER BY (transaction_id % 1000003) * 7919 % 1000003, transaction_id) AS place
   FROM transactions WHERE is_fraud = 0) AS legit
 WHERE place <= greatest(0, 2000 - (SELECT count(*) FROM transactions WHERE is_fraud = 1))"""),
+    "explain_sample": _q("""
+SELECT "timestamp", transaction_id, amount, is_fraud FROM split WHERE part = 'test' AND is_fraud = 1
+UNION ALL
+SELECT "timestamp", transaction_id, amount, is_fraud FROM (
+  SELECT *, row_number() OVER (ORDER BY (transaction_id % 1000003) * 7919 % 1000003, transaction_id) AS nth
+  FROM split WHERE part = 'test' AND is_fraud = 0) AS legit
+WHERE nth <= greatest(0, 2000 - (SELECT count(*) FROM split WHERE part = 'test' AND is_fraud = 1))""", _FEATURES),
 }
