@@ -74,12 +74,13 @@ def load_counts(spark, tables):
 def scan_wide(spark, path, order_key, label, fmt="parquet"):
     """The wide numeric table and a text saying where it came from.
 
-    A Spark table has no row order of its own, so the time order needs a key column.
+    A Spark table has no row order of its own, so the time order needs a key column, in CSV a whole
+    number. The key and the label are integers, all else is double.
     """
     if fmt == "csv":
         header = spark.read.option("header", True).csv(path).columns
-        schema = T.StructType([T.StructField(
-            n, T.IntegerType() if n == label else T.DoubleType()) for n in header])
+        kinds = {order_key: T.LongType(), label: T.IntegerType()}
+        schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in header])
         df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
@@ -90,7 +91,8 @@ def scan_wide(spark, path, order_key, label, fmt="parquet"):
 
 def write_csv(df, path):
     """CSV with a header; the part files follow the order of `df`."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    (df.write.mode("overwrite").option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 
 def write_json(df, path):
