@@ -83,8 +83,8 @@ def pr_curve(scored, label="is_fraud", score="score", places=None):
         F.col("score").alias("threshold"),
         ratio_or_zero(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         ratio_or_zero(F.col("tp"), F.col("tp_all")).alias("recall"))
-    end = scored.sparkSession.createDataFrame([(None, 1.0, 0.0)],
-                                              "threshold double, precision double, recall double")
+    end = scored.sparkSession.range(0, 1, numPartitions=1).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(end)
 
 

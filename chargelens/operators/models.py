@@ -13,16 +13,16 @@ from .features import fit_scaling
 LOGISTIC, FOREST = "logistic_regression", "random_forest"
 
 
-class MissingInputs(ValueError):
-    pass
+def require_inputs(df, columns):
+    """Make the job fail by name on a null model input, as it is for an unknown customer.
 
+    The check is part of the row expressions, so it takes no pass of its own.
+    """
+    def present(column):
+        message = F.lit(f"null model input {column}; see the orphan report")
+        return F.coalesce(F.col(column), F.raise_error(message).cast(df.schema[column].dataType))
 
-def check_inputs(df, columns):
-    """Fail early and by name when a model input is null, as it is for an unknown customer."""
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
-    bad = {c: n for c, n in nulls.items() if n}
-    if bad:
-        raise MissingInputs(f"null model inputs (rows by column): {bad}; see the orphan report")
+    return df.withColumns({c: present(c) for c in columns})
 
 
 def fit_inputs(train, numeric, categorical=None):

@@ -9,8 +9,7 @@ from ..sources import artifacts, tables
 
 def apply_model(frame, artifact):
     """Add fraud_score to 4 places and the 0/1 flag to a feature frame."""
-    inputs = [*artifact.features_num, *artifact.features_cat]
-    models.check_inputs(frame, inputs)
+    frame = models.require_inputs(frame, [*artifact.features_num, *artifact.features_cat])
     scored = (artifact.pipeline.transform(frame)
               .withColumn("fraud_score", F.round(F.col("_forest_score"), 4)).select(*frame.columns, "fraud_score"))
     return scoring.flag(scored, artifact.threshold)

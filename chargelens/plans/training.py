@@ -69,13 +69,13 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
     The feature table and the scored test rows are each written once; every pass of the solvers
     and every metric reads those.
     """
-    models.check_inputs(table, layout.columns)
-    table = materialize(table.select(*layout.columns))
+    table = _spread(materialize(models.require_inputs(table.select(*layout.columns), layout.columns)),
+                    layout.order)
     early, late, split_at = ordered.temporal_split(table, test_fraction, layout.order)
     weights = features.class_weights(early, layout.label).collect()     # one row per class
     train_rows = sum(w["n"] for w in weights)
     inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical)
-    ready = inputs.transform(_spread(early, layout.order)).select(
+    ready = inputs.transform(early).select(
         "features", F.col(layout.label).cast("double").alias("label"),
         features.weight_column(weights, layout.label).alias("weight"))
     logistic = models.fit_logistic(ready, train_rows, "label")
@@ -87,17 +87,17 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
                    table.count(), train_rows)
 
 
-def _spread(df, order):
-    """Rows in at least one partition per core.
+def _spread(table, order):
+    """A table that comes back from disk in at least one piece per core.
 
-    A small table comes back from disk in few pieces, which would leave the solvers few tasks. A
-    large one has more pieces than cores and is not moved. Rows are ordered inside each partition
-    so that the forest draws the same sample when a partition is computed again.
+    A small one would otherwise leave the solvers few tasks, so it is written again in more files.
+    A large one has more pieces than cores and stays as it is. The rows of a file are in a fixed
+    order, so the forest draws the same sample when a partition is computed again.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *order).sortWithinPartitions(*order)
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return materialize(table.repartition(cores, *order).sortWithinPartitions(*order))
 
 
 def train_cards(txns, customers, customer_rows=None, **settings):

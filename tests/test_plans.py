@@ -11,7 +11,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - {"load_counts"}))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_no_cross_join(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
