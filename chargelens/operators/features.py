@@ -8,6 +8,8 @@ from ..schemas import DAYS_PER_MONTH, NO_PREV, ORDER, RAPID_REPEAT_SECONDS
 from .ordered import number_rows, with_previous
 from .skew import HOT_ROWS, join_dimension
 
+MAX_CATEGORIES = 1_000
+
 
 def seconds_since_prev(txns, hot_rows=HOT_ROWS):
     """Add whole seconds since the customer's previous transaction, NO_PREV for the first."""
@@ -82,9 +84,12 @@ def scale_features(df, scaling):
     return df.withColumns({f"{c}_z": scaled(c, m, s) for c, (m, s) in scaling.items()})
 
 
-def fit_categories(train, column):
-    """Distinct values, alphabetical; the domain of a categorical model input."""
-    return [r[0] for r in train.select(column).distinct().orderBy(column).collect()]
+def fit_categories(train, column, most=MAX_CATEGORIES):
+    """Distinct values, alphabetical: the domain of a categorical model input."""
+    values = [r[0] for r in train.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values, too many for one slot each")
+    return values
 
 
 def one_hot(df, column, values):

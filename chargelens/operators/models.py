@@ -2,13 +2,13 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ..schemas import FOREST_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, SEED
-from .features import fit_scaling
+from .features import fit_categories, fit_scaling
 
 LOGISTIC, FOREST = "logistic_regression", "random_forest"
 
@@ -36,11 +36,11 @@ def fit_inputs(train, numeric, categorical=None):
     stages = [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")]
     inputs, names = [f"{c}_z" for c in numeric], list(numeric)
     if categorical:
-        indexer = StringIndexer(inputCol=categorical, outputCol="_category_index",
-                                stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
-        indexed = indexer.transform(train)
-        stages += [indexer, OneHotEncoder(inputCol="_category_index", outputCol="_category_slots")
-                   .fit(indexed)]
+        indexer = StringIndexerModel.from_labels(
+            fit_categories(train, categorical), inputCol=categorical, outputCol="_category_index",
+            handleInvalid="keep")
+        encoder = OneHotEncoder(inputCol="_category_index", outputCol="_category_slots")
+        stages += [indexer, encoder.fit(indexer.transform(train))]    # slots known from the labels
         inputs.append("_category_slots")
         names += [f"{categorical}_{v}" for v in indexer.labels]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))

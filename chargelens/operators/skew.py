@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000        # a key with fewer rows is never worth special care
 MAX_HOT_KEYS = 10_000       # any key outside the heaviest 10,000 holds under 1/10,000 of the rows
 ROWS_PER_PIECE = 1_000_000
-MAX_PIECES = 4_096
+MAX_PIECES = 50_000
+SAMPLED_ROWS = 1_000        # rows of a just-hot key that the search looks at
 BROADCAST_ROWS = 1_000_000  # rows of a dimension, a few narrow columns wide
 
 
 def hot_keys(df, key, hot_rows=HOT_ROWS):
-    """{key: rows} of the heaviest keys with at least `hot_rows` rows, at most MAX_HOT_KEYS.
+    """{key: estimated rows} of the keys with about `hot_rows` rows or more, at most MAX_HOT_KEYS.
 
-    Counts are combined before the shuffle, so a hot key costs no more than any other here.
+    Keys are looked for in a sample that shows about SAMPLED_ROWS rows of a key of that size, so
+    only a small share of the keys is shuffled to be counted. The answer decides which of two exact
+    ways a row takes, never whether it is kept.
     """
-    heavy = (df.groupBy(key).count().filter(F.col("count") >= hot_rows)
+    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
+    seen = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
+    least = hot_rows if fraction == 1.0 else hot_rows * fraction / 2
+    heavy = (seen.groupBy(key).count().filter(F.col("count") >= least)
              .orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS))
-    return {row[key]: row["count"] for row in heavy.collect()}
+    return {row[key]: math.ceil(row["count"] / fraction) for row in heavy.collect()}
 
 
 def is_hot(key, hot):
@@ -34,8 +40,8 @@ def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", dim_
     """Join a fact to a dimension that is unique on `key`.
 
     The dimension is broadcast when its counted rows are within `broadcast_rows`. Beyond that it
-    is a shuffle join in which hot keys are spread: their fact rows over pieces chosen by a hash of
-    `spread_by`, their single dimension row copied once per piece.
+    is a shuffle join in which hot keys are spread: the fact rows of such a key over as many pieces
+    as its size asks for, by a hash of `spread_by`, and its one dimension row copied to each piece.
     """
     rows = dim.count() if dim_rows is None else dim_rows
     if rows <= broadcast_rows:
@@ -43,12 +49,14 @@ def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", dim_
     hot = hot_keys(fact, key, hot_rows)
     if not hot:
         return fact.join(dim, key, how)
-    pieces = pieces_for(max(hot.values()))
-    piece = F.when(is_hot(key, hot), F.pmod(F.xxhash64(spread_by), F.lit(pieces))).otherwise(
-        F.lit(0)).cast("int")
-    copies = F.when(is_hot(key, hot), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(
-        F.array(F.lit(0)))
-    spread_dim = dim.withColumn("_piece", F.explode(copies))
+    # at most MAX_HOT_KEYS rows
+    pieces = F.broadcast(fact.sparkSession.createDataFrame(
+        [(k, pieces_for(n)) for k, n in hot.items()],
+        f"{key} {fact.schema[key].dataType.simpleString()}, _pieces int"))
+    count = F.coalesce(F.col("_pieces"), F.lit(1))
+    spread_fact = fact.join(pieces, key, "left").withColumn(
+        "_piece", F.pmod(F.xxhash64(spread_by), count).cast("int"))
+    spread_dim = dim.join(pieces, key, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_pieces")
     columns = fact.columns + [c for c in dim.columns if c != key]
-    return (fact.withColumn("_piece", piece)
-            .join(spread_dim, [key, "_piece"], how).select(*columns))
+    return spread_fact.drop("_pieces").join(spread_dim, [key, "_piece"], how).select(*columns)

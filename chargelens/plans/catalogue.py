@@ -322,7 +322,7 @@ def model_queries():
         "metrics_document": lambda s, d: training.metrics_document(_card_run(s, d)),
         "train_wide": lambda s, d: training.model_comparison(_wide_run(s, d)),
         "wide_threshold_sweep": lambda s, d: _wide_run(s, d).sweep(),
-        "score_transactions": lambda s, d: scoring.flag_ranking(_scored(s, d)),
+        "score_transactions": lambda s, d: job.ranked(_scored(s, d)),
         "score_summary": lambda s, d: scoring.flag_summary(_scored(s, d)),
         "gini_importance": _gini,
         "top_importances": lambda s, d: models.top(_gini(s, d), 12),

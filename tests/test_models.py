@@ -102,6 +102,12 @@ def test_unknown_category_has_no_slot(spark):
     assert rows(features.one_hot(new, "category", values), "category_a", "category_b") == [(0, 1), (0, 0)]
 
 
+def test_too_many_categories_are_refused(spark):
+    df = spark.range(30).selectExpr("cast(id as string) AS category")
+    with pytest.raises(ValueError, match="more than 20"):
+        features.fit_categories(df, "category", 20)
+
+
 def test_null_inputs_are_named(txns, customers):
     known = customers.filter("customer_id > 20")
     with pytest.raises(Exception, match="null model input a"):

@@ -38,7 +38,7 @@ def test_hot_rows_are_spread_over_slices(skewed, monkeypatch):
     assert len(sizes) >= 8 and max(sizes) < 400        # 1,000 hot rows in slices of about 100
 
 
-@pytest.mark.parametrize("finish, cells", [(100_000, 4096), (50, 8), (1, 2)])
+@pytest.mark.parametrize("finish, cells", [(100_000, 4096), (50, 16), (1, 64)])
 def test_row_at_rank(skewed, monkeypatch, finish, cells):
     monkeypatch.setattr(ordered, "FINISH_ROWS", finish)
     monkeypatch.setattr(ordered, "CELLS", cells)
@@ -50,7 +50,7 @@ def test_row_at_rank(skewed, monkeypatch, finish, cells):
 
 def test_row_at_rank_before_the_epoch_and_with_microseconds(spark, monkeypatch):
     monkeypatch.setattr(ordered, "FINISH_ROWS", 1)
-    monkeypatch.setattr(ordered, "CELLS", 4)
+    monkeypatch.setattr(ordered, "CELLS", 256)
     times = [datetime(1969, 12, 31, 23, 59, 59, 999_999), datetime(1970, 1, 1), datetime(1960, 5, 5, 1, 2, 3, 4),
              datetime(2030, 1, 1, 0, 0, 0, 1), datetime(2030, 1, 1)]
     df = spark.createDataFrame([(t, i) for i, t in enumerate(times)], "timestamp timestamp_ntz, transaction_id bigint")

@@ -23,6 +23,13 @@ def test_hot_keys(fact):
     assert list(hot) == [1] and hot[1] == fact.filter("customer_id = 1").count()
 
 
+def test_hot_keys_are_found_in_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SAMPLED_ROWS", 200)
+    many = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("k"))
+    hot = skew.hot_keys(many, "k", 20_000)
+    assert list(hot) == [-1] and 25_000 < hot[-1] < 42_000
+
+
 def test_only_the_heaviest_keys_are_treated_as_hot(fact, monkeypatch):
     monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
     assert len(skew.hot_keys(fact, "customer_id", 1)) == 3
@@ -45,4 +52,6 @@ def test_a_large_dimension_is_not_broadcast(spark, fact, dim):
         plan = large._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in plan and "_piece" in plan
+    join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    assert "customer_id" in join and "_piece" in join      # only the table of pieces is broadcast
+    assert plan.count("BroadcastHashJoin") == 2
