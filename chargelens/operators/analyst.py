@@ -8,7 +8,7 @@ from ..functions.expressions import (daily_spend, gap_seconds_exact, mean_money,
 from ..schemas import (DAYS_PER_MONTH, HIGH_RISK_CATEGORIES, RAPID_REPEAT_SECONDS, RISK_EDGES,
                        RISK_LABELS, ROLLING_WEEKS, SPEND_MULTIPLE)
 from .ordered import with_previous
-from .skew import HOT_ROWS, join_dimension
+from .skew import join_dimension
 
 
 def row_count():
@@ -102,7 +102,7 @@ def weekly_trend(txns, weeks=ROLLING_WEEKS):
 
 # ------------------------------------------------------------- card testing
 
-def prev_txn_gap(txns, hot_rows=HOT_ROWS):
+def prev_txn_gap(txns, hot_rows=None):
     """Every transaction but a customer's first, with the seconds since the one before it."""
     ordered = with_previous(
         txns.select("customer_id", "transaction_id", "timestamp", "amount", "is_fraud"),
@@ -112,7 +112,7 @@ def prev_txn_gap(txns, hot_rows=HOT_ROWS):
 
 
 def card_testing_customers(txns, gap_seconds=RAPID_REPEAT_SECONDS, min_rapid=2, k=15,
-                           hot_rows=HOT_ROWS):
+                           hot_rows=None):
     """Customers with the most transactions right after another of theirs."""
     return (prev_txn_gap(txns, hot_rows).filter(F.col("gap_seconds") < gap_seconds)
             .groupBy("customer_id")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from ..functions.expressions import daily_spend, gap_seconds, week_label, week_number
 from ..schemas import DAYS_PER_MONTH, NO_PREV, ORDER, RAPID_REPEAT_SECONDS
 from .ordered import number_rows, with_previous
-from .skew import HOT_ROWS, join_dimension
+from .skew import join_dimension
 
 MAX_CATEGORIES = 1_000
 
 
-def seconds_since_prev(txns, hot_rows=HOT_ROWS):
+def seconds_since_prev(txns, hot_rows=None):
     """Add whole seconds since the customer's previous transaction, NO_PREV for the first."""
     return (with_previous(txns, "customer_id", ORDER, "timestamp", "_prev", hot_rows)
             .withColumn("seconds_since_prev_txn",
@@ -49,7 +49,7 @@ def amount_norm(days=DAYS_PER_MONTH):
     return F.try_divide(F.col("amount"), daily_spend(days=days))
 
 
-def build_features(txns, customers, gap=RAPID_REPEAT_SECONDS, customer_rows=None, hot_rows=HOT_ROWS):
+def build_features(txns, customers, gap=RAPID_REPEAT_SECONDS, customer_rows=None, hot_rows=None):
     """Transactions plus the engineered model inputs."""
     if "seconds_since_prev_txn" not in txns.columns:
         txns = seconds_since_prev(txns, hot_rows)

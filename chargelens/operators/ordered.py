@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .skew import HOT_ROWS, hot_keys, is_hot, pieces_for
+from .skew import hot_keys, is_hot, pieces_for
 
 CELLS = 4_096            # groups per counting pass of the rank search
 FINISH_ROWS = 100_000    # a remainder this small is sorted directly
@@ -15,7 +15,7 @@ FINISH_ROWS = 100_000    # a remainder this small is sorted directly
 
 # ---------------------------------------------------------------- previous row
 
-def with_previous(df, key, order, value, alias, hot_rows=HOT_ROWS):
+def with_previous(df, key, order, value, alias, hot_rows=None):
     """Add the `value` of the preceding row of the same key (null for the first).
 
     Ordinary keys take one window. Rows of hot keys are cut into ordered slices by a range

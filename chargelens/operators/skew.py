@@ -12,13 +12,16 @@ SAMPLED_ROWS = 1_000        # rows of a just-hot key that the search looks at
 BROADCAST_ROWS = 1_000_000  # rows of a dimension, a few narrow columns wide
 
 
-def hot_keys(df, key, hot_rows=HOT_ROWS):
+def hot_keys(df, key, hot_rows=None):
     """{key: estimated rows} of the keys with about `hot_rows` rows or more, at most MAX_HOT_KEYS.
 
+    `hot_rows` is HOT_ROWS unless given.
+
     Keys are looked for in a sample that shows about SAMPLED_ROWS rows of a key of that size, so
     only a small share of the keys is shuffled to be counted. The answer decides which of two exact
     ways a row takes, never whether it is kept.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     fraction = min(1.0, SAMPLED_ROWS / hot_rows)
     seen = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
     least = hot_rows if fraction == 1.0 else hot_rows * fraction / 2
@@ -36,15 +39,16 @@ def pieces_for(rows):
 
 
 def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", dim_rows=None,
-                   broadcast_rows=BROADCAST_ROWS, hot_rows=HOT_ROWS):
+                   broadcast_rows=None, hot_rows=None):
     """Join a fact to a dimension that is unique on `key`.
 
-    The dimension is broadcast when its counted rows are within `broadcast_rows`. Beyond that it
-    is a shuffle join in which hot keys are spread: the fact rows of such a key over as many pieces
-    as its size asks for, by a hash of `spread_by`, and its one dimension row copied to each piece.
+    The dimension is broadcast when its counted rows are within `broadcast_rows` (BROADCAST_ROWS
+    unless given). Beyond that it is a shuffle join in which hot keys are spread: the fact rows of
+    such a key over as many pieces as its size asks for, by a hash of `spread_by`, and its one
+    dimension row copied to each piece.
     """
     rows = dim.count() if dim_rows is None else dim_rows
-    if rows <= broadcast_rows:
+    if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return fact.join(F.broadcast(dim), key, how)
     hot = hot_keys(fact, key, hot_rows)
     if not hot:

@@ -39,3 +39,23 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, connection, partitio
             assert compare(entry.queries()[name](spark, sf_dir), connection, SQL[name]) is None, name
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+LARGE = ["spend_anomalies", "join_customer_norm", "denormalise_merchant", "card_testing_customers_1h",
+         "prev_txn_gap", "seconds_since_prev", "temporal_split", "build_features", "class_weights",
+         "headline_fraud_rate", "threshold_sweep"]
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_the_ways_taken_by_large_data(spark, sf_dir, connection, monkeypatch, name):
+    """Nothing is broadcast as a dimension, most keys count as hot, and a few rows are already too
+    many to sort at once."""
+    monkeypatch.setattr("chargelens.operators.skew.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("chargelens.operators.skew.HOT_ROWS", 70)
+    monkeypatch.setattr("chargelens.operators.skew.ROWS_PER_PIECE", 30)
+    monkeypatch.setattr("chargelens.operators.ordered.FINISH_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare(entry.queries()[name](spark, sf_dir), connection, SQL[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
