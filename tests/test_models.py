@@ -157,6 +157,16 @@ def test_wide_training(spark):
     assert document["fraud_rate"] == 0.1
 
 
+def test_wide_split_is_exact_through_equal_times(spark):
+    df = spark.range(200).select(
+        (F.col("id") / 150).cast("bigint").alias("Time"), (F.col("id") % 17).cast("double").alias("V1"),
+        F.col("id").cast("double").alias("Amount"), (F.col("id") % 4 == 0).cast("int").alias("Class"))
+    run = training.train_wide(df, ["Time"], "Class", "Amount", trees=2)
+    assert (run.train_rows, run.test.count(), run.layout.numeric) == (150, 50, ["V1", "Amount"])
+    run = training.train_wide(df.withColumn("Time", F.lit(5)), ["Time"], "Class", "Amount", trees=2)
+    assert (run.train_rows, run.test.count()) == (150, 50)
+
+
 def test_rule_can_be_learned_from_rapid_bursts(spark):
     """A frame whose fraud is exactly the rapid repeats is separated by both models."""
     start = datetime(2025, 1, 1)
