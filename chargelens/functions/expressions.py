@@ -65,9 +65,9 @@ def grid_points_reached(score, grid):
     """
     def between(lo, hi):
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(F.col(score) >= F.lit(float(grid[mid])), between(mid + 1, hi)).otherwise(
-            between(lo, mid))
+        return (f"if(`{score}` >= {float(grid[mid])!r}D, "
+                f"{between(mid + 1, hi)}, {between(lo, mid)})")
 
-    return between(0, len(grid))
+    return F.expr(between(0, len(grid)))

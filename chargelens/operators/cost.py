@@ -45,7 +45,7 @@ def threshold_sweep(scored, grid=THRESHOLD_GRID, review_cost=REVIEW_COST, label=
         F.sum(F.when(fraud, F.col(amount)).otherwise(0.0)).alias("dollars"))
     points = scored.sparkSession.range(1, len(grid) + 1, numPartitions=1).select(
         F.col("id").cast("int").alias("reached"),
-        F.element_at(F.array(*[F.lit(float(t)) for t in grid]), F.col("id").cast("int")).alias("threshold"))
+        F.expr(f"element_at(array({', '.join(f'{float(t)!r}D' for t in grid)}), int(id))").alias("threshold"))
     # a row for every grid point, also where no score ends; group 0 is below the first point
     every = (groups.withColumn("threshold", F.lit(None).cast("double"))
              .unionByName(points.select("reached", "threshold", F.lit(0).alias("pos"),

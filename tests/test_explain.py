@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chargelens.operators import explain, models
 from chargelens.plans import explaining, training
-from chargelens.sources import driver_views
+from chargelens.sources import artifacts, driver_views
 
 from .frames import rows
 
@@ -138,6 +138,16 @@ def test_breakdown_adds_up(spark, run, explanation):
     assert len(top) == 3 and top == sorted(top, reverse=True)
 
 
+def test_a_saved_model_is_explained_the_same(spark, run, explanation, tmp_path):
+    folder = str(tmp_path / "model")
+    artifacts.save(training.to_artifact(run), folder, spark)
+    subject = explaining.reopen(spark, folder, driver_views.transactions(spark, SF, gaps=True),
+                                driver_views.customer_spend(spark, SF))
+    again = {r[0]: r[1] for r in explaining.explain_run(subject, size=100).ranking.collect()}
+    for feature, effect in rows(explanation.ranking, "feature", "mean_abs_contribution"):
+        assert again[feature] == pytest.approx(effect, abs=1e-12)
+
+
 def test_overlap(spark):
     first = spark.createDataFrame([(f,) for f in "abcdef"], "feature string")
     second = spark.createDataFrame([(f,) for f in "xbaefc"], "feature string")
