@@ -124,21 +124,18 @@ def card_testing_customers(txns, gap_seconds=RAPID_REPEAT_SECONDS, min_rapid=2,
 
 # ---------------------------------------------------------- spend anomalies
 
-def over_daily_spend(txns, customers, multiple=SPEND_MULTIPLE, days=DAYS_PER_MONTH,
-                     customer_rows=None):
-    """Transactions above `multiple` times the customer's implied daily spend."""
+def spend_anomalies(txns, customers, multiple=SPEND_MULTIPLE, days=DAYS_PER_MONTH, k=20,
+                    customer_rows=None):
+    """The `k` transactions furthest above `multiple` times the customer's implied daily spend.
+
+    Ranked by the rounded multiple.
+    """
     joined = join_dimension(
         txns.select("transaction_id", "customer_id", "amount", "is_fraud"),
         customers.select("customer_id", "avg_monthly_spend"), "customer_id", dim_rows=customer_rows)
-    daily = daily_spend(days=days)
-    return (joined.filter(F.col("amount") > F.lit(float(multiple)) * daily)
-            .select("transaction_id", "customer_id", "amount",
-                    F.round(daily, 2).alias("implied_daily_spend"),
-                    F.round(F.try_divide(F.col("amount"), daily), 1).alias("x_over_daily_norm"), "is_fraud"))
-
-
-def spend_anomalies(txns, customers, multiple=SPEND_MULTIPLE, days=DAYS_PER_MONTH, k=20,
-                    customer_rows=None):
-    """The `k` largest, ranked by the rounded multiple."""
-    return (over_daily_spend(txns, customers, multiple, days, customer_rows)
-            .orderBy(F.desc("x_over_daily_norm"), "transaction_id").limit(k))
+    largest = (joined.withColumn("_daily", daily_spend(days=days))
+               .filter(F.col("amount") > F.lit(float(multiple)) * F.col("_daily"))
+               .withColumn("x_over_daily_norm", F.round(F.try_divide("amount", "_daily"), 1))
+               .orderBy(F.desc("x_over_daily_norm"), "transaction_id").limit(k))
+    return largest.select("transaction_id", "customer_id", "amount",
+                          F.round("_daily", 2).alias("implied_daily_spend"), "x_over_daily_norm", "is_fraud")

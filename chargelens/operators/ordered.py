@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .skew import hot_keys, is_hot, pieces_for
+from .skew import hot_keys, hot_table, pieces_for
 
 CELLS = 4_096            # groups per counting pass of the rank search
 FINISH_ROWS = 100_000    # a remainder this small is sorted directly
@@ -26,9 +26,10 @@ def with_previous(df, key, order, value, alias, hot_rows=None):
     window = Window.partitionBy(key).orderBy(*order)
     if not hot:
         return df.withColumn(alias, F.lag(value).over(window))
-    usual = df.filter(~is_hot(key, hot)).withColumn(alias, F.lag(value).over(window))
+    keys = hot_table(df, key, hot)
+    usual = df.join(keys, key, "left_anti").withColumn(alias, F.lag(value).over(window))
     return usual.unionByName(
-        _previous_across_slices(df.filter(is_hot(key, hot)), key, order, value, alias,
+        _previous_across_slices(df.join(keys, key, "left_semi"), key, order, value, alias,
                                 pieces_for(sum(hot.values()))))
 
 
@@ -148,7 +149,7 @@ def temporal_split(df, test_fraction, order=("timestamp", "transaction_id")):
 # ------------------------------------------------------------------ dense rank
 
 def number_rows(df, order, alias, start=1):
-    """Add the dense position of each row in `order`.
+    """Add the dense position of each row in `order`, which must tell all rows apart.
 
     One range shuffle; a position is the row's place in its partition plus the rows of all
     partitions before it.

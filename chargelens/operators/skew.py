@@ -30,8 +30,11 @@ def hot_keys(df, key, hot_rows=None):
     return {row[key]: math.ceil(row["count"] / fraction) for row in heavy.collect()}
 
 
-def is_hot(key, hot):
-    return F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+def hot_table(df, key, hot):
+    """The result of `hot_keys` as a broadcast frame (key, _pieces); at most MAX_HOT_KEYS rows."""
+    kind = df.schema[key].dataType.simpleString()
+    return F.broadcast(df.sparkSession.createDataFrame(
+        [(k, pieces_for(n)) for k, n in hot.items()], f"{key} {kind}, _pieces int"))
 
 
 def pieces_for(rows):
@@ -53,10 +56,7 @@ def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", dim_
     hot = hot_keys(fact, key, hot_rows)
     if not hot:
         return fact.join(dim, key, how)
-    # at most MAX_HOT_KEYS rows
-    pieces = F.broadcast(fact.sparkSession.createDataFrame(
-        [(k, pieces_for(n)) for k, n in hot.items()],
-        f"{key} {fact.schema[key].dataType.simpleString()}, _pieces int"))
+    pieces = hot_table(fact, key, hot)
     count = F.coalesce(F.col("_pieces"), F.lit(1))
     spread_fact = fact.join(pieces, key, "left").withColumn(
         "_piece", F.pmod(F.xxhash64(spread_by), count).cast("int"))
