@@ -9,7 +9,7 @@ from ..schemas import FEATURES_NUM, ORDER, TEST_FRACTION
 from ..sources import artifacts
 from ..sources import driver_views as views
 from ..sources import tables as sources
-from ..storage import new_path
+from ..storage import materialize, new_path
 from . import explaining, suite, training
 from . import scoring as job
 
@@ -64,7 +64,7 @@ def _build_features(spark, d):
 
 
 def _scaled_features(spark, d):
-    full = _features(spark, d).select(*ORDER, *FEATURES_NUM)
+    full = materialize(_features(spark, d).select(*ORDER, *FEATURES_NUM))    # read three times below
     train, _, _ = _split(full)
     scaled = features.scale_features(full, features.fit_scaling(train, FEATURES_NUM))
     return scaled.select("transaction_id", *[
