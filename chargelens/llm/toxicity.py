@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .common import column, materialize, neutral, per_text, pieces
 
 TRAIN_ROWS = 30_000          # about as many labelled rows are learned from, at most
-PRIOR_TOKENS = 500.0         # weight of the Dirichlet prior, in tokens
-LEAST_Z = 3.0                # tokens below keep no score of their own
+PRIOR_SHARE = 0.05           # weight of the Dirichlet prior, as a share of all counts
+LEAST_Z = 4.0                # tokens below keep no score of their own
 MOST_TOKENS = 200_000        # tokens of the fitted model, those with the highest |z|
 MOST_SCORE = 8.0             # nats a single token can add or take
 DRIFT = 0.5                  # nats that a token without a score takes
@@ -118,7 +118,7 @@ def fit(docs, labels, rows=TRAIN_ROWS):
     `docs` has doc_id and text, `labels` doc_id and toxic (0 or 1; null rows are left out, of
     several labels of a document the highest counts). About `rows` labelled rows, drawn by a hash of
     doc_id, are used at most: this bounds the fit and with it the broadcast of their ids. Equal
-    texts count once, so a group of copies carries one vote. Spark counts the tokens of the rest;
+    texts count once, so a group of copies carries one vote. Spark counts the texts that hold a token;
     tokens with a clear log-odds reach the driver, at most MOST_TOKENS.
     """
     marks = materialize(labels.filter(column("doc_id").isNotNull() & column("toxic").isNotNull())
@@ -137,7 +137,7 @@ def fit(docs, labels, rows=TRAIN_ROWS):
         counters = (Counter(), Counter())
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counters[bool(toxic)].update(tokens_of(text))
+                counters[bool(toxic)].update(set(tokens_of(text)))       # once a text: long ones don't outvote
         names = list(counters[0] | counters[1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.binary()), pa.array([counters[0][n] for n in names], pa.int64()),
@@ -150,12 +150,12 @@ def fit(docs, labels, rows=TRAIN_ROWS):
     if not sums[0] or not sums[1]:
         return None
     clean, toxic = float(sums[0]), float(sums[1])
-    # log-odds with a Dirichlet prior of PRIOR_TOKENS tokens, spread like all tokens; z = delta / deviation
-    prior = F.lit(PRIOR_TOKENS / (clean + toxic)) * (F.col("clean") + F.col("toxic"))
+    # log-odds with a Dirichlet prior spread like all counts; z = delta / deviation
+    prior = F.lit(PRIOR_SHARE) * (F.col("clean") + F.col("toxic"))
 
     def odds(name, total):
         mass = F.col(name) + prior
-        return F.log(mass) - F.log(F.lit(total + PRIOR_TOKENS) - mass)
+        return F.log(mass) - F.log(F.lit(total + PRIOR_SHARE * (clean + toxic)) - mass)
 
     delta = odds("toxic", toxic) - odds("clean", clean)
     spread = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
