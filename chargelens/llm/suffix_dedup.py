@@ -98,9 +98,15 @@ def _parts(texts, length):
         yield group
 
 
+def _folded(h, c, first, n, a):
+    """The runs with times: a stretch of equal contexts one after another, as in repeated lines, is one run."""
+    new = np.flatnonzero(np.append(True, (np.diff(h) != 0) | (np.diff(c) != 0)))
+    return h[new], c[new], first[new], n[new], a[new], np.diff(np.append(new, len(h)))
+
+
 def _profile(length):
     """Batches (doc_id, text, n_bytes, sha) to packed arrays of anchors and context hashes, one row a text."""
-    kinds = (np.uint64, np.uint64, np.uint32, np.uint16, np.uint16)
+    kinds = (np.uint64, np.uint64, np.uint32, np.uint16, np.uint16, np.uint32)
 
     def run(batches):
         for batch in batches:
@@ -115,19 +121,19 @@ def _profile(length):
                                      zip(first.tolist(), (first + n + length - 1).tolist())), np.uint64, len(h))
                     cuts = np.searchsorted(owner, np.arange(len(group) + 1))
                     for (i, at, _), b, lo, hi in zip(group, begins.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-                        found[i].append((h[lo:hi], c[lo:hi], first[lo:hi] - b + at, n[lo:hi], a[lo:hi]))
+                        found[i].append(_folded(h[lo:hi], c[lo:hi], first[lo:hi] - b + at, n[lo:hi], a[lo:hi]))
                 packed = [[np.concatenate([f[k] for f in parts]).astype(kind).tobytes() if parts else None
                            for parts in found] for k, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), piece.column(2), piece.column(3)] + [pa.array(p, pa.binary()) for p in packed],
-                    names=["doc_id", "n_bytes", "sha", "h", "c", "lo", "n", "a"])
+                    names=["doc_id", "n_bytes", "sha", "h", "c", "lo", "n", "a", "times"])
     return run
 
 
 def _unpack(batches):
-    """Rows (uid, w, h, c, lo, n, a) of the packed arrays."""
-    names = ["uid", "w", "h", "c", "lo", "n", "a"]
-    kinds = (np.int64, np.int64, np.uint32, np.uint16, np.uint16)
+    """Rows (uid, w, h, c, lo, n, a, times) of the packed arrays."""
+    names = ["uid", "w", "h", "c", "lo", "n", "a", "times"]
+    kinds = (np.int64, np.int64, np.uint32, np.uint16, np.uint16, np.uint32)
     for batch in batches:
         for at in range(0, batch.num_rows, 2_000):
             part = batch.slice(at, 2_000)
@@ -366,20 +372,23 @@ def repeats(docs, length=LENGTH, text="text", doc_id="doc_id", keep_text=False):
     profile = materialize(
         rows.select("doc_id", "text", F.octet_length("text").cast("bigint").alias("n_bytes"), "sha")
         .mapInArrow(_profile(length), f"doc_id {dict(rows.dtypes)['doc_id']}, n_bytes bigint, sha binary, h binary, "
-                                      "c binary, lo binary, n binary, a binary")
+                                      "c binary, lo binary, n binary, a binary, times binary")
         .withColumn("uid", F.monotonically_increasing_id()))
     long = profile.filter(F.col("n_bytes") >= length)
     copies = materialize(long.groupBy("sha").agg(F.count(F.lit(1)).alias("m"), F.min("uid").alias("one"))
                          .filter("m > 1").select("sha", "one"))
     packed = (long.join(small(copies, FETCH_ROWS), "sha", "left").filter("one is null or one = uid")
-              .select("uid", F.when(F.col("one").isNull(), 1).otherwise(2).alias("w"), "h", "c", "lo", "n", "a"))
-    seen = packed.mapInArrow(_unpack, "uid bigint, w int, h bigint, c bigint, lo int, n int, a int")
-    again = (seen.groupBy("h").agg(F.sum("w").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-             .filter("m > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed")))
+              .select("uid", F.when(F.col("one").isNull(), 1).otherwise(2).alias("w"), "h", "c", "lo", "n", "a", "times"))
+    seen = packed.mapInArrow(_unpack, "uid bigint, w int, h bigint, c bigint, lo int, n int, a int, times int")
+    often = F.sum(F.col("w") * F.col("times"))
+    again = materialize(          # written, so that a hot anchor can be split in the join
+        seen.groupBy("h").agg(often.alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+        .filter("m > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed")))
     found = materialize(seen.join(again, "h"))
     groups = materialize(found.groupBy("h", "c").agg(
-        F.sum("w").alias("m"), F.max("mixed").alias("mixed"), F.min(F.struct("uid", "lo", "n", "a")).alias("one")))
-    whole = groups.filter("m > 1").select("h", "c", F.lit(0).alias("s0"), F.col("one.n").alias("s1"))
+        often.alias("m"), F.max("mixed").alias("mixed"), F.min(F.struct("uid", "lo", "n", "a")).alias("one")))
+    # all starts of such a context, as often as it is repeated in a run
+    whole = groups.filter("m > 1").select("h", "c", F.lit(0).alias("s0"), F.lit(None).cast("int").alias("s1"))
 
     of = profile.select("uid", "sha", F.col("doc_id").alias("of"))
     lists = (groups.filter("mixed").groupBy(F.col("one.uid").alias("uid")).agg(F.collect_list(
@@ -392,8 +401,9 @@ def repeats(docs, length=LENGTH, text="text", doc_id="doc_id", keep_text=False):
     ranges = whole.unionByName(blocks.mapInArrow(_sort_blocks(length), RANGES))
     if settled is not None:
         ranges = ranges.unionByName(settled)
-    ranges = materialize(ranges.filter("s1 > s0"))
-    spans = (found.filter("w = 1").select("uid", "h", "c", "lo").join(ranges, ["h", "c"])
+    ranges = materialize(ranges)
+    spans = (found.filter("w = 1").select("uid", "h", "c", "lo", (F.col("n") * F.col("times")).alias("all"))
+             .join(ranges, ["h", "c"]).withColumn("s1", F.coalesce("s1", "all"))
              .groupBy("uid").agg(F.collect_list(F.struct((F.col("lo") + F.col("s0")).alias("s"),
                                                          (F.col("lo") + F.col("s1")).alias("e"))).alias("starts")))
     spans = materialize(spans.join(of, "uid").select("sha", "of", "starts"))
