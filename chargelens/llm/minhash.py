@@ -13,7 +13,6 @@ BANDS, ROWS = 24, 5          # a pair at 0.85 shares no band with probability 7e
 HASHES = BANDS * ROWS
 BATCH = 20                   # signature places compared at a time
 MISS = 1e-6                  # a pair goes once its similarity is enough with no more probability than this
-PIVOT_PASSES = 2
 BLOCK = 512                  # members of a band compared with each other at once
 FETCH_ROWS = 1_000_000       # ids (16 bytes) that may be broadcast to pick texts
 CHUNK = 2_048                # shingles hashed at once
@@ -137,11 +136,9 @@ def _prune(pairs, nodes, table):
 
 # ---------------------------------------------------------------------- verification
 
-def _links(pairs, nodes, rows, size, share):
-    """The pairs whose full sets reach the similarity `share` = (up, down): down * both >= up * union."""
-    up, down = share
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = materialize(ends.join(nodes.select("node", "fp", "lead", "mark"), "node"))
+def _sets(wanted_nodes, nodes, rows, size):
+    """(node, s): the full shingle sets of the nodes, from their texts."""
+    wanted = materialize(wanted_nodes.join(nodes.select("node", "fp", "lead", "mark"), "node"))
     picked = _picked(rows, wanted).select("node", "fp", F.col("text").cast("binary").alias("text"))
 
     def build(batches):
@@ -159,7 +156,17 @@ def _links(pairs, nodes, rows, size, share):
 
     sets = materialize(picked.mapInArrow(build, "node bigint, s binary"))
     if not sets.groupBy("node").count().filter("count > 1").isEmpty():      # repeated rows
-        sets = sets.groupBy("node").agg(F.first("s").alias("s"))
+        sets = materialize(sets.groupBy("node").agg(F.first("s").alias("s")))
+    return sets
+
+
+def _ends(pairs):
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def _links(pairs, sets, share):
+    """The pairs whose full sets reach the similarity `share` = (up, down): down * both >= up * union."""
+    up, down = share
 
     def check(batches):
         for batch in batches:
@@ -168,14 +175,46 @@ def _links(pairs, nodes, rows, size, share):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(down * both >= up * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))],
-                names=["a", "b"])
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)],
+                                             names=["a", "b"])
 
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("s_a"))
     right = sets.select(F.col("node").alias("b"), F.col("s").alias("s_b"))
-    return materialize(pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b")
-                       .mapInArrow(check, "a bigint, b bigint"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b")
+            .mapInArrow(check, "a bigint, b bigint"))
+
+
+def _likely(open_rows, sets, nodes, share):
+    """The rows of the open bands without members that the sets show to be linked with no other of the band.
+
+    Shingles that no other member of an open band has cannot be in an intersection. With c the other
+    shingles of a member, an intersection holds at most the least c of the two, and a union at least
+    what the smallest set of the band leaves; a member whose bound is below `share` drops out of
+    the band. So heavily edited copies, which resemble their whole group but reach nobody, cost one
+    row each and no pairs. Adds `common`, the share of c, by which the least edited member is found.
+    """
+    up, down = share
+
+    def explode(batches):
+        for batch in batches:
+            for piece in pieces(batch, 1):
+                line = np.frombuffer(b"".join(piece.column(1).to_pylist()), np.int64)
+                counts = [len(x) // 8 for x in piece.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(piece.column(0).to_numpy(), counts)), pa.array(line)], names=["node", "x"])
+
+    alone = (sets.mapInArrow(explode, "node bigint, x bigint").groupBy("x")
+             .agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("node")).filter("m = 1")
+             .groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    known = materialize(sets.select("node").join(nodes.select("node", "n"), "node").join(alone, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
+    rows = materialize(open_rows.select("key", "node").join(known, "node"))
+    bounds = materialize(rows.groupBy("key").agg(F.max("c").alias("most"), F.min("n").alias("least")))
+    both = F.least("c", "most")
+    return (rows.join(bounds, "key")
+            .filter(F.lit(down) * both >= F.lit(up) * (F.col("n") + F.greatest("least", both) - both))
+            .select("key", "node", (F.col("c") / F.col("n")).alias("common")))
 
 
 def _picked(rows, wanted):
@@ -211,68 +250,111 @@ def components(edges):
 
 # ------------------------------------------------------------------------- candidates
 
-def _with_components(bands, comps):
-    if comps is None:
-        return bands.withColumn("comp", F.col("node"))
-    return (bands.join(comps.withColumnRenamed("comp", "_c"), "node", "left")
-            .select("key", "node", F.coalesce("_c", "node").alias("comp")))
-
-
 def _open_bands(bands, comps):
-    """Rows of the bands whose members are in more than one component so far."""
-    rows = _with_components(bands, comps)
-    keys = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                    F.count(F.lit(1)).alias("members"))
-            .filter("lo != hi").select("key", "members"))
-    return rows.join(keys, "key")
+    """Rows of the bands whose members are in more than one component so far, with comp and members."""
+    if comps is None:
+        rows = bands.withColumn("comp", F.col("node"))
+    else:
+        rows = (bands.join(comps.withColumnRenamed("comp", "_c"), "node", "left")
+                .withColumn("comp", F.coalesce("_c", "node")).drop("_c"))
+    rows = materialize(rows)
+    # written, so that a hot band can be split in the join
+    keys = materialize(rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                               F.count(F.lit(1)).alias("members"))
+                       .filter("lo != hi").select("key", "members"))
+    return materialize(rows.join(keys, "key"))
 
 
-def _pivot_pairs(rows, turn):
-    """Each member of a band with the band's pivot, where they are not in one component.
+def _pivot_pairs(rows, rank):
+    """Each member of a band with the band's pivot, the first by `rank`, where they are not in one component.
 
-    The pivot is the member that comes first in an order common to all bands, another one each turn.
+    `rank` orders the members of all bands alike, so bands with the same members give the same pairs.
     """
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("pivot"),
+    order = F.struct(rank.alias("r"), F.xxhash64("node").alias("h"), F.col("node").alias("pivot"),
                      F.col("comp").alias("home"))
-    pivots = rows.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.pivot", "p.home")
+    pivots = materialize(rows.groupBy("key").agg(F.min(order).alias("p")).select("key", "p.pivot", "p.home"))
     return (rows.join(pivots, "key").filter("comp != home")
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
-def _rest_pairs(rows, nodes, table):
-    """All pairs of a band's members from different components that outlive the Bayesian test.
+def _rest_links(rows, nodes, sets, table, share):
+    """Links between members of a band that are in different components, enough to join what they join.
 
     A band is cut into blocks of about BLOCK members and each two blocks meet in one group, so no
-    group is larger than two blocks. Only pairs that outlive the test leave a group.
+    group is larger than two blocks. In a group, pairs from different components that outlive the
+    Bayesian test are verified on the full sets, and a link that joins nothing new is not given: a
+    group gives fewer links than it has members.
     """
+    up, down = share
     cut = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     cut = cut.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks").cast("bigint")).cast("int"))
     spread = (cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
                       "block", "node", "comp"))
-    spread = spread.join(nodes.select("node", "sig"), "node")
+    spread = spread.join(nodes.select("node", "sig"), "node").join(sets, "node")
 
     def run(group):
-        node = group.column("node").to_numpy()
-        comp = group.column("comp").to_numpy()
-        block = group.column("block").to_numpy()
+        node, comp, block = (group.column(c).to_numpy() for c in ("node", "comp", "block"))
         one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
         sigs = _matrix(group.column("sig").to_pylist())
-        left = np.flatnonzero(block == one)
-        right = np.flatnonzero(block == two)
-        out_a, out_b = [], []
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        pairs = []
         for i in left:
             others = right[right > i] if one == two else right
             others = others[comp[others] != comp[i]]
             if len(others):
                 good = others[survivors(np.broadcast_to(sigs[i], (len(others), HASHES)), sigs[others], table)]
-                out_a += np.minimum(node[i], node[good]).tolist()
-                out_b += np.maximum(node[i], node[good]).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                pairs.append(np.stack([np.full(len(good), i), good]))
+        found = []
+        if pairs:
+            x, y = np.concatenate(pairs, axis=1)
+            lines = [np.frombuffer(s, np.uint64) for s in group.column("s").to_pylist()]
+            sizes = np.array([len(s) for s in lines])
+            both = _intersections(lines, x, y)
+            linked = down * both >= up * (sizes[x] + sizes[y] - both)
+            found = _forest(x[linked].tolist(), y[linked].tolist(), comp.tolist())
+        a, b = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        return pa.table({"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b])})
 
     return spread.groupBy("key", "one", "two").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _intersections(lines, x, y):
+    """Sizes of the intersections of the sets x[i] and y[i], by products of 0/1 matrices, some shingles at a time."""
+    _, place, counts = np.unique(np.concatenate(lines), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(lines)), [len(s) for s in lines])
+    shared = counts[place] > 1
+    place, owner = (np.cumsum(counts > 1) - 1)[place[shared]], owner[shared]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    both = np.zeros((len(lines), len(lines)), np.float32)        # exact, the counts are below 2 ** 24
+    for begin in range(0, int(counts[counts > 1].size), CHUNK):
+        lo, hi = np.searchsorted(place, [begin, begin + CHUNK])
+        part = np.zeros((len(lines), CHUNK), np.float32)
+        part[owner[lo:hi], place[lo:hi] - begin] = 1
+        both += part @ part.T
+    return both[x, y].astype(np.int64)
+
+
+def _forest(x, y, comp):
+    """The links (x[i], y[i]) that join two components, each joined before the next is looked at."""
+    parent = {}
+
+    def root(c):
+        while parent.get(c, c) != c:
+            parent[c] = parent.get(parent[c], parent[c])
+            c = parent[c]
+        return c
+
+    found = []
+    for i, j in zip(x, y):
+        a, b = root(comp[i]), root(comp[j])
+        if a != b:
+            parent[b] = a
+            found.append((i, j))
+    return found
+
+
 # --------------------------------------------------------------------------- operator
 
 def near_duplicates(docs, size=5, share=(80, 100), text="text", doc_id="doc_id"):
@@ -284,9 +366,10 @@ def near_duplicates(docs, size=5, share=(80, 100), text="text", doc_id="doc_id")
 
     Rows with equal sets are one node. Nodes that agree in a band of their signatures are candidates.
     The members of a band are compared with a pivot first, which joins large groups of copies by as
-    many pairs as members; then, only in bands whose members are still in different components,
-    every two members of different components are. So no link that a band shows is lost, and
-    no group gives all its pairs. Pairs are pruned by the posterior of their similarity batch by
+    many pairs as members. Bands whose members are still in different components lose the members
+    that by their sets can reach nobody there, are compared with their least edited member, and
+    then every two members left in different components are compared in blocks. So no link that a band shows
+    is lost, and no group gives all its pairs. Pairs are pruned by the posterior of their similarity batch by
     batch and the rest verified on the full sets. A null doc_id is larger than any other: such rows
     have the id of the others of their component, null if there is none, and are kept only then.
     Rows with a repeated doc_id are separate rows. An empty table gives no rows.
@@ -299,30 +382,14 @@ def near_duplicates(docs, size=5, share=(80, 100), text="text", doc_id="doc_id")
         "n_shingles bigint, fp binary, sig binary", carry=["doc_id", "mark"], binary=True))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "mark"))    # nulls are last
     nodes = materialize(
-        profile.filter("n_shingles > 0").groupBy("fp").agg(first.alias("at"), F.first("sig").alias("sig"))
-        .select("fp", "sig", F.col("at.doc_id").alias("lead"), F.col("at.mark").alias("mark"),
+        profile.filter("n_shingles > 0").groupBy("fp").agg(first.alias("at"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+        .select("fp", "sig", "n", F.col("at.doc_id").alias("lead"), F.col("at.mark").alias("mark"),
                 F.monotonically_increasing_id().alias("node")))
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)])
     bands = nodes.select("node", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").count().filter("count > 1").select("key")
+    shared = materialize(bands.groupBy("key").count().filter("count > 1").select("key"))
     bands = materialize(bands.join(shared, "key"))
-    edges, comps = None, None
-    for turn in range(PIVOT_PASSES + 1):
-        open_rows = materialize(_open_bands(bands, comps))
-        if open_rows.isEmpty():
-            break
-        if turn < PIVOT_PASSES:
-            pairs = _prune(_pivot_pairs(open_rows, turn), nodes, table)
-        else:
-            pairs = _rest_pairs(open_rows, nodes, table)
-        pairs = materialize(pairs)
-        if pairs.isEmpty():
-            continue
-        found = _links(pairs, nodes, rows, size, share)
-        if found.isEmpty():
-            continue
-        edges = found if edges is None else materialize(edges.union(found))
-        comps = components(edges)
+    comps = _components_of(bands, nodes, rows, size, share, table)
     if comps is None:
         classes = nodes.select("fp", F.col("lead").alias("first"))
     else:
@@ -338,6 +405,35 @@ def near_duplicates(docs, size=5, share=(80, 100), text="text", doc_id="doc_id")
     return linked.unionByName(plain).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _components_of(bands, nodes, rows, size, share, table):
+    """(node, comp) of the linked nodes, or None without links."""
+    state = {"edges": None, "comps": None}
+
+    def add(found):
+        found = materialize(found)
+        if not found.isEmpty():
+            state["edges"] = found if state["edges"] is None else materialize(state["edges"].union(found))
+            state["comps"] = components(state["edges"])
+
+    def link(pairs, sets):
+        pairs = materialize(pairs)
+        if not pairs.isEmpty():
+            add(_links(pairs, sets or _sets(_ends(pairs), nodes, rows, size), share))
+
+    open_rows = _open_bands(bands, None)
+    link(_prune(_pivot_pairs(open_rows, F.lit(0)), nodes, table), None)
+    open_rows = _open_bands(bands, state["comps"])
+    if open_rows.isEmpty():
+        return state["comps"]
+    sets = _sets(open_rows.select("node").distinct(), nodes, rows, size)
+    likely = materialize(_likely(open_rows, sets, nodes, share))
+    open_rows = _open_bands(likely, state["comps"])
+    link(_prune(_pivot_pairs(open_rows, -F.col("common")), nodes, table), sets)
+    open_rows = _open_bands(likely, state["comps"])
+    add(_rest_links(open_rows, nodes, sets, table, share))
+    return state["comps"]
+
+
 def link_documents(docs):
     """Near-duplicates by three-word shingles at 85 of 100."""
     return near_duplicates(docs.select(column("doc_id"), column("text")), size=3, share=(85, 100))
