@@ -42,7 +42,7 @@ def pieces(batch, index, limit=PIECE_BYTES):
         start = stop
 
 
-def per_text(df, text, fn, fields, carry=None, binary=False):
+def per_text(df, text, fn, fields, carry=None, binary=False, limit=PIECE_BYTES):
     """Carried columns plus `fields`, which `fn` computes from lists of whole texts.
 
     `fn(texts)` gets str (bytes with `binary`) or None per row and returns one list or array per
@@ -62,7 +62,7 @@ def per_text(df, text, fn, fields, carry=None, binary=False):
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, at):
+            for piece in pieces(batch, at, limit):
                 found = fn(piece.column(at).to_pylist())
                 arrays = [pa.array(values, type=kind) for values, kind in zip(found, types)]
                 yield pa.RecordBatch.from_arrays(piece.columns[:len(keep)] + arrays, names=schema.names)

@@ -4,7 +4,6 @@ import re
 from collections import defaultdict
 
 import numpy as np
-import xxhash
 from pyspark.sql import functions as F
 
 from .common import column, materialize, neutral, per_text, small
@@ -24,23 +23,52 @@ minute minutes hour hours day days week weeks month months year years percent do
 degree degrees""".split())
 NUMBER = re.compile(r"([$€£]?)([+-]?[0-9][0-9.,/:]*)(.*)", re.DOTALL)
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~" + "¡¿«»“”‘’…–—"
-KEEP_AT_NUMBER = "$€£%+-"
+AROUND_NUMBER = "".join(c for c in EDGES if c not in "$€£%+-")
+AROUND_UNIT = EDGES.replace("%", "")
 ENDS = (".", "!", "?", ":", ";")
-NUM, NAME, UNIT = (xxhash.xxh3_64_intdigest(b"\0" + s) for s in (b"num", b"name", b"unit"))
-CACHE = 300_000
+CACHE = 400_000
+
+MASK = (1 << 64) - 1
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+STIR = 0xBF58476D1CE4E5B9
+NUM, NAME, UNIT = 1, 2, 3
+PIECE = 1 << 19              # text bytes handled at once, so that the arrays stay in the processor's cache
+BLANK, LETTER, LEAD, TAIL = 1, 2, 4, 8
+BYTES = np.zeros(256, np.uint8)                          # what a byte is: LEAD and TAIL make ß and à to ÿ
+BYTES[[9, 10, 11, 12, 13, 32]] = BLANK
+BYTES[97:123] = LETTER
+BYTES[0xC3] = LEAD
+BYTES[[0x9F, *(b for b in range(0xA0, 0xC0) if b != 0xB7)]] = TAIL
+CLOSING = np.zeros(256, bool)
+CLOSING[[ord(c) for c in ",.!?:;"]] = True
+ENDING = CLOSING & (np.arange(256) != ord(","))
+VALUES = np.arange(1, 257, dtype=np.uint64)
 
 
 # ----------------------------------------------------------------------- templates
 
+def _code(word):
+    """64-bit code of a word: a polynomial of its UTF-8 bytes, stirred."""
+    h = 0
+    for b in word.encode("utf-8", "surrogatepass"):
+        h = (h * BASE + b + 1) & MASK
+    h = (h ^ h >> 32) * STIR & MASK
+    return h ^ h >> 29
+
+
 def _analyse(raw):
-    """((code, slot) tokens inside a sentence, the same at its start, ends a sentence, is a unit)."""
+    """(tokens inside a sentence, tokens at its start, ends a sentence, is a unit) of a raw word.
+
+    Tokens are (code, slot); slot is None for words.
+    """
     core = raw.strip(EDGES)
     ends = raw.rstrip("\"')]}”’»").endswith(ENDS)
-    found = NUMBER.fullmatch(raw.strip("".join(c for c in EDGES if c not in KEEP_AT_NUMBER)))
-    if found and core:
+    found = NUMBER.fullmatch(raw.strip(AROUND_NUMBER)) if core else None
+    if found:
         sign, number, rest = found.groups()
         tokens = ([(UNIT, sign)] if sign else []) + [(NUM, number.rstrip(".,/:"))]
-        rest = rest.strip(EDGES.replace("%", "")).lower()
+        rest = rest.strip(AROUND_UNIT).lower()
         if rest == "%" or rest in UNITS:
             tokens.append((UNIT, rest))
         elif rest:
@@ -48,46 +76,128 @@ def _analyse(raw):
         return tokens, tokens, ends, False
     if not core:
         return [], [], ends, False
-    plain = [(_code(core.lower()), None)]
+    lower = core.lower()
+    plain = [(_code(lower), None)]
     named = [(NAME, core)] if core[0].isupper() else plain
-    return named, plain, ends, core.lower() in UNITS
+    return named, plain, ends, lower in UNITS
 
 
-def _code(word):
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+def _powers(n, known=[None, None]):  # noqa: B006  (kept for a task)
+    """BASE ** i and INVERSE ** i for i below n, modulo 2 ** 64."""
+    if known[0] is None or len(known[0]) < n:
+        for i, x in enumerate((BASE, INVERSE)):
+            line = np.full(max(n, 1 << 16), x, np.uint64)
+            line[0] = 1
+            known[i] = np.multiply.accumulate(line)
+    return known[0][:n], known[1][:n]
 
 
-def template(text, cache):
-    """(codes, slots) of a text: one code a template token, and {place: value} of its placeholders.
+def _simple_words(data):
+    """(starts, core ends, ends, codes, simple, capital, closes a sentence) of the words of a byte array.
 
-    Words lose their punctuation and case. Numbers become one placeholder, capitalised words that
-    do not begin a sentence another, a unit after or joined to a number a third.
+    Simple words are a-z, à-ÿ and ß with at most a capital A-Z before and one closing mark after.
+    The code of a simple word is that of `_code` for its core in lower case, from running sums.
+    """
+    kind = BYTES[data]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], kind == BLANK, [True]])))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(VALUES[data] * down[:-1], out=sums[1:])
+    capital = (data[starts] >= 65) & (data[starts] <= 90)
+    final = data[ends - 1]
+    cores = ends - (CLOSING[final] & (ends - starts > 1))
+    codes = (sums[cores] - sums[starts]) * up[cores - 1]
+    codes[capital] += np.uint64(32) * up[(cores - 1 - starts)[capital]]
+    codes = (codes ^ codes >> np.uint64(32)) * np.uint64(STIR)
+    codes ^= codes >> np.uint64(29)
+    letter = kind == LETTER
+    pair = np.flatnonzero((kind[:-1] == LEAD) & (kind[1:] == TAIL))
+    letter[pair] = letter[pair + 1] = True
+    odd = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(~letter, dtype=np.int32, out=odd[1:])
+    simple = odd[cores] == odd[np.minimum(starts + capital, cores)]
+    return starts, cores, ends, codes, simple, capital, ENDING[final] & (cores < ends)
+
+
+def templates(texts, cache):
+    """(codes of all texts end to end, end of each text, slots of a text by its number).
+
+    `texts` are bytes. One code a template token: words lose their punctuation and case, numbers
+    become one placeholder, capitalised words that do not begin a sentence another, a unit after
+    or joined to a number a third. The slots are {place in the text: value} of the placeholders.
+    Simple words are handled as arrays; only the others are looked at one by one.
     """
-    codes, slots = [], {}
-    start, number = True, False
+    text = b"\n".join(texts)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+    starts, cores, stops, codes, simple, capital, closes = _simple_words(np.frombuffer(text, np.uint8))
+    n = len(starts)
+    firsts = np.searchsorted(starts, begins)             # first word of each text
+    opens = np.append(False, closes)                     # whether a word begins a sentence
+    opens[firsts] = True
+    opening = set(firsts.tolist())
     if len(cache) > CACHE:
         cache.clear()
-    for raw in text.split():
+    odd = np.flatnonzero(~simple)
+    last, number = -2, False
+    sizes, found, slots, units = [], [], {}, set()
+    for k, lo, hi in zip(odd.tolist(), starts[odd].tolist(), stops[odd].tolist()):
+        raw = text[lo:hi]
         known = cache.get(raw)
         if known is None:
-            known = cache[raw] = _analyse(raw)
+            known = cache[raw] = _analyse(raw.decode("utf-8", "replace"))
         inside, first, ends, unit = known
+        begin = bool(opens[k])
+        number = number and k == last + 1 and k not in opening
         if unit and number:
-            slots[len(codes)] = raw.strip(EDGES).lower()
-            codes.append(UNIT)
+            tokens = [(UNIT, raw.decode("utf-8", "replace").strip(EDGES).lower())]
             number = False
         else:
-            tokens = first if start else inside
-            for code, slot in tokens:
-                if slot is not None:
-                    slots[len(codes)] = slot
-                codes.append(code)
-            number = bool(tokens) and tokens[-1][0] == NUM
-        if ends:
-            start = True
-        elif inside:
-            start = False
-    return np.array(codes, np.uint64), slots
+            tokens = first if begin else inside
+            if tokens:
+                number = tokens[-1][0] == NUM
+        for j, (code, slot) in enumerate(tokens):
+            found.append(code)
+            if slot is not None:
+                slots[k, j] = slot
+        sizes.append(len(tokens))
+        if k + 1 not in opening:
+            opens[k + 1] = ends or (begin and not tokens)
+        last = k
+        if number and k + 1 < n and simple[k + 1] and k + 1 not in opening:
+            after = text[starts[k + 1]:cores[k + 1]].decode().lower()
+            if after in UNITS:
+                units.add(k + 1)
+                slots[k + 1, 0] = after
+    names = simple & capital & ~opens[:n]
+    codes[names] = NAME
+    if units:
+        codes[list(units)] = UNIT
+    counts = np.ones(n + 1, np.int64)
+    counts[odd] = sizes
+    counts[-1] = 0
+    offsets = np.cumsum(counts) - counts                 # first token of each word, and the end of all
+    line = np.empty(int(counts.sum()), np.uint64)
+    line[offsets[:-1][simple]] = codes[simple]
+    sizes = np.array(sizes, np.int64)
+    within = np.arange(len(found)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    line[np.repeat(offsets[odd], sizes) + within] = np.array(found, np.uint64)
+    bounds = np.append(firsts, n)
+    edges = offsets[bounds]
+
+    def slots_of(i):
+        lo, hi = bounds[i], bounds[i + 1]
+        own = {}
+        for k in range(lo, hi):
+            at = int(offsets[k] - edges[i])
+            if names[k] and k not in units:
+                own[at] = text[starts[k]:cores[k]].decode()
+            for j in range(int(counts[k])):
+                if (k, j) in slots:
+                    own[at + j] = slots[k, j]
+        return own
+
+    return line, edges[1:], slots_of
 
 
 def windows(codes, size):
@@ -107,15 +217,16 @@ def windows(codes, size):
 
 def _index(items):
     """Lookup for a block of benchmark items [(item_id, text)]."""
-    cache, by_size, kept = {}, defaultdict(list), []
-    for item_id, text in items:
-        codes, slots = template(text, cache)
+    by_size, kept = defaultdict(list), []
+    line, ends, slots_of = templates([text.encode() for _, text in items], {})
+    for t, (item_id, _) in enumerate(items):
+        codes = line[ends[t - 1] if t else 0:ends[t]]
         n = len(codes)
         if not n:
             continue
         size = min(WINDOW, n)
         at = len(kept)
-        kept.append((item_id, n, size, slots))
+        kept.append((item_id, n, size, slots_of(t)))
         by_size[size, n < SHORTEST].extend((h, at, i) for i, h in enumerate(windows(codes, size).tolist()))
     index = {}
     for key, rows in by_size.items():
@@ -149,24 +260,33 @@ def _consistent(hits, size, item_slots, doc_slots):
     return kept, changed
 
 
-def _match(text, kept, index, cache):
-    """Contaminating items of one text: [(item_id, matched windows, coverage, longest run, changed slots)]."""
-    codes, slots = template(text, cache)
-    hits = defaultdict(list)
+def _hits(line, ends, index):
+    """{text number: {item number: [(item place, text place)]}} of the windows that texts share with items.
+
+    The texts of a batch are looked up end to end, one pass a window size.
+    """
+    lengths = np.diff(ends, prepend=0)
+    hits = defaultdict(lambda: defaultdict(list))
     for (size, whole), (known, places) in index.items():
-        if whole and len(codes) != size:
-            continue
-        found = windows(codes, size)
-        if not len(found):
-            continue
+        found = windows(line, size)
         near = np.minimum(np.searchsorted(known, found), len(known) - 1)
-        for d in np.flatnonzero(known[near] == found).tolist():
-            for at, i in places[int(found[d])]:
-                hits[at].append((i, d))
+        at = np.flatnonzero(known[near] == found)
+        owner = np.searchsorted(ends, at, side="right")
+        inside = at + size <= ends[owner]
+        if whole:
+            inside &= lengths[owner] == size
+        for d, t in zip(at[inside].tolist(), owner[inside].tolist()):
+            for item, i in places[int(found[d])]:
+                hits[t][item].append((i, d - int(ends[t] - lengths[t])))
+    return hits
+
+
+def _matches(hits, kept, slots):
+    """Contaminating items of one text: [(item_id, matched windows, coverage, longest run, changed slots)]."""
     results = []
     for at, pairs in hits.items():
         item_id, n, size, item_slots = kept[at]
-        good, changed = _consistent(pairs, size, item_slots, slots)
+        good, changed = _consistent(sorted(pairs, key=lambda p: (p[1], p[0])), size, item_slots, slots)
         if not good:
             continue
         covered = np.zeros(n, bool)
@@ -210,14 +330,17 @@ def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
     for block in _blocks(items):
         shared = spark.sparkContext.broadcast(_index(block))
 
-        def run(texts, shared=shared):
+        def run(texts, shared=shared, cache={}):     # the cache of words lasts for a task  # noqa: B006
             kept, index = shared.value
-            cache = {}
+            line, ends, slots_of = templates([t or b"" for t in texts], cache)
+            hits = _hits(line, ends, index)
             return [[[dict(zip(("item_id", "matched_windows", "coverage", "longest_run", "changed_slots"), r))
-                      for r in _match(t, kept, index, cache)] if t else [] for t in texts]]
+                      for r in _matches(hits[i], kept, slots_of(i))] if i in hits else []
+                     for i in range(len(texts))]]
 
         found = per_text(rows, "text", run, f"found array<struct<item_id:{kind},matched_windows:int,coverage:double,"
-                                            "longest_run:int,changed_slots:int>>", carry=["doc_id"])
+                                            "longest_run:int,changed_slots:int>>", carry=["doc_id"], binary=True,
+                         limit=PIECE)
         found = found.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
         results = found if results is None else results.unionByName(found)
     if results is None:

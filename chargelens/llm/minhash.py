@@ -67,8 +67,10 @@ def signature(shingles):
 
 
 def _profile(size):
+    codes = {}                   # of words, kept for a task
+
     def run(texts):
-        codes, rows = {}, []
+        rows = []
         for t in texts:
             shingles = shingle_set(t, size, codes)
             n = len(shingles)
