@@ -71,3 +71,8 @@ def grid_points_reached(score, grid):
                 f"{between(mid + 1, hi)}, {between(lo, mid)})")
 
     return F.expr(between(0, len(grid)))
+
+
+def present(score):
+    """The score; a null one has no side of any threshold and fails the job by name."""
+    return F.coalesce(F.col(score).cast("double"), F.raise_error(F.lit(f"null score in {score}")).cast("double"))

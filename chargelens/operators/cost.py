@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import grid_points_reached, ratio_or_zero
+from ..functions.expressions import grid_points_reached, present, ratio_or_zero
 from ..schemas import DEFAULT_THRESHOLD, REVIEW_COST, THRESHOLD_GRID
 
 
@@ -23,7 +23,7 @@ def _report(frame, review_cost):
 def cost_at(scored, threshold=DEFAULT_THRESHOLD, review_cost=REVIEW_COST, label="is_fraud",
             score="score", amount="amount"):
     """Counts and cost of flagging every row with score >= threshold."""
-    flagged, fraud = F.col(score) >= F.lit(float(threshold)), F.col(label) == 1
+    flagged, fraud = present(score) >= F.lit(float(threshold)), F.col(label) == 1
     return _report(scored.agg(
         F.lit(float(threshold)).alias("threshold"),
         F.count_if(flagged & fraud).alias("tp"), F.count_if(flagged & ~fraud).alias("fp"),
@@ -40,6 +40,7 @@ def threshold_sweep(scored, grid=THRESHOLD_GRID, review_cost=REVIEW_COST, label=
     """
     grid = sorted(grid)
     fraud = F.col(label) == 1
+    scored = scored.withColumn(score, present(score))
     groups = scored.groupBy(grid_points_reached(score, grid).alias("reached")).agg(
         F.count_if(fraud).alias("pos"), F.count_if(~fraud).alias("neg"),
         F.sum(F.when(fraud, F.col(amount)).otherwise(0.0)).alias("dollars"))

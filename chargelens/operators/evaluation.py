@@ -2,19 +2,19 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import ratio_or_zero
+from ..functions.expressions import present, ratio_or_zero
 from ..schemas import DEFAULT_THRESHOLD
 from .ordered import running_totals
 
 
 def predict_label(scored, threshold=DEFAULT_THRESHOLD, score="score"):
     """Add the 0/1 decision; a score equal to the threshold is flagged."""
-    return scored.withColumn("predicted", (F.col(score) >= F.lit(float(threshold))).cast("int"))
+    return scored.withColumn("predicted", (present(score) >= F.lit(float(threshold))).cast("int"))
 
 
 def confusion_matrix(scored, threshold=DEFAULT_THRESHOLD, label="is_fraud", score="score"):
     """One row: tn, fp, fn, tp."""
-    flagged = F.col(score) >= F.lit(float(threshold))
+    flagged = present(score) >= F.lit(float(threshold))
     fraud = F.col(label) == 1
     return scored.agg(
         F.count_if(~flagged & ~fraud).alias("tn"), F.count_if(flagged & ~fraud).alias("fp"),
@@ -61,7 +61,7 @@ def classification_report(scored, threshold=DEFAULT_THRESHOLD, label="is_fraud",
 
 def score_counts(scored, label="is_fraud", score="score"):
     """Frauds and legit rows per distinct score."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+    return scored.groupBy(present(score).alias("score")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"))
 
@@ -69,7 +69,9 @@ def score_counts(scored, label="is_fraud", score="score"):
 def _cumulative(scored, label, score, places):
     if places is not None:      # plain arithmetic; a decimal rounding per row costs far more
         unit = F.lit(10.0 ** places)
-        scored = scored.withColumn(score, F.floor(F.col(score) * unit + 0.5) / unit)
+        inside = F.when(present(score).between(0, 1), F.col(score)).otherwise(
+            F.raise_error(F.lit(f"{score} is not between 0 and 1; leave out places")).cast("double"))
+        scored = scored.withColumn(score, F.floor(inside * unit + 0.5) / unit)
     return running_totals(score_counts(scored, label, score), [F.desc("score")],
                           {"tp": "pos", "fp": "neg"}, bounded=places is not None)
 
@@ -78,7 +80,8 @@ def pr_curve(scored, label="is_fraud", score="score", places=None):
     """Precision and recall at every distinct score, and the end point (recall 0, precision 1).
 
     `places` rounds the scores, which bounds their number (10,001 for 4 places) and lets a single
-    small window do the sums; raw scores take the distributed running sum.
+    small window do the sums; raw scores take the distributed running sum. Scores to be rounded must be
+    in [0, 1], else the job fails by name.
     """
     curve = _cumulative(scored, label, score, places).select(
         F.col("score").alias("threshold"),

@@ -73,6 +73,15 @@ def _literal(df, column, number):
                   f"cast({seconds}.{micros:06d} as decimal(18,6)))")
 
 
+def _cell(lo, width, wide):
+    """Number of the cell of `_place`, in whole numbers; `wide` ranges do not fit a bigint."""
+    if not wide:
+        return F.expr(f"(_place - cast('{lo}' as bigint)) div {width}L")
+    far = F.expr(f"cast(_place as decimal(20,0)) - cast('{lo}' as decimal(20,0))")
+    step = F.lit(str(width)).cast("decimal(20,0)")
+    return ((far - far % step) / step).cast("bigint")
+
+
 def _narrow(df, column, rank, lo, hi, total):
     """Count equal-width cells of [lo, hi], step into the one that holds `rank`, repeat.
 
@@ -81,8 +90,8 @@ def _narrow(df, column, rank, lo, hi, total):
     place = _as_integer(df, column)
     while total > FINISH_ROWS and hi > lo:
         width = -(-(hi - lo + 1) // CELLS)
-        cell = F.floor((place - F.lit(lo)) / F.lit(width)).cast("bigint")
-        counts = sorted(df.groupBy(cell.alias("cell")).count().collect())  # at most CELLS rows
+        cell = _cell(lo, width, wide=hi - lo >= 1 << 63)
+        counts = sorted(df.select(place.alias("_place")).groupBy(cell.alias("cell")).count().collect())  # at most CELLS rows
         for cell_number, total in counts:
             if rank < total:
                 break
@@ -98,14 +107,18 @@ def row_at_rank(df, rank_of, order=("timestamp", "transaction_id")):
     A selection by counting: each pass reads the order keys and returns at most CELLS counts, until
     the cell that holds the row is small enough to sort. Nothing is shuffled but the counts. A key
     value shared by any share of the rows is resolved by the same search over the next key.
-    None when there is no such row.
+    None when there is no such row. Rows with a null order key have no place: they are refused by name.
     """
     df = df.select(*order)
     rank = total = None
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in order]
     for column in order:
         place = _as_integer(df, column)
         ends = df.agg(F.min(place).alias("lo"), F.max(place).alias("hi"),
-                      F.count(F.lit(1)).alias("n")).first()
+                      F.count(F.lit(1)).alias("n"), *nulls).first()
+        for c in order:
+            if ends[f"_null_{c}"]:
+                raise ValueError(f"order key {c} is null in {ends[f'_null_{c}']} rows")
         if rank is None:
             total = ends["n"]
             rank = rank_of(total)

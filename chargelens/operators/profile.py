@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import percent
+from ..functions.expressions import percent, ratio_or_zero
 
 
 def _rate():
@@ -20,29 +20,29 @@ def rate_by_hour(txns):
 
 
 def amount_density(txns, bins=60):
-    """Histogram of log10(amount) per class: (is_fraud, bin, lower, upper, n, density).
+    """Histogram of log10(amount) per class: (is_fraud, bin, lower, upper, n, density, without_log).
 
-    Bin edges are shared by both classes and span all positive amounts; density sums to 1 over each
-    class. The last bin includes the maximum. Empty bins are left out.
+    Every class has all bins. Their edges are shared and span all positive amounts; the last bin
+    includes the maximum; density sums to 1 over each class. Rows of the class without a logarithm
+    (amount null, zero or less) are in no bin and counted in `without_log`.
     """
-    logs = txns.filter(F.col("amount") > 0).select("is_fraud", F.log10("amount").alias("_log"))
-    ends = logs.agg(F.min("_log").alias("lo"), F.max("_log").alias("hi")).first()
-    if ends["lo"] is None:
-        return _density(logs, F.lit(0), F.lit(0.0), F.lit(1.0))
-    lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / bins or 1.0
-    cell = F.least(F.floor((F.col("_log") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    return _density(logs, cell, F.lit(lo), F.lit(width))
-
-
-def _density(logs, cell, lo, width):
-    # at most two classes times the number of bins
-    counts = logs.groupBy("is_fraud", cell.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    of_class = counts.groupBy("is_fraud").agg(F.sum("n").alias("class_n"))
-    return (counts.join(F.broadcast(of_class), "is_fraud")
+    log = F.when(F.col("amount") > 0, F.log10("amount"))
+    ends = txns.agg(F.min(log).alias("lo"), F.max(log).alias("hi")).first()
+    lo = ends["lo"] or 0.0
+    width = ((ends["hi"] or 0.0) - lo) / bins or 1.0
+    cell = F.least(F.floor((log - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    # at most two classes times the number of bins and one
+    counts = txns.groupBy("is_fraud", F.when(log.isNotNull(), cell).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    classes = counts.groupBy("is_fraud").agg(
+        F.sum(F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)).alias("class_n"),
+        F.sum(F.when(F.col("bin").isNull(), F.col("n")).otherwise(0)).alias("without_log"))
+    grid = classes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    return (grid.join(F.broadcast(counts), ["is_fraud", "bin"], "left")
             .select("is_fraud", "bin",
-                    F.round(lo + F.col("bin") * width, 6).alias("lower"),
-                    F.round(lo + (F.col("bin") + 1) * width, 6).alias("upper"), "n",
-                    F.round(F.col("n") / (F.col("class_n") * width), 6).alias("density"))
+                    F.round(F.lit(lo) + F.col("bin") * F.lit(width), 6).alias("lower"),
+                    F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), 6).alias("upper"), n.alias("n"),
+                    F.round(ratio_or_zero(n, F.col("class_n") * F.lit(width)), 6).alias("density"), "without_log")
             .orderBy("is_fraud", "bin"))
 
 

@@ -227,7 +227,6 @@ def relational_queries():
 
 # ------------------------------------------------------- queries that fit models
 
-QUERY_TREES = 30    # the library default is 300
 _fitted = {}
 
 
@@ -242,12 +241,12 @@ def _once(kind, spark, d, build):
 def _card_run(spark, d):
     return _once("cards", spark, d, lambda: training.train_cards(
         views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
-        customer_rows=views.size(spark, d, "customer"), trees=QUERY_TREES))
+        customer_rows=views.size(spark, d, "customer")))
 
 
 def _wide_run(spark, d):
     return _once("wide", spark, d, lambda: training.train_wide(
-        views.wide(spark, d), ["vec_id"], "class", "amount", trees=QUERY_TREES))
+        views.wide(spark, d), ["vec_id"], "class", "amount"))
 
 
 def _artifact(spark, d):
@@ -319,7 +318,10 @@ def model_queries():
         "model_comparison": lambda s, d: training.model_comparison(_card_run(s, d)),
         "model_pr_curves": lambda s, d: training.pr_curves(_card_run(s, d)),
         "model_threshold_sweep": lambda s, d: _card_run(s, d).sweep(),
+        "model_reports": lambda s, d: training.model_reports(_card_run(s, d)),
         "metrics_document": lambda s, d: training.metrics_document(_card_run(s, d)),
+        "wide_metrics_document": lambda s, d: training.metrics_document(
+            _wide_run(s, d), source="embeddings (split on vec_id)"),
         "train_wide": lambda s, d: training.model_comparison(_wide_run(s, d)),
         "wide_threshold_sweep": lambda s, d: _wide_run(s, d).sweep(),
         "score_transactions": lambda s, d: job.ranked(_scored(s, d)),

@@ -4,19 +4,20 @@ from pyspark.sql import functions as F
 
 from ..operators import analyst
 
+# The titles "Headline fraud rate" and "Card-testing pattern".
 # number, title, query over {"customers", "merchants", "transactions"}
 SUITE = [
     (1, "Headline fraud rate", lambda t: analyst.headline_fraud_rate(t["transactions"])),
-    (2, "Fraud rate by merchant category, ranked",
+    (2, "Merchant categories by fraud rate",
      lambda t: analyst.fraud_rate_by_category(t["transactions"])),
-    (3, "Fraud rate by hour of day", lambda t: analyst.fraud_rate_by_hour(t["transactions"])),
-    (4, "Top 10 customers by confirmed fraud dollar loss",
+    (3, "Fraud rate over the day", lambda t: analyst.fraud_rate_by_hour(t["transactions"])),
+    (4, "Customers with the largest fraud losses",
      lambda t: analyst.top_fraud_customers(t["transactions"], t["customers"])),
-    (5, "Weekly fraud-rate trend", lambda t: analyst.weekly_trend(t["transactions"])),
+    (5, "Fraud rate per week", lambda t: analyst.weekly_trend(t["transactions"])),
     (6, "Card-testing pattern", lambda t: analyst.card_testing_customers(t["transactions"])),
-    (7, "Fraud rate by merchant risk bucket",
+    (7, "Fraud rate by merchant risk band",
      lambda t: analyst.fraud_rate_by_risk_bucket(t["transactions"])),
-    (8, "Customer spend anomalies",
+    (8, "Purchases far above a customer's norm",
      lambda t: analyst.spend_anomalies(t["transactions"], t["customers"])),
 ]
 

@@ -13,6 +13,7 @@ from ..sources import artifacts
 from ..storage import materialize
 
 MODELS = [models.LOGISTIC, models.FOREST]
+TRAIN_PARTITIONS = 32
 
 
 @dataclass
@@ -63,23 +64,25 @@ class Trained:
                                     label=self.layout.label, amount=self.layout.amount)
 
 
-def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
+def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, partitions=TRAIN_PARTITIONS):
     """Fit on the earlier rows and score the later ones.
 
-    The feature table and the scored test rows are each written once; every pass of the solvers
-    and every metric reads those.
+    The feature table and the scored test rows are each written once. The solvers read the training
+    rows dealt over `partitions` by a hash of the order keys and sorted in each, because the forest
+    draws its samples per partition: the model depends on that number and the data, not on cores,
+    files or the order of writing. Raise it with the table, to some million rows a partition.
     """
-    table = _spread(materialize(models.require_inputs(table.select(*layout.columns), layout.columns)),
-                    layout.order)
+    table = materialize(models.require_inputs(table.select(*layout.columns), layout.columns))
     early, late, split_at = ordered.temporal_split(table, test_fraction, layout.order)
     weights = features.class_weights(early, layout.label).collect()     # one row per class
     train_rows = sum(w["n"] for w in weights)
     inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical)
-    ready = inputs.transform(early).select(
-        "features", F.col(layout.label).cast("double").alias("label"),
-        features.weight_column(weights, layout.label).alias("weight"))
+    ready = (inputs.transform(early.repartition(partitions, *layout.order).sortWithinPartitions(*layout.order))
+             .select("features", F.col(layout.label).cast("double").alias("label"),
+                     features.weight_column(weights, layout.label).alias("weight")).persist())
     logistic = models.fit_logistic(ready, train_rows, "label")
     forest = models.fit_forest(ready, "label", trees=trees)
+    ready.unpersist()
     keep = list(dict.fromkeys([*layout.order, layout.label, layout.amount]))
     scored = materialize(models.with_scores(inputs.transform(late), logistic, forest)
                          .select(*keep, *MODELS))
@@ -87,19 +90,6 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION):
                    table.count(), train_rows)
 
 
-def _spread(table, order):
-    """A table that comes back from disk in at least one piece per core.
-
-    A small one would otherwise leave the solvers few tasks, so it is written again in more files.
-    A large one has more pieces than cores and stays as it is. The rows of a file are in a fixed
-    order, so the forest draws the same sample when a partition is computed again.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return materialize(table.repartition(cores, *order).sortWithinPartitions(*order))
-
-
 def train_cards(txns, customers, customer_rows=None, **settings):
     return train(features.build_features(txns, customers, customer_rows=customer_rows), CARD, **settings)
 
@@ -129,7 +119,7 @@ _COST_ROW = ("struct<threshold: double, precision: double, recall: double, false
 _MODEL_ROW = ("struct<precision: double, recall: double, f1: double, pr_auc: double, "
               "confusion_matrix: array<array<bigint>>>")
 DOCUMENT = (
-    "n_transactions bigint, fraud_rate double, "
+    "source string, n_transactions bigint, fraud_rate double, "
     "split struct<first_test_row: string, train_rows: bigint, test_rows: bigint>, "
     "test_fraud_rate double, cost_model struct<review_cost: double, missed_fraud: string>, "
     f"threshold_analysis struct<default: {_COST_ROW}, cost_optimal: {_COST_ROW}, "
@@ -137,8 +127,18 @@ DOCUMENT = (
     f"logistic_regression {_MODEL_ROW}, random_forest {_MODEL_ROW}")
 
 
-def metrics_document(run, review_cost=REVIEW_COST):
-    """The published metrics as one nested row, assembled from a few one-row results."""
+def model_reports(run):
+    """The per-class report of both models at 0.5."""
+    reports = [evaluation.classification_report(run.scores(name), label=run.layout.label)
+               .withColumn("model", F.lit(name)) for name in MODELS]
+    return reports[0].unionByName(reports[1])
+
+
+def metrics_document(run, review_cost=REVIEW_COST, source=None):
+    """The published metrics as one nested row, assembled from a few one-row results.
+
+    `source` says where the table came from.
+    """
     spark, layout = run.table.sparkSession, run.layout
     sweep = run.sweep(review_cost=review_cost).collect()    # one row per grid point
     optimal = min(sweep, key=lambda r: (r["expected_cost"], r["threshold"]))
@@ -150,7 +150,7 @@ def metrics_document(run, review_cost=REVIEW_COST):
                                  [[r["tn"], r["fp"]], [r["fn"], r["tp"]]])
     rate = profile.label_rate(run.table, layout.label, layout.places).first()[0]
     test_rate = profile.label_rate(run.scored, layout.label, layout.places).first()[0]
-    row = (run.rows, rate, (str(run.split_at[0]), run.train_rows, run.rows - run.train_rows), test_rate,
+    row = (source, run.rows, rate, (str(run.split_at[0]), run.train_rows, run.rows - run.train_rows), test_rate,
            (float(review_cost), f"{layout.amount} of the transaction"),
            (tuple(default), tuple(optimal),
             round(100 * saved / default["expected_cost"], 1) if default["expected_cost"] else 0.0),

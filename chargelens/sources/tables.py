@@ -12,8 +12,9 @@ class MissingColumns(ValueError):
 def read_table(spark, path, schema, fmt="parquet", optional=()):
     """Read with a declared schema; no inference.
 
-    CSV columns are matched by header name, in any order. Columns in `optional` may be absent,
-    columns unknown to the schema are kept as text.
+    CSV columns are matched by header name, in any order; the files of one folder must agree on it, a
+    file with another header fails the job. Columns in `optional` may be absent, columns unknown to
+    the schema are kept as text.
     """
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(path)
@@ -23,7 +24,13 @@ def read_table(spark, path, schema, fmt="parquet", optional=()):
     if missing:
         raise MissingColumns(f"{path} lacks {', '.join(missing)}")
     by_position = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in header])
-    return spark.read.schema(by_position).option("header", True).option("mode", "FAILFAST").csv(path)
+    return _checked_csv(spark, path, by_position)
+
+
+def _checked_csv(spark, path, schema):
+    """CSV files whose every header has the names of `schema` in its order."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
 
 
 def scan_transactions(spark, path, fmt="parquet", optional=("seconds_since_prev_txn", "is_fraud")):
@@ -81,7 +88,7 @@ def scan_wide(spark, path, order_key, label, fmt="parquet"):
         header = spark.read.option("header", True).csv(path).columns
         kinds = {order_key: T.LongType(), label: T.IntegerType()}
         schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in header])
-        df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+        df = _checked_csv(spark, path, schema)
     else:
         df = spark.read.format(fmt).load(path)
     if order_key not in df.columns:

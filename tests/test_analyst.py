@@ -98,9 +98,17 @@ def test_density_sums_to_one_per_class(spark, sf_dir):
         assert abs(r["s"] - 1) < 1e-3 and r["b"] <= 59
 
 
+def test_density_counts_every_row(spark):
+    df = spark.createDataFrame([(0, 5.0), (0, 0.0), (1, -2.0), (1, None), (1, 500.0)], "is_fraud int, amount double")
+    got = profile.amount_density(df).groupBy("is_fraud").agg(
+        F.sum("n").alias("n"), F.max("without_log").alias("w"), F.count(F.lit(1)).alias("bins")).orderBy("is_fraud")
+    assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 60), (1, 1, 2, 60)]
+
+
 def test_density_of_one_amount_and_of_none(spark):
     df = txns(spark, [(1, 1, 0, 5, 0), (2, 1, 0, 5, 1)])
-    assert rows(profile.amount_density(df), "is_fraud", "bin", "n") == [(0, 0, 1), (1, 0, 1)]
+    assert rows(profile.amount_density(df), "is_fraud", "bin", "n") == [
+        (c, b, int(b == 0)) for c in (0, 1) for b in range(60)]
     assert profile.amount_density(df.limit(0)).count() == 0
 
 

@@ -112,3 +112,13 @@ def test_flagging(spark):
     assert scoring.flag_summary(flagged.drop("is_fraud")).columns == ["scored", "flagged", "flagged_share"]
     assert scoring.flag_summary(flagged.limit(0)).first()["flagged_share"] == 0.0
     assert scoring.top_scored_fraud(df, "fraud_score").first()["transaction_id"] == 2
+
+
+def test_null_scores_and_scores_out_of_range_fail_by_name(spark):
+    df = spark.createDataFrame([(1, 0.9, 5.0), (1, None, 7.0)], "is_fraud int, score double, amount double")
+    for report in (cost.cost_at, cost.threshold_sweep, evaluation.confusion_matrix, evaluation.pr_curve):
+        with pytest.raises(Exception, match="null score in score"):
+            report(df).collect()
+    far = spark.createDataFrame([(1, 7.5)], "is_fraud int, score double")
+    with pytest.raises(Exception, match="not between 0 and 1"):
+        evaluation.pr_curve(far, places=4).collect()

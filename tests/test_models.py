@@ -178,3 +178,17 @@ def test_rule_can_be_learned_from_rapid_bursts(spark):
     run = training.train_cards(df, spend, trees=5)
     for name in training.MODELS:
         assert evaluation.average_precision(run.scores(name)).first()[0] > 0.99
+
+
+def test_forest_does_not_depend_on_files_or_cores(spark, txns, customers):
+    """The files a table lies in and the read splits, which follow the cores, change; the model does not."""
+    found = []
+    for files, split in ((2, "128m"), (9, "4k")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            run = training.train_cards(txns.repartition(files, "amount"), customers, trees=5)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        found.append((run.forest.totalNumNodes, [round(x, 9) for x in run.forest.featureImportances.toArray()]))
+        assert training.model_reports(run).count() == 10
+    assert found[0] == found[1]

@@ -114,3 +114,21 @@ def test_running_totals(spark, bounded):
     for k in range(500):
         later = range(k, 500)
         assert got[k] == (sum(i % 4 for i in later), len(later), sum(i % 4 for i in range(500)), 500)
+
+
+@pytest.mark.parametrize("keys", [
+    [0, 4_000, 4_001, 4_005, 2**62], [-2**63, -5, 0, 3, 2**63 - 1], [-2**62 - 3, -2**62, 2**61, 2**62, 2**62 + 1]])
+def test_rank_of_keys_beyond_doubles(spark, monkeypatch, keys):
+    monkeypatch.setattr(ordered, "FINISH_ROWS", 1)
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    assert [ordered.row_at_rank(df, lambda n, i=i: i, ["k"])[0] for i in range(len(keys))] == sorted(keys)
+
+
+@pytest.mark.parametrize("finish", [1, 100])
+def test_null_order_keys_are_refused(spark, monkeypatch, finish):
+    monkeypatch.setattr(ordered, "FINISH_ROWS", finish)
+    df = spark.createDataFrame([(i if i > 1 else None, i) for i in range(10)], "k bigint, id bigint")
+    with pytest.raises(ValueError, match="order key k is null in 2 rows"):
+        ordered.temporal_split(df, 0.25, ["k", "id"])
+    with pytest.raises(ValueError, match="order key k"):
+        ordered.temporal_split(df, 0.25, ["id", "k"])

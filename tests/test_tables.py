@@ -80,3 +80,10 @@ def test_tables_go_to_the_configured_folder(spark):
         assert storage.new_path(spark).startswith(folder.rstrip("/"))
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     assert storage.materialize(df).exceptAll(df).count() == 0
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("customer_id,home_city,age,avg_monthly_spend\n1,Rome,30,10.5\n")
+    (tmp_path / "b.csv").write_text("age,home_city,customer_id,avg_monthly_spend\n60,Oslo,2,20.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.scan_customers(spark, str(tmp_path), "csv").collect()
