@@ -1,5 +1,6 @@
 """Every registered query as a callable (spark, folder of the test tables) -> DataFrame."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.expressions import risk_bucket
@@ -66,15 +67,32 @@ def _build_features(spark, d):
 def _scaled_features(spark, d):
     full = materialize(_features(spark, d).select(*ORDER, *FEATURES_NUM))    # read three times below
     train, _, _ = _split(full)
-    scaled = features.scale_features(full, features.fit_scaling(train, FEATURES_NUM))
-    return scaled.select("transaction_id", *[
+    inputs, _ = models.fit_inputs(train, FEATURES_NUM)                       # the stages that training fits
+    return inputs.transform(full).select("transaction_id", *[
         F.round(f"{c}_z", 5).alias(f"{c}_z") for c in FEATURES_NUM])
 
 
 def _one_hot_category(spark, d):
-    txns = _txns(spark, d).select(*ORDER, "category")
+    txns = materialize(_txns(spark, d).select(*ORDER, "category", "amount"))
     train, _, _ = _split(txns)
-    return features.one_hot(txns, "category", features.fit_categories(train, "category")).drop("timestamp")
+    inputs, names = models.fit_inputs(train, ["amount"], "category")
+    slots = vector_to_array("_category_slots")
+    return inputs.transform(txns).select("transaction_id", "category", *[
+        slots[i].cast("int").alias(name) for i, name in enumerate(names[1:])])
+
+
+def _landed(spark, frame, fmt):
+    """Where the frame was written as a file of that format, for the scans to read."""
+    path = new_path(spark, "landing")
+    if fmt == "csv":
+        sources.write_csv(frame, path)
+    else:
+        frame.write.format(fmt).save(path)
+    return path
+
+
+def _scan_transactions(spark, d):
+    return sources.scan_transactions(spark, _landed(spark, views.transactions(spark, d, gaps=True), "parquet"))
 
 
 def _class_weights(spark, d):
@@ -115,7 +133,9 @@ def _wide_label_rate(spark, d):
 
 
 def _scan_wide(spark, d):
-    return views.wide(spark, d).select(
+    path = _landed(spark, views.wide(spark, d), "csv")
+    wide, _ = sources.scan_wide(spark, path, "vec_id", "class", "csv")
+    return wide.select(
         "vec_id", *[F.round(c, 6).alias(c) for c in views.WIDE_FEATURES], "amount", "class")
 
 
@@ -156,9 +176,9 @@ def _not_null(spark, d):
 def relational_queries():
     return {
         # sources
-        "scan_transactions": lambda s, d: views.transactions(s, d, gaps=True),
-        "scan_customers": views.customers,
-        "scan_merchants": views.merchants,
+        "scan_transactions": _scan_transactions,
+        "scan_customers": lambda s, d: sources.scan_customers(s, _landed(s, views.customers(s, d), "csv"), "csv"),
+        "scan_merchants": lambda s, d: sources.scan_merchants(s, _landed(s, views.merchants(s, d), "csv"), "csv"),
         "scan_wide": _scan_wide,
         "load_counts": lambda s, d: sources.load_counts(s, views.tables(s, d)),
         "query_suite": lambda s, d: suite.suite_overview(views.tables(s, d)),
@@ -280,8 +300,10 @@ def _predict_proba(spark, d):
 
 
 def _scored(spark, d):
-    return job.score(spark, views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
-                     _artifact(spark, d), customer_rows=views.size(spark, d, "customer"))
+    """Scored once and written; the ranking and the summary read that."""
+    return _once("scored", spark, d, lambda: materialize(job.score(
+        spark, views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
+        _artifact(spark, d), customer_rows=views.size(spark, d, "customer"))))
 
 
 def _gini(spark, d):

@@ -1,6 +1,7 @@
 """The numbered analyst questions, run together."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import analyst
 
@@ -34,10 +35,12 @@ def write_suite(tables, folder):
 
 
 def suite_overview(tables):
-    """(query_no, title, n_rows) of every question."""
+    """(query_no, title, n_rows, total) of every question; `total` adds up all numbers of its result."""
     overview = None
     for number, (title, result) in run_suite(tables).items():
+        numbers = [f.name for f in result.schema.fields if isinstance(f.dataType, T.NumericType)]
+        whole = sum(F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in numbers)
         line = result.agg(F.lit(number).alias("query_no"), F.lit(title).alias("title"),
-                          F.count(F.lit(1)).alias("n_rows"))
+                          F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(whole), 3).alias("total"))
         overview = line if overview is None else overview.unionByName(line)
     return overview.orderBy("query_no")

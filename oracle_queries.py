@@ -117,13 +117,17 @@ def _q(text, more=""):
     return f"WITH {_VIEWS}{more}\n{text}"
 
 
-def _card_testing(gap):
-    return _q(f"""
+def _card_testing_rows(gap):
+    return f"""
 SELECT customer_id, count(*) AS rapid_repeat_txns, CAST(sum(is_fraud) AS BIGINT) AS of_which_fraud,
        ((2 * sum(CAST(round(amount * 100) AS BIGINT)) + count(*)) // (2 * count(*)))::DOUBLE / 100.0::DOUBLE
          AS avg_amount
 FROM gaps WHERE gap_seconds < {gap} GROUP BY customer_id HAVING count(*) >= 2
-ORDER BY rapid_repeat_txns DESC, customer_id DESC LIMIT 15""", _GAPS)
+ORDER BY rapid_repeat_txns DESC, customer_id DESC LIMIT 15"""
+
+
+def _card_testing(gap):
+    return _q(_card_testing_rows(gap), _GAPS)
 
 
 HEADLINE = f"""
@@ -158,23 +162,28 @@ SELECT transaction_id, customer_id, amount, round(daily, 2) AS implied_daily_spe
 FROM (SELECT customer_id, avg_monthly_spend / 30.0::DOUBLE AS daily FROM customers) AS norms
 JOIN transactions USING (customer_id) WHERE amount > 3.0::DOUBLE * daily
 ORDER BY x_over_daily_norm DESC, transaction_id LIMIT 20"""
-CARD_TESTING_ROWS = """
-SELECT customer_id FROM gaps WHERE gap_seconds < 120 GROUP BY customer_id HAVING count(*) >= 2 LIMIT 15"""
-
 
 def _text(value):
     return "'" + value.replace("'", "''") + "'"
 
 
 def _suite():
-    questions = [("Headline fraud rate", HEADLINE), ("Merchant categories by fraud rate", BY_CATEGORY),
-                 ("Fraud rate over the day", BY_HOUR),
-                 ("Customers with the largest fraud losses", TOP_CUSTOMERS),
-                 ("Fraud rate per week", TREND), ("Card-testing pattern", CARD_TESTING_ROWS),
-                 ("Fraud rate by merchant risk band", BY_BUCKET), ("Purchases far above a customer's norm", ANOMALIES)]
+    counts = "txns + fraud_txns + fraud_rate_pct"
+    questions = [
+        ("Headline fraud rate", HEADLINE,
+         "total_transactions + fraud_transactions + fraud_rate_pct + coalesce(fraud_dollar_loss, 0)"),
+        ("Merchant categories by fraud rate", BY_CATEGORY, f"{counts} + coalesce(fraud_dollar_loss, 0)"),
+        ("Fraud rate over the day", BY_HOUR, f"{counts} + hour_of_day"),
+        ("Customers with the largest fraud losses", TOP_CUSTOMERS, "customer_id + fraud_txns + total_fraud_amount"),
+        ("Fraud rate per week", TREND, f"{counts} + rolling_3wk_avg_fraud_rate"),
+        ("Card-testing pattern", _card_testing_rows(120), "customer_id + rapid_repeat_txns + of_which_fraud + avg_amount"),
+        ("Fraud rate by merchant risk band", BY_BUCKET, "txns + actual_fraud_rate_pct"),
+        ("Purchases far above a customer's norm", ANOMALIES,
+         "transaction_id + customer_id + amount + implied_daily_spend + x_over_daily_norm + is_fraud")]
     return _q("\nUNION ALL\n".join(
-        f"SELECT {i} AS query_no, {_text(title)} AS title, count(*) AS n_rows FROM ({text}) AS q{i}"
-        for i, (title, text) in enumerate(questions, 1)), _WEEKLY + _GAPS)
+        f"SELECT {i} AS query_no, {_text(title)} AS title, count(*) AS n_rows, "
+        f"round(sum(CAST({numbers} AS DOUBLE)), 3) AS total FROM ({text}) AS q{i}"
+        for i, (title, text, numbers) in enumerate(questions, 1)), _WEEKLY + _GAPS)
 
 
 def _nulls():
