@@ -25,6 +25,16 @@ def test_near_duplicates(spark, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_joins_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FETCH_ROWS", 0)
+    monkeypatch.setattr(suffix_dedup, "FETCH_ROWS", 0)
+    monkeypatch.setattr(decontaminate, "FETCH_ROWS", 0)
+    test_near_duplicates(spark, 3)
+    test_keep_one_keeps_columns(spark)
+    test_repeats(spark, monkeypatch, 3, 1_000)
+    test_decontamination_in_blocks(spark, monkeypatch)
+
+
 def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 16)
     draw = random.Random(3)
