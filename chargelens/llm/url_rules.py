@@ -19,13 +19,13 @@ HOST_RULES = [
 ]
 
 # Pattern rules for urls that no host rule fits: (action, name, literal tokens that any match
-# contains as whole tokens, regular expression over the url with its host in lower case).
+# contains as whole tokens, regular expression over the url from its first :// on, with its host in lower case).
 PATTERN_RULES = [
-    ("block", "casino label", ["casino"], r"^[^:]*://([^/?#]*[.-])?casino[.-]"),
-    ("block", "login page", ["login"], r"/login([/.?#]|$)"),
-    ("block", "cart page", ["cart"], r"/cart([/.?#]|$)"),
+    ("block", "casino label", ["casino"], r"^://([^/?#]*[.-])?casino[.-]"),
+    ("block", "login page", ["login"], r"/login([/.?#]|\z)"),
+    ("block", "cart page", ["cart"], r"/cart([/.?#]|\z)"),
     ("block", "tag listing", ["tag"], r"/tag/"),
-    ("block", "feed reader", ["utm", "source", "feed"], r"[?&]utm_source=feed(&|#|$)"),
+    ("block", "feed reader", ["utm", "source", "feed"], r"[?&]utm_source=feed(&|#|\z)"),
     ("block", "session in query", ["sessionid"], r"[?&;]sessionid="),
     ("block", "result page", ["page", "ref"], r"[?&]page=[0-9]+&ref="),
 ]
@@ -35,7 +35,7 @@ def host_rule(action, host, path):
     """A pattern rule for a host with its subdomains and a path prefix."""
     whole = path if path.endswith("/") else path[:max(path.rfind("/"), 0) + 1]
     tokens = [t for t in _tokens(host + whole)]
-    return (action, host + path, tokens, rf"^[^:]*://([^/?#]*\.)?{_literal(host)}{_literal(path)}")
+    return (action, host + path, tokens, rf"^://([^/?#]*\.)?{_literal(host)}{_literal(path)}")
 
 
 def _tokens(text):
@@ -57,11 +57,13 @@ def parts(url):
 
 
 def _normal(url):
-    """The url with the host in lower case, which rules are matched against."""
+    """The url from its first :// on, with the host in lower case, which rules are matched against.
+
+    What comes before may hold anything, colons included. A url without :// stays as it is.
+    """
     host, _ = parts(url)
     at = F.instr(url, "://")
-    return F.when(at > 0, F.concat(F.substr(url, F.lit(1), at + 2), host,
-                                   F.substr(url, at + 3 + F.length(host)))).otherwise(url)
+    return F.when(at > 0, F.concat(F.lit("://"), host, F.substr(url, at + 3 + F.length(host)))).otherwise(url)
 
 
 def match(urls, rules, url="url"):
@@ -147,8 +149,8 @@ p AS (
   FROM cut),
 t AS (
   SELECT *, CASE WHEN strpos(url, '://') > 0
-                 THEN substr(url, 1, strpos(url, '://') + 2) || host
-                      || substr(url, strpos(url, '://') + 3 + length(host)) ELSE url END AS target FROM p),
+                 THEN '://' || host || substr(url, strpos(url, '://') + 3 + length(host))
+                 ELSE url END AS target FROM p),
 h(action, host, path) AS (VALUES {hosts}),
 x(n, action, name, regex) AS (VALUES {tests}),
 fit AS (

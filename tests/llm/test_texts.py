@@ -170,7 +170,8 @@ def test_allow_list_is_linear():
 URLS = ["https://www.Example.COM/en/x", "http://example.com/en/a?b", "https://a.b.example.com/de/", "http://x.net/es/1#t",
         "http://x.net/fr", "ftp://com/", "http://com", "no scheme/login", None, "", "http://shop.org/login?x=1",
         "http://casino-win.example.org/EN/", "https://y.org/tag/red", "http://z.net/p?utm_source=feed", "http://é.com/ü?x",
-        "http://examplexcom/en/"]
+        "http://examplexcom/en/", "view-source:http://www.example.com/en/x", "a:b:/://x.net/es/", "x://y.z/://example.com/en/",
+        "http://q.org/login\n", "http://q.org/login"]
 
 
 def test_urls(spark, tmp_path):
@@ -183,6 +184,9 @@ def test_urls(spark, tmp_path):
     assert by[3].verdict == "block" and by[4].rule is None and by[6].rule is None and by[5].rule == "com/"
     assert by[8].host == by[8].path == "" and by[8].verdict == "allow" and by[10].pattern == "login page"
     assert by[15].rule is None and found.count() == len(rows)
+    assert by[16].rule == "www.example.com/en/" and by[17].rule == "net/es/"       # colons before the first ://
+    assert by[18].rule is None and by[18].host == "y.z"                            # only the first :// counts
+    assert by[19].pattern is None and by[20].pattern == "login page"
     pages.drop("verdict").write.parquet(f"{tmp_path}/pages")
     connection = duckdb.connect()
     connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
