@@ -124,15 +124,14 @@ def card_testing_customers(txns, gap_seconds=RAPID_REPEAT_SECONDS, min_rapid=2,
 
 # ---------------------------------------------------------- spend anomalies
 
-def spend_anomalies(txns, customers, multiple=SPEND_MULTIPLE, days=DAYS_PER_MONTH, k=20,
-                    customer_rows=None):
+def spend_anomalies(txns, customers, multiple=SPEND_MULTIPLE, days=DAYS_PER_MONTH, k=20):
     """The `k` transactions furthest above `multiple` times the customer's implied daily spend.
 
     Ranked by the rounded multiple.
     """
     joined = join_dimension(
         txns.select("transaction_id", "customer_id", "amount", "is_fraud"),
-        customers.select("customer_id", "avg_monthly_spend"), "customer_id", dim_rows=customer_rows)
+        customers.select("customer_id", "avg_monthly_spend"), "customer_id")
     largest = (joined.withColumn("_daily", daily_spend(days=days))
                .filter(F.col("amount") > F.lit(float(multiple)) * F.col("_daily"))
                .withColumn("x_over_daily_norm", F.round(F.try_divide("amount", "_daily"), 1))

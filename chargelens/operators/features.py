@@ -24,16 +24,16 @@ def assign_ids_by_time(events, tie_break, alias="transaction_id"):
     return number_rows(events, ["timestamp", tie_break], alias)
 
 
-def denormalise_merchant(events, merchants, merchant_rows=None, spread_by="transaction_id"):
+def denormalise_merchant(events, merchants, spread_by="transaction_id"):
     """Stamp the merchant's category and risk score on each event."""
     return join_dimension(events, merchants.select("merchant_id", "category", "merchant_risk_score"),
-                          "merchant_id", spread_by=spread_by, dim_rows=merchant_rows)
+                          "merchant_id", spread_by=spread_by)
 
 
-def join_customer_norm(txns, customers, customer_rows=None, spread_by="transaction_id"):
+def join_customer_norm(txns, customers, spread_by="transaction_id"):
     """Left join of the customer's monthly spend; null for an unknown customer."""
     return join_dimension(txns, customers.select("customer_id", "avg_monthly_spend"),
-                          "customer_id", "left", spread_by=spread_by, dim_rows=customer_rows)
+                          "customer_id", "left", spread_by=spread_by)
 
 
 def time_parts(txns):
@@ -49,12 +49,12 @@ def amount_norm(days=DAYS_PER_MONTH):
     return F.try_divide(F.col("amount"), daily_spend(days=days))
 
 
-def build_features(txns, customers, gap=RAPID_REPEAT_SECONDS, customer_rows=None, hot_rows=None):
+def build_features(txns, customers, gap=RAPID_REPEAT_SECONDS, hot_rows=None):
     """Transactions plus the engineered model inputs."""
     if "seconds_since_prev_txn" not in txns.columns:
         txns = seconds_since_prev(txns, hot_rows)
     spread_by = "transaction_id" if "transaction_id" in txns.columns else "timestamp"
-    return (join_customer_norm(txns, customers, customer_rows, spread_by)
+    return (join_customer_norm(txns, customers, spread_by)
             .withColumns({
                 "hour_of_day": F.hour("timestamp"),
                 "day_of_week": F.weekday("timestamp"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .skew import hot_keys, hot_table, pieces_for
+from . import skew
 
 CELLS = 4_096            # groups per counting pass of the rank search
 FINISH_ROWS = 100_000    # a remainder this small is sorted directly
@@ -22,15 +22,16 @@ def with_previous(df, key, order, value, alias, hot_rows=None):
     partitioning on (key, order), take the window inside their slice, and the first row of a slice
     takes the last value of the slice before it.
     """
-    hot = hot_keys(df, key, hot_rows)
+    hot = skew.hot_keys(df, key, hot_rows)
     window = Window.partitionBy(key).orderBy(*order)
-    if not hot:
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if rows is None:
         return df.withColumn(alias, F.lag(value).over(window))
-    keys = hot_table(df, key, hot)
-    usual = df.join(keys, key, "left_anti").withColumn(alias, F.lag(value).over(window))
+    keys = skew.sized(hot.select("_hot"))
+    usual = df.join(keys, skew.is_hot(key), "left_anti").withColumn(alias, F.lag(value).over(window))
     return usual.unionByName(
-        _previous_across_slices(df.join(keys, key, "left_semi"), key, order, value, alias,
-                                pieces_for(sum(hot.values()))))
+        _previous_across_slices(df.join(keys, skew.is_hot(key), "left_semi"), key, order, value, alias,
+                                max(2, -(-rows // skew.ROWS_PER_PIECE))))
 
 
 def _previous_across_slices(df, key, order, value, alias, slices):
@@ -41,12 +42,12 @@ def _previous_across_slices(df, key, order, value, alias, slices):
         alias, F.lag(value).over(Window.partitionBy(key, "_slice").orderBy(*order)))
     # slices are contiguous in key order: at most (hot keys + slices) rows
     last = sliced.groupBy(key, "_slice").agg(F.max(F.struct(*order, F.col(value).alias("_v"))).alias("_last"))
-    carried = last.select(
-        key, "_slice",
-        F.lag("_last._v").over(Window.partitionBy(key).orderBy("_slice")).alias("_carried"))
-    return (inside.join(F.broadcast(carried), [key, "_slice"], "left")
+    carried = materialize(last.select(
+        F.col(key).alias("_hot"), F.col("_slice").alias("_in"),
+        F.lag("_last._v").over(Window.partitionBy(key).orderBy("_slice")).alias("_carried")))
+    return (inside.join(skew.sized(carried), skew.is_hot(key) & (F.col("_slice") == F.col("_in")), "left")
             .withColumn(alias, F.coalesce(F.col(alias), F.col("_carried")))
-            .drop("_slice", "_carried"))
+            .drop("_slice", "_hot", "_in", "_carried"))
 
 
 # ------------------------------------------------------------- row at a rank

@@ -1,21 +1,37 @@
 """Hot keys, and a dimension join that stays balanced when one key holds much of the fact."""
 
-import math
-
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..storage import materialize
 
 HOT_ROWS = 1_000_000        # a key with fewer rows is never worth special care
 ROWS_PER_PIECE = 1_000_000
 SAMPLED_ROWS = 1_000        # rows of a just-hot key that the search looks at
-BROADCAST_ROWS = 1_000_000  # rows of a dimension, a few narrow columns wide
+BROADCAST_BYTES = 64 << 20  # of a side that is broadcast, as counted
+VALUE_BYTES = 16            # counted for a value of fixed width
 
 
-def hot_keys(df, key, hot_rows=None):
-    """{key: estimated rows} of the keys with about `hot_rows` rows or more.
+def counted_bytes(df):
+    """Bytes of all values of the frame, from one pass over it."""
+    size = F.lit(VALUE_BYTES * len(df.columns))
+    for field in df.schema.fields:
+        if not isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType, T.TimestampNTZType)):
+            size = size + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
-    There are fewer of them than twice the rows divided by `hot_rows`: a million in 5 * 10^11 rows.
 
-    `hot_rows` is HOT_ROWS unless given.
+def sized(df, most=None):
+    """The frame, broadcast if it is counted at `most` bytes or less (BROADCAST_BYTES unless given)."""
+    return F.broadcast(df) if counted_bytes(df) <= (BROADCAST_BYTES if most is None else most) else df
+
+
+def hot_keys(df, key, hot_rows=None):
+    """Written frame (_hot, _rows, _pieces) of the keys with about `hot_rows` rows or more, a null key included.
+
+    `hot_rows` is HOT_ROWS unless given, `_rows` is estimated, `_pieces` says over how many pieces
+    the rows of the key are to be spread. There are fewer such keys than twice the rows divided by
+    `hot_rows`; none of them passes through the driver.
 
     Keys are looked for in a sample that shows about SAMPLED_ROWS rows of a key of that size, so
     only a small share of the keys is shuffled to be counted. The answer decides which of two exact
@@ -25,41 +41,35 @@ def hot_keys(df, key, hot_rows=None):
     fraction = min(1.0, SAMPLED_ROWS / hot_rows)
     seen = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=1)
     least = hot_rows if fraction == 1.0 else hot_rows * fraction / 2
-    heavy = seen.groupBy(key).count().filter(F.col("count") >= least)
-    return {row[key]: math.ceil(row["count"] / fraction) for row in heavy.collect()}
-
-
-def hot_table(df, key, hot):
-    """The result of `hot_keys` as a broadcast frame (key, _pieces), as bounded as they are."""
-    kind = df.schema[key].dataType.simpleString()
-    return F.broadcast(df.sparkSession.createDataFrame(
-        [(k, pieces_for(n)) for k, n in hot.items()], f"{key} {kind}, _pieces int"))
+    rows = F.ceil(F.col("count") / F.lit(fraction))
+    return materialize(seen.groupBy(F.col(key).alias("_hot")).count().filter(F.col("count") >= least)
+                       .select("_hot", rows.alias("_rows"),
+                               F.greatest(F.lit(2), F.ceil(rows / F.lit(ROWS_PER_PIECE))).cast("int").alias("_pieces")))
 
 
-def pieces_for(rows):
-    return max(2, math.ceil(rows / ROWS_PER_PIECE))
+def is_hot(key):
+    """Condition that joins a frame to the result of `hot_keys`; null is a key like others."""
+    return F.col(key).eqNullSafe(F.col("_hot"))
 
 
-def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", dim_rows=None,
-                   broadcast_rows=None, hot_rows=None):
+def join_dimension(fact, dim, key, how="inner", spread_by="transaction_id", broadcast_bytes=None, hot_rows=None):
     """Join a fact to a dimension that is unique on `key`.
 
-    The dimension is broadcast when its counted rows are within `broadcast_rows` (BROADCAST_ROWS
+    The dimension is broadcast when it is counted at `broadcast_bytes` or less (BROADCAST_BYTES
     unless given). Beyond that it is a shuffle join in which hot keys are spread: the fact rows of
     such a key over as many pieces as its size asks for, by a hash of `spread_by`, and its one
-    dimension row copied to each piece.
+    dimension row copied to each piece. Rows with a null key, which match nothing, are spread alike.
     """
-    rows = dim.count() if dim_rows is None else dim_rows
-    if rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+    if counted_bytes(dim) <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot_keys(fact, key, hot_rows)
-    if not hot:
+    hot = hot_keys(fact, key, hot_rows).select("_hot", "_pieces")
+    if hot.isEmpty():
         return fact.join(dim, key, how)
-    pieces = hot_table(fact, key, hot)
+    pieces = sized(hot)
     count = F.coalesce(F.col("_pieces"), F.lit(1))
-    spread_fact = fact.join(pieces, key, "left").withColumn(
+    spread_fact = fact.join(pieces, is_hot(key), "left").withColumn(
         "_piece", F.pmod(F.xxhash64(spread_by), count).cast("int"))
-    spread_dim = dim.join(pieces, key, "left").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_pieces")
+    spread_dim = dim.join(pieces, is_hot(key), "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_hot", "_pieces")
     columns = fact.columns + [c for c in dim.columns if c != key]
-    return spread_fact.drop("_pieces").join(spread_dim, [key, "_piece"], how).select(*columns)
+    return spread_fact.drop("_hot", "_pieces").join(spread_dim, [key, "_piece"], how).select(*columns)

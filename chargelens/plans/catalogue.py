@@ -23,8 +23,7 @@ def _txns(spark, d):
 
 def _features(spark, d):
     return features.build_features(views.transactions(spark, d, gaps=True),
-                                   views.customer_spend(spark, d),
-                                   customer_rows=views.size(spark, d, "customer"))
+                                   views.customer_spend(spark, d))
 
 
 def _split(df):
@@ -34,19 +33,18 @@ def _split(df):
 # ------------------------------------------------------------ small wrappers
 
 def _spend_anomalies(spark, d):
-    return analyst.spend_anomalies(_txns(spark, d), views.customer_spend(spark, d),
-                                   customer_rows=views.size(spark, d, "customer"))
+    return analyst.spend_anomalies(_txns(spark, d), views.customer_spend(spark, d))
 
 
 def _join_customer_norm(spark, d):
     return features.join_customer_norm(
         _txns(spark, d).select("transaction_id", "customer_id", "amount"),
-        views.customer_spend(spark, d), views.size(spark, d, "customer"))
+        views.customer_spend(spark, d))
 
 
 def _denormalise_merchant(spark, d):
     return features.denormalise_merchant(
-        views.events(spark, d).drop("props"), views.merchants(spark, d), views.size(spark, d, "supplier"))
+        views.events(spark, d).drop("props"), views.merchants(spark, d))
 
 
 def _amount_norm(spark, d):
@@ -260,8 +258,7 @@ def _once(kind, spark, d, build):
 
 def _card_run(spark, d):
     return _once("cards", spark, d, lambda: training.train_cards(
-        views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
-        customer_rows=views.size(spark, d, "customer")))
+        views.transactions(spark, d, gaps=True), views.customer_spend(spark, d)))
 
 
 def _wide_run(spark, d):
@@ -303,7 +300,7 @@ def _scored(spark, d):
     """Scored once and written; the ranking and the summary read that."""
     return _once("scored", spark, d, lambda: materialize(job.score(
         spark, views.transactions(spark, d, gaps=True), views.customer_spend(spark, d),
-        _artifact(spark, d), customer_rows=views.size(spark, d, "customer"))))
+        _artifact(spark, d))))
 
 
 def _gini(spark, d):

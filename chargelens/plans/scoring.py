@@ -16,14 +16,14 @@ def apply_model(frame, artifact):
     return scoring.flag(scored, artifact.threshold)
 
 
-def score(spark, txns, customers, model_folder, fmt="csv", customer_rows=None):
+def score(spark, txns, customers, model_folder, fmt="csv"):
     """Scored and flagged transactions from a frame or a path to a file with the same columns."""
     artifact = artifacts.load(spark, model_folder)
     if not isinstance(txns, DataFrame):
         txns = tables.scan_transactions(spark, txns, fmt)
     if not isinstance(customers, DataFrame):
         customers = tables.scan_customers(spark, customers, fmt)
-    return apply_model(features.build_features(txns, customers, customer_rows=customer_rows), artifact)
+    return apply_model(features.build_features(txns, customers), artifact)
 
 
 def ranked(flagged):

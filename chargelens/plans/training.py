@@ -90,8 +90,8 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, p
                    table.count(), train_rows)
 
 
-def train_cards(txns, customers, customer_rows=None, **settings):
-    return train(features.build_features(txns, customers, customer_rows=customer_rows), CARD, **settings)
+def train_cards(txns, customers, **settings):
+    return train(features.build_features(txns, customers), CARD, **settings)
 
 
 def model_comparison(run):

@@ -68,9 +68,8 @@ def _labelled(spark, sf_dir, gaps):
     facts = events(spark, sf_dir)
     if gaps:
         facts = seconds_since_prev(facts)
-    facts = join_customer_norm(facts, customer_spend(spark, sf_dir),
-                               size(spark, sf_dir, "customer"))
-    facts = denormalise_merchant(facts, merchants(spark, sf_dir), size(spark, sf_dir, "supplier"))
+    facts = join_customer_norm(facts, customer_spend(spark, sf_dir))
+    facts = denormalise_merchant(facts, merchants(spark, sf_dir))
     marked = F.col("props").rlike(r'"k"\s*:\s*0\s*[,}]')
     night = (F.hour("timestamp") < 5) & (
         F.col("amount") > F.lit(4.0) * F.col("avg_monthly_spend") / F.lit(30.0))

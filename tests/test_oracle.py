@@ -50,7 +50,7 @@ LARGE = ["spend_anomalies", "join_customer_norm", "denormalise_merchant", "card_
 def test_the_ways_taken_by_large_data(spark, sf_dir, connection, monkeypatch, name):
     """Nothing is broadcast as a dimension, most keys count as hot, and a few rows are already too
     many to sort at once."""
-    monkeypatch.setattr("chargelens.operators.skew.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("chargelens.operators.skew.BROADCAST_BYTES", 0)
     monkeypatch.setattr("chargelens.operators.skew.HOT_ROWS", 70)
     monkeypatch.setattr("chargelens.operators.skew.ROWS_PER_PIECE", 30)
     monkeypatch.setattr("chargelens.operators.ordered.FINISH_ROWS", 10)

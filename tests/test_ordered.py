@@ -28,6 +28,15 @@ def test_previous_row_of_hot_keys(skewed):
             rows(plain, "transaction_id", "p"), key=str)
 
 
+def test_previous_row_of_a_hot_null_key(skewed, monkeypatch):
+    monkeypatch.setattr("chargelens.operators.skew.ROWS_PER_PIECE", 100)
+    order = ["timestamp", "transaction_id"]
+    open_ = skewed.withColumn("customer_id", F.nullif("customer_id", F.lit(7)))
+    plain = open_.withColumn("p", F.lag("timestamp").over(Window.partitionBy("customer_id").orderBy(*order)))
+    sliced = ordered.with_previous(open_, "customer_id", order, "timestamp", "p", 500)
+    assert sorted(rows(sliced, "transaction_id", "p"), key=str) == sorted(rows(plain, "transaction_id", "p"), key=str)
+
+
 def test_hot_rows_are_spread_over_slices(skewed, monkeypatch):
     seen = []
     original = ordered.materialize
