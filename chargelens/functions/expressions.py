@@ -35,14 +35,28 @@ def ratio_or_zero(part, whole):
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+MONEY_UNITS = 10_000.0       # of a dollar
+
+
+def money_units(amount):
+    """An amount in whole hundredths of a cent, whose sums are the same in any order of addition."""
+    return F.floor(amount * F.lit(MONEY_UNITS) + F.lit(0.5))
+
+
+def money(units):
+    """A sum of `money_units` in dollars to 2 places."""
+    return F.round(units / F.lit(MONEY_UNITS), 2)
+
+
 def mean_money(amount):
-    """Average of money to 2 places, half up, on whole cents.
+    """Average of money to 2 places, half up, on whole cents and in whole numbers.
 
     The mean of two amounts is often an exact half cent, which binary rounding gets wrong either way.
     """
     cents = F.sum(F.round(F.col(amount) * 100.0).cast("bigint"))
     n = F.count(F.lit(1))
-    return F.floor(F.try_divide(2 * cents + n, 2.0 * n)).cast("double") / F.lit(100.0)
+    twice, whole = 2 * cents + n, F.nullif(2 * n, F.lit(0))
+    return F.call_function("div", twice - F.pmod(twice, whole), whole).cast("double") / F.lit(100.0)
 
 
 def risk_bucket(score, edges=RISK_EDGES, labels=RISK_LABELS):

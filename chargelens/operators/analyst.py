@@ -3,8 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import (daily_spend, gap_seconds_exact, mean_money, percent, risk_bucket,
-                                     week_label, week_number)
+from ..functions.expressions import (daily_spend, gap_seconds_exact, mean_money, money, money_units, percent,
+                                     risk_bucket, week_label, week_number)
 from ..schemas import (DAYS_PER_MONTH, HIGH_RISK_CATEGORIES, RAPID_REPEAT_SECONDS, RISK_EDGES,
                        RISK_LABELS, ROLLING_WEEKS, SPEND_MULTIPLE)
 from .ordered import with_previous
@@ -25,7 +25,7 @@ def fraud_pct():
 
 def fraud_dollars():
     """Null when there is no fraud."""
-    return F.round(F.sum(F.when(F.col("is_fraud") == 1, F.col("amount"))), 2)
+    return money(F.sum(F.when(F.col("is_fraud") == 1, money_units(F.col("amount")))))
 
 
 # ------------------------------------------------------------------ filters
@@ -72,7 +72,7 @@ def top_fraud_customers(txns, customers, k=10):
     meets it instead of one per transaction, however large a customer is.
     """
     losses = (fraud_only(txns).groupBy("customer_id")
-              .agg(row_count().alias("fraud_txns"), F.round(F.sum("amount"), 2).alias("total_fraud_amount")))
+              .agg(row_count().alias("fraud_txns"), money(F.sum(money_units(F.col("amount")))).alias("total_fraud_amount")))
     return (losses.join(customers.select("customer_id", "home_city"), "customer_id")
             .select("customer_id", "home_city", "fraud_txns", "total_fraud_amount")
             .orderBy(F.desc("total_fraud_amount"), "customer_id").limit(k))

@@ -3,14 +3,14 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import grid_points_reached, present, ratio_or_zero
+from ..functions.expressions import grid_points_reached, money, money_units, present, ratio_or_zero
 from ..schemas import DEFAULT_THRESHOLD, REVIEW_COST, THRESHOLD_GRID
 
 
 def _report(frame, review_cost):
-    """From threshold, tp, fp, fn, dollars to the published columns."""
+    """From threshold, tp, fp, fn and dollars in money units to the published columns."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    dollars = F.round(F.coalesce(F.col("dollars"), F.lit(0.0)), 2)
+    dollars = money(F.coalesce(F.col("dollars"), F.lit(0)))
     return frame.select(
         F.round("threshold", 3).alias("threshold"),
         F.round(ratio_or_zero(tp, tp + fp), 4).alias("precision"),
@@ -28,7 +28,7 @@ def cost_at(scored, threshold=DEFAULT_THRESHOLD, review_cost=REVIEW_COST, label=
         F.lit(float(threshold)).alias("threshold"),
         F.count_if(flagged & fraud).alias("tp"), F.count_if(flagged & ~fraud).alias("fp"),
         F.count_if(~flagged & fraud).alias("fn"),
-        F.sum(F.when(~flagged & fraud, F.col(amount))).alias("dollars")), review_cost)
+        F.sum(F.when(~flagged & fraud, money_units(F.col(amount)))).alias("dollars")), review_cost)
 
 
 def threshold_sweep(scored, grid=THRESHOLD_GRID, review_cost=REVIEW_COST, label="is_fraud",
@@ -43,14 +43,14 @@ def threshold_sweep(scored, grid=THRESHOLD_GRID, review_cost=REVIEW_COST, label=
     scored = scored.withColumn(score, present(score))
     groups = scored.groupBy(grid_points_reached(score, grid).alias("reached")).agg(
         F.count_if(fraud).alias("pos"), F.count_if(~fraud).alias("neg"),
-        F.sum(F.when(fraud, F.col(amount)).otherwise(0.0)).alias("dollars"))
+        F.sum(F.when(fraud, money_units(F.col(amount))).otherwise(0)).alias("dollars"))
     points = scored.sparkSession.range(1, len(grid) + 1, numPartitions=1).select(
         F.col("id").cast("int").alias("reached"),
         F.expr(f"element_at(array({', '.join(f'{float(t)!r}D' for t in grid)}), int(id))").alias("threshold"))
     # a row for every grid point, also where no score ends; group 0 is below the first point
     every = (groups.withColumn("threshold", F.lit(None).cast("double"))
              .unionByName(points.select("reached", "threshold", F.lit(0).alias("pos"),
-                                        F.lit(0).alias("neg"), F.lit(0.0).alias("dollars")))
+                                        F.lit(0).alias("neg"), F.lit(0).alias("dollars")))
              .groupBy("reached").agg(F.max("threshold").alias("threshold"), *[
                  F.sum(c).alias(c) for c in ("pos", "neg", "dollars")]))
     below = Window.orderBy("reached").rowsBetween(Window.unboundedPreceding, -1)
