@@ -5,6 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..schemas import BREAKDOWN_ROWS, EXPLAIN_SAMPLE, SEED
+
+ROWS_PER_TASK = 10_000      # rows explained by one task
 from ..storage import new_path
 
 LEAF_SCHEMA = ("tree int, value double, features array<int>, low array<double>, "
@@ -73,19 +75,21 @@ def leaf_paths(nodes):
 
 # --------------------------------------------------------------- contributions
 
-def tree_contributions(rows, leaves, names, row_id="transaction_id", features="features"):
+def tree_contributions(rows, leaves, names, row_id="transaction_id", features="features", values="values"):
     """Shapley contributions of every feature to the forest score, one row per (row, feature).
 
-    Rows are (row_id, features vector). Returns row_id, feature, contribution, base_value with
-    base_value + sum of contributions = score. Path-dependent: a feature left out follows both
-    branches in proportion to the training weight.
+    Rows are (row_id, features vector, and optionally an array of the values to show, in the order of
+    `names`). Returns row_id, feature, value, contribution, base_value with base_value + sum of
+    contributions = score; without the array `value` is the model input. Path-dependent: a feature
+    left out follows both branches in proportion to the training weight.
 
     For a leaf with value v, the weight of a coalition is a Beta integral, so feature i gets
     v * (o_i - z_i) * integral over t in [0, 1] of the product over the path's other features j of
     z_j (1 - t) + o_j t, with o = 1 if the row takes the branches and z the training share. The
     integrand is a polynomial, which Gauss-Legendre nodes integrate exactly.
 
-    Rows are spread over the cluster; the leaves (at most trees * 2^depth) go to every task.
+    Rows are spread over the cluster, ROWS_PER_TASK to a task; the leaves (at most trees * 2^depth) go
+    to every task. The values travel with their row.
     """
     from pyspark.ml.functions import vector_to_array
     spark = rows.sparkSession
@@ -119,17 +123,19 @@ def tree_contributions(rows, leaves, names, row_id="transaction_id", features="f
                     slot = np.zeros((f.size, width))
                     slot[np.arange(f.size), f.ravel()] = 1.0
                     total += phi.reshape(len(batch), -1) @ slot
-            yield pd.DataFrame({row_id: batch[row_id], "c": list(total / tree_count),
+            yield pd.DataFrame({row_id: batch[row_id], "v": batch["v"], "c": list(total / tree_count),
                                 "base_value": base / tree_count})
 
     id_type = rows.schema[row_id].dataType.simpleString()
-    tasks = spark.sparkContext.defaultParallelism
-    wide = (rows.select(row_id, vector_to_array(features).alias("x")).repartition(tasks, row_id)
-            .mapInPandas(explain, f"{row_id} {id_type}, c array<double>, base_value double"))
-    labels = F.array(*[F.lit(n) for n in names])
-    return (wide.select(row_id, "base_value", F.explode(F.arrays_zip(labels.alias("feature"),
-                                                                     F.col("c").alias("contribution"))).alias("p"))
-            .select(row_id, "p.feature", "p.contribution", "base_value"))
+    inputs = vector_to_array(features)
+    ready = rows.select(row_id, inputs.alias("x"), (F.col(values) if values in rows.columns else inputs).alias("v"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    wide = ready.repartition(tasks, row_id).mapInPandas(
+        explain, f"{row_id} {id_type}, v array<double>, c array<double>, base_value double")
+    zipped = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("v").alias("value"),
+                          F.col("c").alias("contribution"))
+    return (wide.select(row_id, "base_value", F.explode(zipped).alias("p"))
+            .select(row_id, "p.feature", "p.value", "p.contribution", "base_value"))
 
 
 def _pack(leaves):
@@ -149,18 +155,16 @@ def mean_abs_contribution(contributions):
             .orderBy(F.desc("mean_abs_contribution"), "feature"))
 
 
-def display_values(rows, numeric, categorical=None, values=(), row_id="transaction_id"):
-    """(row_id, feature, value): raw numerics and 0/1 slots, not the standardised inputs."""
-    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in numeric]
-    pairs += [F.struct(F.lit(f"{categorical}_{v}").alias("feature"),
-                       (F.col(categorical) == v).cast("double").alias("value")) for v in values]
-    return rows.select(row_id, F.inline(F.array(*pairs)))
+def display_values(numeric, categorical=None, slots=()):
+    """Array of the values to show: raw numerics and 0/1 slots, not the standardised inputs."""
+    return F.array(*[F.col(c).cast("double") for c in numeric],
+                   *[(F.col(categorical) == v).cast("double") for v in slots])
 
 
-def contribution_points(contributions, values, ranking, k=BREAKDOWN_ROWS, row_id="transaction_id"):
+def contribution_points(contributions, ranking, k=BREAKDOWN_ROWS, row_id="transaction_id"):
     """(row_id, feature, value, contribution) of the k features with the largest mean effect."""
     best = ranking.limit(k).select("feature")
-    return (contributions.join(F.broadcast(best), "feature").join(values, [row_id, "feature"])
+    return (contributions.join(F.broadcast(best), "feature")
             .select(row_id, "feature", "value", "contribution"))
 
 
@@ -172,17 +176,19 @@ def top_drivers(contributions, k=3):
 def decision_breakdown(contributions, shown=BREAKDOWN_ROWS):
     """One row's score from base to total: the largest effects, the rest lumped into one line.
 
-    At most `shown` lines: all features if they fit, else the `shown` - 1 largest and "other".
+    At most `shown` lines: all features if they fit, else the `shown` - 1 largest and "other", which
+    has no value of its own.
     """
     size = F.row_number().over(Window.orderBy(F.desc(F.abs("contribution")), "feature"))
     count = F.count(F.lit(1)).over(Window.rowsBetween(Window.unboundedPreceding,
                                                       Window.unboundedFollowing))
-    ranked = contributions.select("feature", "contribution", "base_value", size.alias("_size"),
+    ranked = contributions.select("feature", "value", "contribution", "base_value", size.alias("_size"),
                                   count.alias("_count"))
     fits = (F.col("_count") <= shown) | (F.col("_size") < shown)
     return (ranked.withColumn("position", F.when(fits, F.col("_size")).otherwise(F.lit(shown)))
             .groupBy("position")
             .agg(F.when(F.count(F.lit(1)) > 1, F.lit("other")).otherwise(F.min("feature")).alias("feature"),
+                 F.when(F.count(F.lit(1)) == 1, F.min("value")).alias("value"),
                  F.sum("contribution").alias("contribution"), F.min("base_value").alias("base_value"),
                  F.count(F.lit(1)).alias("features"))
             .orderBy("position"))

@@ -8,7 +8,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ..schemas import FOREST_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, SEED
-from .features import fit_categories, fit_scaling
+from .features import MAX_CATEGORIES, fit_categories, fit_scaling
 
 LOGISTIC, FOREST = "logistic_regression", "random_forest"
 
@@ -25,11 +25,11 @@ def require_inputs(df, columns):
     return df.withColumns({c: present(c) for c in columns})
 
 
-def fit_inputs(train, numeric, categorical=None):
+def fit_inputs(train, numeric, categorical=None, most=MAX_CATEGORIES):
     """Fit the model-input stages on the training rows: (PipelineModel, feature names).
 
     Numerics are standardised with the population deviation, the category becomes one slot per
-    known value, alphabetical, and no slot for an unknown one.
+    known value, alphabetical, and no slot for an unknown one; more than `most` values are refused.
     """
     scaling = fit_scaling(train, numeric)
     columns = ", ".join(f"(`{c}` - {mean!r}D) / {dev!r}D AS `{c}_z`" for c, (mean, dev) in scaling.items())
@@ -37,7 +37,7 @@ def fit_inputs(train, numeric, categorical=None):
     inputs, names = [f"{c}_z" for c in numeric], list(numeric)
     if categorical:
         indexer = StringIndexerModel.from_labels(
-            fit_categories(train, categorical), inputCol=categorical, outputCol="_category_index",
+            fit_categories(train, categorical, most), inputCol=categorical, outputCol="_category_index",
             handleInvalid="keep")
         encoder = OneHotEncoder(inputCol="_category_index", outputCol="_category_slots")
         stages += [indexer, encoder.fit(indexer.transform(train))]    # slots known from the labels

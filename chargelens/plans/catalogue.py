@@ -11,7 +11,7 @@ from ..sources import artifacts
 from ..sources import driver_views as views
 from ..sources import tables as sources
 from ..storage import materialize, new_path
-from . import explaining, suite, training
+from . import explaining, rule_forest, suite, training
 from . import scoring as job
 
 HOUR = 3600
@@ -326,7 +326,7 @@ def _top_drivers(spark, d):
 
 def _contribution_points(spark, d):
     e = _explanation(spark, d)
-    return explain.contribution_points(e.contributions, e.values, e.ranking)
+    return explain.contribution_points(e.contributions, e.ranking)
 
 
 def model_queries():
@@ -358,5 +358,36 @@ def model_queries():
     }
 
 
+# ---------------- what SQL can check: explanations of a declared forest, the logistic solution
+
+def _rules(spark, d):
+    return _once("rules", spark, d, lambda: rule_forest.contributions(_txns(spark, d)))
+
+
+def _rule_breakdown(spark, d):
+    return explain.decision_breakdown(rule_forest.top_fraud(_rules(spark, d), _txns(spark, d)), 2).withColumn(
+        "contribution", F.round("contribution", 8))
+
+
+def rule_queries():
+    return {
+        "logistic_gradient": lambda s, d: training.logistic_gradient(_card_run(s, d)).withColumn(
+            "gradient", F.round("gradient", 5)),
+        "rule_contributions": _rules,
+        "rule_mean_contribution": lambda s, d: rule_forest.ranking(_rules(s, d)),
+        "rule_contribution_points": lambda s, d: explain.contribution_points(
+            _rules(s, d), rule_forest.ranking(_rules(s, d)), 2),
+        "rule_top_drivers": lambda s, d: explain.top_drivers(
+            rule_forest.top_fraud(_rules(s, d), _txns(s, d)), 2),
+        "rule_decision_breakdown": _rule_breakdown,
+        "rule_importance_overlap": lambda s, d: rule_forest.overlap(_rules(s, d), _txns(s, d)),
+    }
+
+
+# work that the queries above share, built once a session
+SHARED = {"train_cards": _card_run, "train_wide": _wide_run, "save_model": _artifact, "score": _scored,
+          "explain": _explanation, "rule_contributions": _rules}
+
+
 def queries():
-    return relational_queries() | model_queries()
+    return relational_queries() | model_queries() | rule_queries()

@@ -3,6 +3,7 @@
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +65,8 @@ class Trained:
                                     label=self.layout.label, amount=self.layout.amount)
 
 
-def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, partitions=TRAIN_PARTITIONS):
+def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, partitions=TRAIN_PARTITIONS,
+          max_categories=features.MAX_CATEGORIES):
     """Fit on the earlier rows and score the later ones.
 
     The feature table and the scored test rows are each written once. The solvers read the training
@@ -76,7 +78,7 @@ def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, p
     early, late, split_at = ordered.temporal_split(table, test_fraction, layout.order)
     weights = features.class_weights(early, layout.label).collect()     # one row per class
     train_rows = sum(w["n"] for w in weights)
-    inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical)
+    inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical, max_categories)
     ready = (inputs.transform(early.repartition(partitions, *layout.order).sortWithinPartitions(*layout.order))
              .select("features", F.col(layout.label).cast("double").alias("label"),
                      features.weight_column(weights, layout.label).alias("weight")).persist())
@@ -94,6 +96,27 @@ def train_cards(txns, customers, **settings):
     return train(features.build_features(txns, customers), CARD, **settings)
 
 
+def logistic_gradient(run):
+    """(feature, gradient): size of the gradient of the logistic loss per row at the fitted coefficients.
+
+    The loss is strictly convex, so the solution is the one place where all of it vanishes. One pass
+    over the training rows.
+    """
+    layout = run.layout
+    early = run.table.filter(ordered.before(run.split_at, layout.order))
+    weights = features.class_weights(early, layout.label).collect()     # one row per class
+    rows = run.logistic.transform(run.inputs.transform(early))
+    error = features.weight_column(weights, layout.label) * (
+        vector_to_array("_lr_probability")[1] - F.col(layout.label))
+    names = run.feature_names
+    sums = rows.select(error.alias("e"), vector_to_array("features").alias("x")).agg(
+        *[F.sum(F.col("e") * F.col("x")[i]).alias(f"s{i}") for i in range(len(names))], F.sum("e").alias("s"))
+    parts = [(n, F.col(f"s{i}") + F.lit(float(c))) for i, (n, c) in enumerate(zip(names, run.logistic.coefficients))]
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.abs(g / F.lit(float(run.train_rows))).alias("gradient"))
+        for n, g in [*parts, ("intercept", F.col("s"))]])))
+
+
 def model_comparison(run):
     """One row per model: metrics at 0.5, average precision, confusion counts."""
     result = None

@@ -1,5 +1,8 @@
 """Plain SQL for the same results, run by another engine over the same test tables."""
 
+from chargelens.plans.rule_forest import FEATURES as RULE_FEATURES
+from chargelens.plans.rule_forest import TREES as RULE_TREES
+
 CATEGORIES = ("['grocery', 'electronics', 'travel', 'dining', 'fuel', 'online_retail', "
               "'entertainment', 'utilities', 'jewelry', 'atm_withdrawal']")
 
@@ -230,6 +233,53 @@ r AS (
          coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
   FROM cm)"""
 
+# Shapley values by their definition: a feature outside the coalition follows both branches by weight
+_COALITIONS = range(1 << len(RULE_FEATURES))
+
+
+def _weight(branch):
+    return branch[1] if len(branch) == 2 else _weight(branch[2]) + _weight(branch[3])
+
+
+def _expected(branch, coalition):
+    if len(branch) == 2:
+        return f"{branch[0]}::DOUBLE"
+    feature, cut, low, high = branch
+    a, b = _expected(low, coalition), _expected(high, coalition)
+    if coalition >> RULE_FEATURES.index(feature) & 1:
+        return f"CASE WHEN {feature} <= {cut} THEN {a} ELSE {b} END"
+    return f"({_weight(low)}::DOUBLE * {a} + {_weight(high)}::DOUBLE * {b}) / {_weight(branch)}::DOUBLE"
+
+
+def _shapley(i):
+    # of three players: weight 1/3 for coalitions of none or both of the others, 1/6 for those of one
+    gains = [f"(v{c | 1 << i} - v{c}) / {(3.0, 6.0, 3.0)[bin(c).count('1')]}::DOUBLE"
+             for c in _COALITIONS if not c >> i & 1]
+    return " + ".join(gains)
+
+
+_RULES = _FEATURES + """,
+coalitions AS (
+  SELECT transaction_id, is_fraud, """ + ", ".join(RULE_FEATURES) + "".join(
+    ",\n    (" + " + ".join(f"({_expected(t, c)})" for t in RULE_TREES) + f") / {len(RULE_TREES)}.0::DOUBLE AS v{c}"
+    for c in _COALITIONS) + """
+  FROM features),
+rules AS (""" + "\n  UNION ALL ".join(
+    f"SELECT transaction_id, is_fraud, '{f}' AS feature, {f}::DOUBLE AS value, round({_shapley(i)}, 9) AS contribution, "
+    "round(v0, 9) AS base_value FROM coalitions" for i, f in enumerate(RULE_FEATURES)) + """),
+ranking AS (
+  SELECT feature, round(avg(abs(contribution)), 9) AS mean_abs_contribution,
+         row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS place FROM rules GROUP BY feature),
+fraud_ranking AS (
+  SELECT feature, row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS place
+  FROM rules WHERE is_fraud = 1 GROUP BY feature),
+best AS (
+  SELECT transaction_id FROM rules WHERE is_fraud = 1 GROUP BY transaction_id
+  ORDER BY round(max(base_value) + sum(contribution), 6) DESC, transaction_id LIMIT 1),
+lines AS (
+  SELECT *, row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS size
+  FROM rules WHERE transaction_id IN (SELECT transaction_id FROM best))"""
+
 SQL = {
     "scan_transactions": _q("SELECT * EXCLUDE (prev_ts) FROM transactions"),
     "scan_customers": _q("SELECT * FROM customers"),
@@ -373,4 +423,21 @@ SELECT "timestamp", transaction_id, amount, is_fraud FROM (
   SELECT *, row_number() OVER (ORDER BY (transaction_id % 1000003) * 7919 % 1000003, transaction_id) AS nth
   FROM split WHERE part = 'test' AND is_fraud = 0) AS legit
 WHERE nth <= greatest(0, 2000 - (SELECT count(*) FROM split WHERE part = 'test' AND is_fraud = 1))""", _FEATURES),
+    "rule_contributions": _q("SELECT * EXCLUDE (is_fraud) FROM rules", _RULES),
+    "rule_mean_contribution": _q("SELECT feature, mean_abs_contribution FROM ranking", _RULES),
+    "rule_contribution_points": _q("""
+SELECT transaction_id, feature, value, contribution FROM rules JOIN ranking USING (feature) WHERE place <= 2""", _RULES),
+    "rule_top_drivers": _q("""
+SELECT * EXCLUDE (is_fraud, size) FROM lines ORDER BY contribution DESC, feature LIMIT 2""", _RULES),
+    "rule_decision_breakdown": _q("""
+SELECT 1 AS position, feature, value, round(contribution, 8) AS contribution, base_value, 1 AS features
+FROM lines WHERE size = 1
+UNION ALL
+SELECT 2, 'other', NULL, round(sum(contribution), 8), max(base_value), count(*) FROM lines WHERE size > 1""", _RULES),
+    "rule_importance_overlap": _q("""
+SELECT count(*) AS shared, 2 AS "of" FROM ranking JOIN fraud_ranking USING (feature)
+WHERE ranking.place <= 2 AND fraud_ranking.place <= 2""", _RULES),
+    "logistic_gradient": "SELECT unnest([" + ", ".join(
+        f"'{f}'" for f in [*NUMERIC, *(f"category_{c}" for c in sorted(NAMES)), "intercept"])
+        + "]) AS feature, 0.0::DOUBLE AS gradient",
 }

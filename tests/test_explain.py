@@ -119,17 +119,36 @@ def test_explanation_of_the_test_rows(run, explanation):
 
 
 def test_points_show_raw_values(run, explanation):
-    points = explain.contribution_points(explanation.contributions, explanation.values, explanation.ranking, 3)
+    points = explain.contribution_points(explanation.contributions, explanation.ranking, 3)
     assert points.count() == 3 * explanation.sample.count()
     hours = points.filter("feature = 'hour_of_day'").join(explanation.sample.select("transaction_id", "hour_of_day"),
                                                           "transaction_id")
     assert hours.filter("value != hour_of_day").count() == 0
 
 
+def test_all_test_rows_can_be_explained(run):
+    everything = explaining.explain_run(run, size=None)
+    total = everything.contributions.groupBy("transaction_id").agg(
+        (F.first("base_value") + F.sum("contribution")).alias("total"))
+    assert total.count() == run.test.count()
+    assert total.join(run.scored, "transaction_id").agg(
+        F.max(F.abs(F.col("total") - F.col(models.FOREST)))).first()[0] < 1e-9
+
+
+def test_rows_are_spread_by_their_number(spark, small, monkeypatch):
+    ready, names, forest = small
+    monkeypatch.setattr(explain, "ROWS_PER_TASK", 10)
+    leaves = explain.leaf_paths(explain.forest_nodes(forest, spark))
+    plan = explain.tree_contributions(ready, leaves, names)._jdf.queryExecution().toString()
+    assert "hashpartitioning(transaction_id" in plan and ", 40)" in plan
+    assert rows(explain.tree_contributions(ready.limit(0), leaves, names), "transaction_id") == []
+
+
 def test_breakdown_adds_up(spark, run, explanation):
     one = explaining.explain_top_fraud(run, explanation.leaves)
     lines = explain.decision_breakdown(one, 5).collect()
     assert [r["position"] for r in lines] == [1, 2, 3, 4, 5] and lines[-1]["feature"] == "other"
+    assert lines[-1]["value"] is None and all(r["value"] is not None for r in lines[:-1])
     best = run.scored.filter("is_fraud = 1").agg(F.max(models.FOREST)).first()[0]
     assert lines[0]["base_value"] + sum(r["contribution"] for r in lines) == pytest.approx(best)
     everything = explain.decision_breakdown(one, 40)
