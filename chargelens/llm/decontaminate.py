@@ -237,27 +237,51 @@ def _index(items):
     return kept, index
 
 
-def _consistent(hits, size, item_slots, doc_slots):
-    """The (item place, document place) window hits whose slots fit one renaming of the item's values.
+def _renaming(pairs):
+    """{item value: document value} of the (item value, document value) pairs, or None if they contradict each other."""
+    there = dict(pairs)
+    return there if len(there) == len(set(pairs)) == len(set(there.values())) else None
 
-    Hits are taken in document order; one that maps a slot value to a second value, or two values
-    to one, is left out.
+
+def _grown(seed, hits):
+    """The hits that fit one renaming with hits[seed], and the renaming.
+
+    Hits are taken by the distance of their diagonal (document place - item place) from the seed's,
+    then by their distance in the document; one that maps a value to a second value, or two values
+    to one, is left out. So a copy is complete before anything else in the document is looked at.
+    """
+    first, middle = hits[seed][1] - hits[seed][0], hits[seed][1]
+    order = sorted(range(len(hits)), key=lambda x: (abs(hits[x][1] - hits[x][0] - first), abs(hits[x][1] - middle), x))
+    return _fitting([seed, *order], hits)
+
+
+def _fitting(order, hits):
+    """The numbers of the hits that fit one renaming when taken in this order, and the renaming."""
+    there, back, kept = {}, {}, set()
+    for x in order:
+        own = hits[x][2]
+        if all(there.get(a, b) == b and back.get(b, a) == a for a, b in own.items()):
+            there.update(own)
+            back.update((b, a) for a, b in own.items())
+            kept.add(x)
+    return kept, there
+
+
+def _alignments(hits):
+    """(hits, renaming) of the ways to read a document's hits (item place, document place, renaming) of one item.
+
+    The first takes the hits in document order. Every hit that no reading has kept yet begins another,
+    so hits that fit each other on one diagonal are all in one reading, whatever else the document holds.
     """
-    there, back, kept, changed = {}, {}, [], 0
-    for i, d in hits:
-        pairs = [(item_slots[i + k], doc_slots.get(d + k)) for k in range(size) if i + k in item_slots]
-        fits, new = True, []
-        for a, b in pairs:
-            if there.get(a, b) != b or back.get(b, a) != a:
-                fits = False
-                break
-            new.append((a, b))
-        if fits and len({a for a, _ in new}) == len({b for _, b in new}) == len(set(new)):
-            for a, b in new:
-                there[a], back[b] = b, a
-            kept.append((i, d))
-    changed = sum(a != b for a, b in there.items())
-    return kept, changed
+    hits = sorted(hits, key=lambda h: (h[1], h[0]))
+    kept, there = _fitting(range(len(hits)), hits)
+    yield [hits[x][:2] for x in sorted(kept)], there
+    used = set(kept)
+    for x in range(len(hits)):
+        if x not in used:
+            kept, there = _grown(x, hits)
+            used |= kept
+            yield [hits[x][:2] for x in sorted(kept)], there
 
 
 def _hits(line, ends, index):
@@ -281,21 +305,41 @@ def _hits(line, ends, index):
     return hits
 
 
+def _extent(hits, n, size):
+    """(share of the item's n tokens that the hits cover, most tokens in a row)."""
+    covered = np.zeros(n, bool)
+    for i, _ in hits:
+        covered[i:i + size] = True
+    return float(covered.mean()), _longest(hits, size)
+
+
 def _matches(hits, kept, slots):
-    """Contaminating items of one text: [(item_id, matched windows, coverage, longest run, changed slots)]."""
+    """Contaminating items of one text: [(item_id, matched windows, coverage, longest run, changed slots)].
+
+    Of the readings of an item's hits, the one with the most coverage is given, then the longest run.
+    """
     results = []
-    for at, pairs in hits.items():
+    for at, places in hits.items():
         item_id, n, size, item_slots = kept[at]
-        good, changed = _consistent(sorted(pairs, key=lambda p: (p[1], p[0])), size, item_slots, slots)
-        if not good:
+        fitting = []
+        for i, d in places:
+            there = _renaming([(item_slots[i + k], slots.get(d + k)) for k in range(size) if i + k in item_slots])
+            if there is not None:
+                fitting.append((i, d, there))
+        most = _extent([h[:2] for h in fitting], n, size)     # if nothing contradicted
+        if most[0] < COVERAGE and most[1] < RUN:
             continue
-        covered = np.zeros(n, bool)
-        for i, _ in good:
-            covered[i:i + size] = True
-        run = _longest(good, size)
-        share = float(covered.mean())
-        if share >= COVERAGE or run >= RUN:
-            results.append((item_id, len(good), share, run, changed))
+        best = None
+        for good, there in _alignments(fitting):
+            share, run = _extent(good, n, size)
+            if share >= COVERAGE or run >= RUN:
+                changed = sum(a != b for a, b in there.items())
+                if best is None or (share, run) > best[2:4]:
+                    best = (item_id, len(good), share, run, changed)
+                if (share, run) == most:
+                    break
+        if best:
+            results.append(best)
     return results
 
 
@@ -315,8 +359,9 @@ def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
 
     Item windows are looked up in blocks of whole items with about BLOCK_WINDOWS windows; each block
     is one pass over the documents, so its lookup table is bounded however long the benchmark is.
-    Documents are read whole; nothing but the result is shuffled. A pair is reported when the windows with
-    consistent slots cover COVERAGE of the item's template or RUN tokens in a row. Items shorter than
+    Documents are read whole; nothing but the result is shuffled. A pair is reported when windows that fit
+    one renaming of the item's values cover COVERAGE of its template or RUN tokens in a row. Windows that
+    contradict each other are read apart, so a chance hit hides no copy elsewhere in the document. Items shorter than
     a window are one window; under SHORTEST tokens they match only a document that is nothing else.
     Null and empty texts match nothing. Repeated documents or items give a pair each time; a null
     id is reported as null.

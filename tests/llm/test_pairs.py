@@ -8,7 +8,7 @@ import pytest
 from chargelens.llm import decontaminate, minhash, suffix_dedup
 
 from . import brute
-from .frames import documents, edited, empty, frame, prose
+from .frames import documents, edited, empty, frame, prose, word
 
 
 def named(rows):
@@ -136,3 +136,17 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     none = bench.limit(0)
     assert decontaminate.contaminated(docs, none).count() == 0
     assert decontaminate.drop_contaminated(docs, none).count() == docs.count()
+
+
+def test_decontamination_after_a_stray_window(spark):
+    draw = random.Random(9)
+    item = " ".join(" ".join(word(draw) for _ in range(6)) + " Anna" for _ in range(6))
+    stray = " ".join(item.split()[3:11]).replace("Anna", "Olga")
+    odd = item.replace("Anna", "Olga", 1)                    # the first name alone is another
+    docs = [(1, item), (2, prose(draw, 300) + " and " + stray + " " + prose(draw, 2_000) + " and " + item), (3, odd),
+            (4, prose(draw, 50) + " and " + stray)]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                       spark.createDataFrame([(7, item)], "item_id bigint, text string")).collect()
+    got = {r.doc_id: (r.coverage, r.longest_run, r.changed_slots) for r in found}
+    assert set(got) == {1, 2, 3} and got[1] == got[2] == (1.0, 42, 0)
+    assert got[3][0] > 0.8 and got[3][2] == 0
