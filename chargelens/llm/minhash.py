@@ -444,9 +444,14 @@ def link_documents(docs):
 def keep_one(docs):
     """The rows of `docs` that are the first of their group, by five-word shingles at 80 of 100.
 
-    The columns stay. Repeated rows are one document and stay together.
+    The columns stay. A row is known by its doc_id and its text, so a null or repeated id stands for
+    as many documents as it has texts, and one of a group stays whatever its id: the one with the
+    least id, null last, then the least text hash. Repeated rows are one document and stay together.
     """
     frame, place, back = neutral(docs)
-    ids = frame.select(F.col(place["doc_id"]).alias("doc_id"), F.col(place["text"]).alias("text"))
-    gone = materialize(near_duplicates(ids).filter("not kept").select(F.col("doc_id").alias("gone")).distinct())
-    return frame.join(small(gone, FETCH_ROWS), F.col(place["doc_id"]).eqNullSafe(F.col("gone")), "left_anti").select(*back)
+    doc_id, text = F.col(place["doc_id"]), F.col(place["text"])
+    keyed = frame.withColumn("row", F.struct(doc_id.isNull().alias("no"), doc_id.alias("doc_id"),
+                                             F.xxhash64(text).alias("mark")))
+    found = near_duplicates(keyed.select("row", text.alias("text")), doc_id="row")
+    gone = materialize(found.filter("not kept").select(F.col("doc_id").alias("gone")).distinct())
+    return keyed.join(small(gone, FETCH_ROWS), F.col("row").eqNullSafe(F.col("gone")), "left_anti").select(*back)

@@ -61,6 +61,24 @@ def test_keep_one_keeps_columns(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    draw = random.Random(10)
+    one, two, three, four = (prose(draw, 60) for _ in range(4))
+    near = one.rsplit(" ", 1)[0]
+    lone = prose(draw, 50)
+    rows = [(1, one), (None, near), (None, two), (None, ""), (None, None),       # a null id linked with 1
+            (2, three), (2, lone), (0, three + " end"),                          # an id over two texts
+            (None, four), (None, four + " end"), (None, four + " end"),          # near copies without ids
+            (5, two + " end"), (6, "x y"), (6, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id, r.text) for r in minhash.keep_one(docs).collect()), key=str)
+    fours = [r for r in kept if r[1] and r[1].startswith(four)]
+    assert len(set(fours)) == 1 and len(fours) == rows.count(fours[0])
+    assert sorted((r for r in kept if r not in fours), key=str) == sorted(
+        [(1, one), (None, ""), (None, None), (2, lone), (0, three + " end"), (5, two + " end"), (6, "x y"), (6, "x y")],
+        key=str)
+
+
 def test_pruning_table():
     table = minhash.least_matches(0.85)
     assert list(table) == list(range(20, 121, 20)) and table[120] > 70
