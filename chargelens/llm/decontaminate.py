@@ -21,6 +21,13 @@ j kj c f k mph kmh inch inches foot feet yard yards mile miles meter meters metr
 kilometre kilometres gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres second seconds
 minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents euro euros
 degree degrees""".split())
+# Words that begin sentences and are no names: at the start of one they stand for themselves only.
+COMMON = frozenset("""a an the this that these those there here it he she we you they i me my his her its our your their
+and or but nor so yet if when while since because although though unless until after before then than as at by for from
+in into of off on onto out over to under up with without about between through during what which who whom whose where why
+how is are was were be been am do does did has have had can could will would shall should may might must not no yes all
+any both each either neither every few many more most much one other some such only also now given let find suppose
+assume consider calculate compute determine""".split())
 NUMBER = re.compile(r"([$€£]?)([+-]?[0-9][0-9.,/:]*)(.*)", re.DOTALL)
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~" + "¡¿«»“”‘’…–—"
 AROUND_NUMBER = "".join(c for c in EDGES if c not in "$€£%+-")
@@ -121,11 +128,14 @@ def _simple_words(data):
 
 
 def templates(texts, cache):
-    """(codes of all texts end to end, end of each text, slots of a text by its number).
+    """(codes of all texts end to end in three readings, end of each text, slots of a text by its number).
 
     `texts` are bytes. One code a template token: words lose their punctuation and case, numbers
-    become one placeholder, capitalised words that do not begin a sentence another, a unit after
-    or joined to a number a third. The slots are {place in the text: value} of the placeholders.
+    become one placeholder, capitalised words another, a unit after or joined to a number a third.
+    A capitalised word that begins a sentence may be a name or not: the first reading takes it as a
+    plain word, the second as a name; the third takes all capitalised words as plain ones.
+    The slots are ({place in the text: value} of the placeholders of the second reading, places of
+    names, those of them that begin a sentence).
     Simple words are handled as arrays; only the others are looked at one by one.
     """
     text = b"\n".join(texts)
@@ -140,7 +150,8 @@ def templates(texts, cache):
         cache.clear()
     odd = np.flatnonzero(~simple)
     last, number = -2, False
-    sizes, found, slots, units = [], [], {}, set()
+    sizes, found, slots, units = [], ([], [], []), {}, set()
+    named, initial = set(), set()                        # (word, token) that may be a name, and begins a sentence
     for k, lo, hi in zip(odd.tolist(), starts[odd].tolist(), stops[odd].tolist()):
         raw = text[lo:hi]
         known = cache.get(raw)
@@ -150,16 +161,21 @@ def templates(texts, cache):
         begin = bool(opens[k])
         number = number and k == last + 1 and k not in opening
         if unit and number:
-            tokens = [(UNIT, raw.decode("utf-8", "replace").strip(EDGES).lower())]
+            tokens = inside = first = [(UNIT, raw.decode("utf-8", "replace").strip(EDGES).lower())]
             number = False
         else:
             tokens = first if begin else inside
             if tokens:
                 number = tokens[-1][0] == NUM
-        for j, (code, slot) in enumerate(tokens):
-            found.append(code)
-            if slot is not None:
-                slots[k, j] = slot
+        for j, readings in enumerate(zip(tokens, inside, first)):
+            for line, (code, _) in zip(found, readings):
+                line.append(code)
+            if readings[1][1] is not None:
+                slots[k, j] = readings[1][1]
+            if readings[1][0] == NAME:
+                named.add((k, j))
+                if begin:
+                    initial.add((k, j))
         sizes.append(len(tokens))
         if k + 1 not in opening:
             opens[k + 1] = ends or (begin and not tokens)
@@ -169,76 +185,138 @@ def templates(texts, cache):
             if after in UNITS:
                 units.add(k + 1)
                 slots[k + 1, 0] = after
-    names = simple & capital & ~opens[:n]
-    codes[names] = NAME
+    names = simple & capital
     if units:
+        names[list(units)] = False
         codes[list(units)] = UNIT
     counts = np.ones(n + 1, np.int64)
     counts[odd] = sizes
     counts[-1] = 0
     offsets = np.cumsum(counts) - counts                 # first token of each word, and the end of all
-    line = np.empty(int(counts.sum()), np.uint64)
-    line[offsets[:-1][simple]] = codes[simple]
     sizes = np.array(sizes, np.int64)
-    within = np.arange(len(found)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    line[np.repeat(offsets[odd], sizes) + within] = np.array(found, np.uint64)
+    within = np.arange(len(found[0])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    others = np.repeat(offsets[odd], sizes) + within
+    lines = []
+    for read, special in zip((names & ~opens[:n], names, None), found):
+        line = np.empty(int(counts.sum()), np.uint64)
+        own = codes if read is None else np.where(read, np.uint64(NAME), codes)
+        line[offsets[:-1][simple]] = own[simple]
+        line[others] = np.array(special, np.uint64)
+        lines.append(line)
     bounds = np.append(firsts, n)
     edges = offsets[bounds]
 
     def slots_of(i):
         lo, hi = bounds[i], bounds[i + 1]
-        own = {}
+        own, name_places, initial_places = {}, set(), set()
         for k in range(lo, hi):
             at = int(offsets[k] - edges[i])
-            if names[k] and k not in units:
+            if names[k]:
                 own[at] = text[starts[k]:cores[k]].decode()
+                name_places.add(at)
+                if opens[k]:
+                    initial_places.add(at)
             for j in range(int(counts[k])):
                 if (k, j) in slots:
                     own[at + j] = slots[k, j]
-        return own
+                    if (k, j) in named:
+                        name_places.add(at + j)
+                    if (k, j) in initial:
+                        initial_places.add(at + j)
+        return own, name_places, initial_places
 
-    return line, edges[1:], slots_of
+    return lines, edges[1:], slots_of
 
 
 def windows(codes, size):
     """64-bit hash of each window of `size` codes."""
     n = len(codes) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    total = np.full(n, size, np.uint64)
-    for i in range(size):
-        total ^= codes[i:i + n]
+    return _hashed([codes[i:i + n] for i in range(size)]) if n > 0 else np.empty(0, np.uint64)
+
+
+def _hashed(columns):
+    total = np.full(len(columns[0]), len(columns), np.uint64)
+    for column_ in columns:
+        total ^= column_
         total *= np.uint64(0x9E3779B97F4A7C15)
         total ^= total >> np.uint64(31)
     return total
 
 
+def _item_windows(lines, size):
+    """(hashes, places) of the windows of an item: all readings of the words that begin sentences, and plain words."""
+    first = windows(lines[0], size)
+    hashes, places = [first], [np.arange(len(first))]
+    plain = _differing(lines[0], lines[2], size)
+    hashes.append(windows(lines[2], size)[plain])
+    places.append(plain)
+    views = np.lib.stride_tricks.sliding_window_view(lines[0], size)
+    either = np.lib.stride_tricks.sliding_window_view(lines[0] != lines[1], size)
+    several = either.sum(axis=1)
+    for many in set(several[several > 0].tolist()):
+        at = np.flatnonzero(several == many)
+        spots = np.nonzero(either[at])[1].reshape(-1, many)
+        for choice in range(1, 1 << many):
+            rows = views[at].copy()
+            for j in range(many):
+                if choice >> j & 1:
+                    rows[np.arange(len(at)), spots[:, j]] = NAME
+            hashes.append(_hashed(list(rows.T)))
+            places.append(at)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def _differing(one, two, size):
+    """Places of the windows in which two readings differ."""
+    sums = np.append(0, np.cumsum(one != two))
+    return np.flatnonzero(sums[size:] > sums[:-size]) if len(one) >= size else np.empty(0, np.int64)
+
+
 # ------------------------------------------------------------------------- matching
 
 def _index(items):
     """Lookup for a block of benchmark items [(item_id, text)]."""
     by_size, kept = defaultdict(list), []
-    line, ends, slots_of = templates([text.encode() for _, text in items], {})
+    lines, ends, slots_of = templates([text.encode() for _, text in items], {})
     for t, (item_id, _) in enumerate(items):
-        codes = line[ends[t - 1] if t else 0:ends[t]]
-        n = len(codes)
+        own = [line[ends[t - 1] if t else 0:ends[t]] for line in lines]
+        n = len(own[0])
         if not n:
             continue
         size = min(WINDOW, n)
-        at = len(kept)
+        hashes, places = _item_windows(own, size)
+        by_size[size, n < SHORTEST].append((hashes, np.full(len(hashes), len(kept)), places))
         kept.append((item_id, n, size, slots_of(t)))
-        by_size[size, n < SHORTEST].extend((h, at, i) for i, h in enumerate(windows(codes, size).tolist()))
     index = {}
-    for key, rows in by_size.items():
-        places = defaultdict(list)
-        for h, at, i in rows:
-            places[h].append((at, i))
-        index[key] = (np.sort(np.fromiter(places, np.uint64, len(places))), dict(places))
+    for key, parts in by_size.items():
+        hashes, owners, places = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(hashes, kind="stable")
+        known, begins = np.unique(hashes[order], return_index=True)
+        index[key] = (known, np.append(begins, len(order)), owners[order].astype(np.int32),
+                      places[order].astype(np.int32))
     return kept, index
 
 
-def _renaming(pairs):
-    """{item value: document value} of the (item value, document value) pairs, or None if they contradict each other."""
+def _renaming(i, d, reading, size, item, doc):
+    """{item value: document value} of a window hit in a reading of the document, or None if it contradicts itself.
+
+    A name that the document has as a plain word stands for itself. Common words at the start of a
+    sentence, of the item or of the document, must be the same.
+    """
+    (item_slots, item_names, item_initial), (slots, names, initial) = item, doc
+    pairs = []
+    for a, b in zip(range(i, i + size), range(d, d + size)):
+        plain = b not in slots or (b in names and (reading == 2 or (reading == 0 and b in initial)))
+        if plain:
+            if a in item_names and a not in item_initial:
+                pairs.append((item_slots[a], item_slots[a]))
+            continue
+        x, y = item_slots[a], slots[b]
+        if b in names and (a in item_initial or b in initial) and (x.lower() in COMMON or y.lower() in COMMON):
+            if x.lower() != y.lower():
+                return None
+            continue
+        pairs.append((x, y))
     there = dict(pairs)
     return there if len(there) == len(set(pairs)) == len(set(there.values())) else None
 
@@ -257,13 +335,16 @@ def _grown(seed, hits):
 
 def _fitting(order, hits):
     """The numbers of the hits that fit one renaming when taken in this order, and the renaming."""
-    there, back, kept = {}, {}, set()
+    there, back, kept, places = {}, {}, set(), set()
     for x in order:
         own = hits[x][2]
-        if all(there.get(a, b) == b and back.get(b, a) == a for a, b in own.items()):
+        if hits[x][:2] in places:                        # another reading of a window that is kept
+            kept.add(x)
+        elif all(there.get(a, b) == b and back.get(b, a) == a for a, b in own.items()):
             there.update(own)
             back.update((b, a) for a, b in own.items())
             kept.add(x)
+            places.add(hits[x][:2])
     return kept, there
 
 
@@ -275,33 +356,39 @@ def _alignments(hits):
     """
     hits = sorted(hits, key=lambda h: (h[1], h[0]))
     kept, there = _fitting(range(len(hits)), hits)
-    yield [hits[x][:2] for x in sorted(kept)], there
+    yield sorted({hits[x][:2] for x in kept}), there
     used = set(kept)
     for x in range(len(hits)):
         if x not in used:
             kept, there = _grown(x, hits)
             used |= kept
-            yield [hits[x][:2] for x in sorted(kept)], there
+            yield sorted({hits[x][:2] for x in kept}), there
 
 
-def _hits(line, ends, index):
-    """{text number: {item number: [(item place, text place)]}} of the windows that texts share with items.
+def _hits(lines, ends, index):
+    """{text number: {item number: [(item place, text place, reading)]}} of the windows that texts share with items.
 
-    The texts of a batch are looked up end to end, one pass a window size.
+    The texts of a batch are looked up end to end, one pass a window size and reading; later
+    readings only where they differ from the first.
     """
     lengths = np.diff(ends, prepend=0)
     hits = defaultdict(lambda: defaultdict(list))
-    for (size, whole), (known, places) in index.items():
-        found = windows(line, size)
-        near = np.minimum(np.searchsorted(known, found), len(known) - 1)
-        at = np.flatnonzero(known[near] == found)
-        owner = np.searchsorted(ends, at, side="right")
-        inside = at + size <= ends[owner]
-        if whole:
-            inside &= lengths[owner] == size
-        for d, t in zip(at[inside].tolist(), owner[inside].tolist()):
-            for item, i in places[int(found[d])]:
-                hits[t][item].append((i, d - int(ends[t] - lengths[t])))
+    for (size, whole), (known, begins, items, places) in index.items():
+        for reading, line in enumerate(lines):
+            found = windows(line, size)
+            asked = _differing(lines[0], line, size) if reading else np.arange(len(found))
+            found = found[asked]
+            near = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            equal = known[near] == found
+            at, near = asked[equal], near[equal]
+            owner = np.searchsorted(ends, at, side="right")
+            inside = at + size <= ends[owner]
+            if whole:
+                inside &= lengths[owner] == size
+            for d, t, j in zip(at[inside].tolist(), owner[inside].tolist(), near[inside].tolist()):
+                begin = int(ends[t] - lengths[t])
+                for x in range(begins[j], begins[j + 1]):
+                    hits[t][int(items[x])].append((int(places[x]), d - begin, reading))
     return hits
 
 
@@ -322,11 +409,11 @@ def _matches(hits, kept, slots):
     for at, places in hits.items():
         item_id, n, size, item_slots = kept[at]
         fitting = []
-        for i, d in places:
-            there = _renaming([(item_slots[i + k], slots.get(d + k)) for k in range(size) if i + k in item_slots])
+        for i, d, reading in sorted(places, key=lambda h: h[2]):
+            there = _renaming(i, d, reading, size, item_slots, slots)
             if there is not None:
                 fitting.append((i, d, there))
-        most = _extent([h[:2] for h in fitting], n, size)     # if nothing contradicted
+        most = _extent({h[:2] for h in fitting}, n, size)     # if nothing contradicted
         if most[0] < COVERAGE and most[1] < RUN:
             continue
         best = None
@@ -361,7 +448,9 @@ def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
     is one pass over the documents, so its lookup table is bounded however long the benchmark is.
     Documents are read whole; nothing but the result is shuffled. A pair is reported when windows that fit
     one renaming of the item's values cover COVERAGE of its template or RUN tokens in a row. Windows that
-    contradict each other are read apart, so a chance hit hides no copy elsewhere in the document. Items shorter than
+    contradict each other are read apart, so a chance hit hides no copy elsewhere in the document.
+    A capitalised word at the start of a sentence is looked up as a name and as a plain word, and
+    windows also match by their plain words, whatever their case. Items shorter than
     a window are one window; under SHORTEST tokens they match only a document that is nothing else.
     Null and empty texts match nothing. Repeated documents or items give a pair each time; a null
     id is reported as null.
@@ -377,8 +466,8 @@ def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
 
         def run(texts, shared=shared, cache={}):     # the cache of words lasts for a task  # noqa: B006
             kept, index = shared.value
-            line, ends, slots_of = templates([t or b"" for t in texts], cache)
-            hits = _hits(line, ends, index)
+            lines, ends, slots_of = templates([t or b"" for t in texts], cache)
+            hits = _hits(lines, ends, index)
             return [[[dict(zip(("item_id", "matched_windows", "coverage", "longest_run", "changed_slots"), r))
                       for r in _matches(hits[i], kept, slots_of(i))] if i in hits else []
                      for i in range(len(texts))]]

@@ -168,3 +168,21 @@ def test_decontamination_after_a_stray_window(spark):
     got = {r.doc_id: (r.coverage, r.longest_run, r.changed_slots) for r in found}
     assert set(got) == {1, 2, 3} and got[1] == got[2] == (1.0, 42, 0)
     assert got[3][0] > 0.8 and got[3][2] == 0
+
+
+def test_decontamination_of_names_that_begin_sentences(spark):
+    item = ("Anna has 12 apples. Peter buys 7 pears. Maria eats 3 plums. Tom sells 5 figs. "
+            "How many fruits are left?")
+    renamed = item
+    for a, b in (("Anna", "Olga"), ("Peter", "Ivan"), ("Maria", "Ruth"), ("Tom", "Emil"), ("12", "31"), ("5", "8")):
+        renamed = renamed.replace(a, b)
+    bench = [(1, item), (2, "What is the capital of France?"), (3, "Yesterday Anna walked with Peter to Oldtown.")]
+    docs = [(1, renamed), (2, "Some words. " + renamed.replace("Olga", "then Olga")), (3, item.lower()),
+            (4, "Questions\nWhat is the capital of France?"), (5, "we ask what is the capital of France"),
+            (6, "Berlin is the capital of Germany."), (7, "yesterday anna walked with peter to oldtown"),
+            (8, "So Ruth has many cats. Olga sees none of them.")]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                       spark.createDataFrame(bench, "item_id bigint, text string")).collect()
+    got = {(r.doc_id, r.item_id): (r.coverage, r.changed_slots) for r in found}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (7, 3)}
+    assert got[1, 1] == (1.0, 6) and got[2, 1] == (1.0, 6) and got[3, 1] == (1.0, 0)
