@@ -59,7 +59,7 @@ def targets(sizes, weights=WEIGHTS, budget=BUDGET, epochs=MOST_EPOCHS):
 
 
 def mix(docs, size, weights=WEIGHTS, budget=BUDGET, epochs=MOST_EPOCHS, seed=SEED, carry=("doc_id",),
-        doc_id="doc_id", source="source"):
+        doc_id="doc_id", source="source", ties=()):
     """How much of each document the mix takes: carried columns, source, size, source_size, target, taken,
     key (the hash that orders a source) and rounds (how often the mix takes the whole source).
 
@@ -71,7 +71,7 @@ def mix(docs, size, weights=WEIGHTS, budget=BUDGET, epochs=MOST_EPOCHS, seed=SEE
     Rows are range-partitioned by (source, hash), so a source of any size is spread over tasks; the
     prefix sums are sums inside partitions plus one offset a partition. Null sources are one source,
     null doc_ids hash as empty text, null sizes count 0. Repeated rows count as often as they occur;
-    equal ones are interchangeable. Empty tables and sources without words give taken 0.
+    equal ones are interchangeable. Equal hashes are ordered by doc_id, size and the columns `ties`. Empty tables and sources without words give taken 0.
     Carried columns that clash with a result are replaced.
     """
     results = ["source", "size", "source_size", "target", "taken", "key", "rounds"]
@@ -79,14 +79,15 @@ def mix(docs, size, weights=WEIGHTS, budget=BUDGET, epochs=MOST_EPOCHS, seed=SEE
     rows = docs.select(
         column(source).alias("source"), F.coalesce(column(size), F.lit(0)).cast("bigint").alias("size"),
         hash_key(column(doc_id), seed).alias("key"),
-        column(doc_id).alias("tie"), *[column(c).alias(f"k{i}") for i, c in enumerate(keep)])
+        column(doc_id).alias("tie"), *[column(c).alias(f"t{i}") for i, c in enumerate(ties)],
+        *[column(c).alias(f"k{i}") for i, c in enumerate(keep)])
     rows = materialize(rows)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = materialize(targets(materialize(sizes), weights, budget, epochs).withColumn(
         "start", F.coalesce(F.sum("source_size").over(
             Window.orderBy(F.col("source").asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    order = ["source", "key", "tie", "size"]        # rows equal in these take part alike
+    order = ["source", "key", "tie", "size", *[f"t{i}" for i in range(len(ties))]]     # rows equal in these take part alike
     summed = running_totals(rows, order, {"upto": F.col("size")}, bounded=False)
     goals = goals.withColumnRenamed("source", "of")
     joined = summed.join(goals, F.col("source").eqNullSafe(F.col("of")))
@@ -102,19 +103,27 @@ def mix(docs, size, weights=WEIGHTS, budget=BUDGET, epochs=MOST_EPOCHS, seed=SEE
 def repeat_rows(docs):
     """The rows of `docs` as often as the mix takes them, whole: the columns stay.
 
-    Every row of a source comes `rounds` times, and once more if its hash is not beyond that of the
-    row at the edge of the budget, so the edge row comes whole. The decision is one row a source, and
-    the texts are not shuffled. Rows without words go with their hash like any others.
+    Every row of a source comes `rounds` times, and once more if in the order of hash, doc_id, size and
+    text hash it is not beyond the row at the edge of the budget, so the edge row comes whole, with rows
+    equal to it in all of these. The decision is one row a source, and the texts are not shuffled.
+    Rows without words go with their place like any others.
     """
     frame, place, back = neutral(docs)
-    narrow = frame.select(F.col(place["doc_id"]).alias("doc_id"), F.col(place["source"]).alias("source"),
-                          F.coalesce(F.regexp_count(F.col(place["text"]), F.lit(WORD)), F.lit(0)).alias("size"))
-    taken = mix(narrow, "size", carry=())
+    doc_id, text = F.col(place["doc_id"]), F.col(place["text"])
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+    narrow = frame.select(doc_id.alias("doc_id"), F.col(place["source"]).alias("source"), size.alias("size"),
+                          F.xxhash64(text).alias("mark"))
+    taken = mix(narrow, "size", carry=("doc_id", "mark"), ties=("mark",))
     more = F.col("taken") > F.col("rounds") * F.col("size")
+    spot = F.struct("key", "doc_id", "size", "mark")
     edges = materialize(taken.groupBy(F.col("source").alias("_source")).agg(
-        F.max("rounds").alias("_rounds"), F.max(F.when(more, F.col("key"))).alias("_edge")))
-    key = hash_key(F.col(place["doc_id"]))
-    times = F.col("_rounds") + F.when(key <= F.col("_edge"), 1).otherwise(0)
+        F.max("rounds").alias("_rounds"), F.max(F.when(more, spot)).alias("_edge")))
+    own = F.struct(hash_key(doc_id).alias("key"), doc_id.alias("doc_id"), size.alias("size"),
+                   F.xxhash64(text).alias("mark"))
+    # the hash decides but for the edge's own, so words are counted again only there
+    edge = F.col("_edge")
+    inside = (hash_key(doc_id) < edge["key"]) | ((hash_key(doc_id) == edge["key"]) & (own <= edge))
+    times = F.col("_rounds") + F.when(inside, 1).otherwise(0)
     return (frame.join(edges, F.col(place["source"]).eqNullSafe(F.col("_source")))
             .withColumn("_times", times.cast("int")).filter("_times > 0")
             .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*back))

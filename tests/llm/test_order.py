@@ -100,6 +100,19 @@ def test_repeated_rows_are_whole(spark):
         assert counts[r.doc_id] * r.size >= r.taken
 
 
+def test_repeated_rows_of_null_and_repeated_ids(spark):
+    sizes = {"a": 300, "b": 200, "c": 90}
+    rows = [(None if i % 2 else 5, " ".join([f"w{i}"] * (i % 7 + 1)), None, s, None)
+            for s, n in sizes.items() for i in range(n)]
+    docs = frame(spark, rows)
+    goals = {r.source: math.floor(r.target) for r in mixing.mix_documents(docs).collect()}
+    words = Counter()
+    for r in mixing.repeat_rows(docs).collect():
+        words[r.source] += len(r.text.split())
+    assert any(goals[s] % sum(i % 7 + 1 for i in range(n)) for s, n in sizes.items())
+    assert all(goals[s] <= words[s] < goals[s] + 7 for s in sizes)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = docs
