@@ -1,7 +1,7 @@
 """The registered queries of the corpus operators and their SQL."""
 
-from . import (decontaminate, host_quality, language_id, minhash, mixing, secrets, sharding, suffix_dedup, toxicity,
-               url_rules)
+from . import (decontaminate, host_quality, language_id, minhash, mixing, periodic_runs, personal_data, search, secrets,
+               sharding, suffix_dedup, toxicity, url_rules)
 from .common import read
 
 
@@ -21,8 +21,12 @@ def queries():
         "op8_decontamination": _documents(decontaminate.contaminated, "benchmark"),
         "op9_suffix_dedup": _documents(suffix_dedup.repeat_documents),
         "op10_secrets": _documents(secrets.scan_documents),
+        "op11_personal_data": _documents(personal_data.detect_documents),
+        "op12_search": _documents(search.search_documents, "benchmark"),
+        "op13_periodic_runs": _documents(periodic_runs.run_documents),
     }
 
 
 def oracle_sql():
-    return {"op5_url_rules": url_rules.oracle_sql()}
+    return {"op5_url_rules": url_rules.oracle_sql(), "op12_search": search.oracle_sql(),
+            "op13_periodic_runs": periodic_runs.oracle_sql()}

@@ -102,3 +102,47 @@ def known_spans(text):
 
 def crc(value):
     return zlib.crc32(str(value).encode())
+
+
+# --------------------------------------------------------------- personal data
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def luhn(number):
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 * (v > 9)
+    return total % 10 == 0
+
+
+def personal(text):
+    """Spans of email, ip, card and phone, each by its plain pattern."""
+    text = text or ""
+    only = lambda m: re.sub("[^0-9]", "", m.group())
+    email = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)] if "@" in text else []
+    ip = [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+          if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split("."))] if "." in text else []
+    card = [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 13 <= len(only(m)) <= 19 and luhn(only(m))]
+    phone = [m.span() for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(only(m)) <= 15]
+    return email, ip, card, phone
+
+
+# --------------------------------------------------------------- periodic runs
+
+def runs(words):
+    """(start, length, period) of maximal runs of four periods and six words, lag by lag."""
+    found = []
+    for lag in range(1, len(words) // 4 + 1):
+        i = lag
+        while i < len(words):
+            start = i - lag
+            while i < len(words) and words[i] == words[i - lag]:
+                i += 1
+            part = words[start:i]
+            if len(part) >= max(6, 4 * lag) and all(any(part[k] != part[k - q] for k in range(q, len(part))) for q in range(1, lag)):
+                found.append((start, i - start, lag))
+            i = max(i, start + lag) + 1
+    return sorted(found)

@@ -194,8 +194,9 @@ def test_urls(spark, tmp_path):
     assert url_rules.judge(pages.limit(0)).count() == 0
 
 
-def test_urls_run_without_python(spark, sf_dir):
-    plan = queries.queries()["op5_url_rules"](spark, sf_dir)._jdf.queryExecution().toString()
+@pytest.mark.parametrize("name", ["op5_url_rules", "op11_personal_data"])
+def test_native_queries_run_without_python(spark, sf_dir, name):
+    plan = queries.queries()[name](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
@@ -205,6 +206,6 @@ def test_rule_without_token(spark):
     assert {r.page_id: r.verdict for r in found} == {1: "block", 2: "allow"}
 
 
-@pytest.mark.parametrize("name", ["op5_url_rules"])
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracle(spark, sf_dir, name):
     assert compare(queries.queries()[name](spark, sf_dir), connect(sf_dir), queries.oracle_sql()[name]) is None
