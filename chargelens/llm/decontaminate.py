@@ -1,18 +1,23 @@
 """Benchmark decontamination by templates: typed placeholders, window hashes, consistent slots."""
 
+import pickle
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..operators import ordered
 from .common import column, materialize, neutral, per_text, small
 
 WINDOW = 8                   # template tokens of a window
+LITERALS = 3                 # plain words in a window; a window with fewer is compared with its values
 SHORTEST = 5                 # items with fewer template tokens are matched only as a whole text
-COVERAGE = 0.5               # share of an item's template that makes a document contaminated
+FEWEST = 5                   # plain words or equal values that a match covers at least
+COVERAGE = 0.5               # share of an item's plain words and equal values that makes a document contaminated
 RUN = 13                     # or so many of its template tokens in a row
-BLOCK_WINDOWS = 500_000      # benchmark windows looked up in one pass over the documents
+BLOCK_WINDOWS = 500_000      # benchmark windows looked up in one pass over the documents, and those of one item more
 FETCH_ROWS = 1_000_000
 
 # Units that follow a number.
@@ -21,7 +26,7 @@ j kj c f k mph kmh inch inches foot feet yard yards mile miles meter meters metr
 kilometre kilometres gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres second seconds
 minute minutes hour hours day days week weeks month months year years percent dollar dollars cent cents euro euros
 degree degrees""".split())
-# Words that begin sentences and are no names: at the start of one they stand for themselves only.
+# Words that are no names, also where they begin a sentence or a title: they stand for themselves only.
 COMMON = frozenset("""a an the this that these those there here it he she we you they i me my his her its our your their
 and or but nor so yet if when while since because although though unless until after before then than as at by for from
 in into of off on onto out over to under up with without about between through during what which who whom whose where why
@@ -64,28 +69,36 @@ def _code(word):
     return h ^ h >> 29
 
 
+COMMON_CODES = np.sort(np.array([_code(w) for w in COMMON], np.uint64))
+
+
+def _value(code, value):
+    """Token of a placeholder: its code, its value and the code of that."""
+    return code, value, _code(value.lower())
+
+
 def _analyse(raw):
     """(tokens inside a sentence, tokens at its start, ends a sentence, is a unit) of a raw word.
 
-    Tokens are (code, slot); slot is None for words.
+    Tokens are (code, slot, code of the value); slot is None for words.
     """
     core = raw.strip(EDGES)
     ends = raw.rstrip("\"')]}”’»").endswith(ENDS)
     found = NUMBER.fullmatch(raw.strip(AROUND_NUMBER)) if core else None
     if found:
         sign, number, rest = found.groups()
-        tokens = ([(UNIT, sign)] if sign else []) + [(NUM, number.rstrip(".,/:"))]
+        tokens = ([_value(UNIT, sign)] if sign else []) + [_value(NUM, number.rstrip(".,/:"))]
         rest = rest.strip(AROUND_UNIT).lower()
         if rest == "%" or rest in UNITS:
-            tokens.append((UNIT, rest))
+            tokens.append(_value(UNIT, rest))
         elif rest:
-            tokens.append((_code(rest), None))
+            tokens.append((_code(rest), None, _code(rest)))
         return tokens, tokens, ends, False
     if not core:
         return [], [], ends, False
     lower = core.lower()
-    plain = [(_code(lower), None)]
-    named = [(NAME, core)] if core[0].isupper() else plain
+    plain = [(_code(lower), None, _code(lower))]
+    named = [_value(NAME, core)] if core[0].isupper() and lower not in COMMON else plain
     return named, plain, ends, lower in UNITS
 
 
@@ -128,12 +141,13 @@ def _simple_words(data):
 
 
 def templates(texts, cache):
-    """(codes of all texts end to end in three readings, end of each text, slots of a text by its number).
+    """(codes of all texts end to end in four readings, end of each text, slots of a text by its number).
 
     `texts` are bytes. One code a template token: words lose their punctuation and case, numbers
     become one placeholder, capitalised words another, a unit after or joined to a number a third.
     A capitalised word that begins a sentence may be a name or not: the first reading takes it as a
-    plain word, the second as a name; the third takes all capitalised words as plain ones.
+    plain word, the second as a name; the third takes all capitalised words as plain ones, the fourth
+    has values in place of all placeholders. Common words are never names.
     The slots are ({place in the text: value} of the placeholders of the second reading, places of
     names, those of them that begin a sentence).
     Simple words are handled as arrays; only the others are looked at one by one.
@@ -150,7 +164,7 @@ def templates(texts, cache):
         cache.clear()
     odd = np.flatnonzero(~simple)
     last, number = -2, False
-    sizes, found, slots, units = [], ([], [], []), {}, set()
+    sizes, found, slots, units = [], ([], [], [], []), {}, set()
     named, initial = set(), set()                        # (word, token) that may be a name, and begins a sentence
     for k, lo, hi in zip(odd.tolist(), starts[odd].tolist(), stops[odd].tolist()):
         raw = text[lo:hi]
@@ -161,15 +175,16 @@ def templates(texts, cache):
         begin = bool(opens[k])
         number = number and k == last + 1 and k not in opening
         if unit and number:
-            tokens = inside = first = [(UNIT, raw.decode("utf-8", "replace").strip(EDGES).lower())]
+            tokens = inside = first = [_value(UNIT, raw.decode("utf-8", "replace").strip(EDGES).lower())]
             number = False
         else:
             tokens = first if begin else inside
             if tokens:
                 number = tokens[-1][0] == NUM
         for j, readings in enumerate(zip(tokens, inside, first)):
-            for line, (code, _) in zip(found, readings):
+            for line, (code, _, _) in zip(found, readings):
                 line.append(code)
+            found[3].append(readings[1][2])
             if readings[1][1] is not None:
                 slots[k, j] = readings[1][1]
             if readings[1][0] == NAME:
@@ -186,8 +201,11 @@ def templates(texts, cache):
                 units.add(k + 1)
                 slots[k + 1, 0] = after
     names = simple & capital
+    names[names] = ~_among(codes[names], COMMON_CODES)
+    exact = codes
     if units:
         names[list(units)] = False
+        exact = codes.copy()
         codes[list(units)] = UNIT
     counts = np.ones(n + 1, np.int64)
     counts[odd] = sizes
@@ -197,9 +215,9 @@ def templates(texts, cache):
     within = np.arange(len(found[0])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     others = np.repeat(offsets[odd], sizes) + within
     lines = []
-    for read, special in zip((names & ~opens[:n], names, None), found):
+    for own, special in zip((np.where(names & ~opens[:n], np.uint64(NAME), codes), np.where(names, np.uint64(NAME), codes),
+                             codes, exact), found):
         line = np.empty(int(counts.sum()), np.uint64)
-        own = codes if read is None else np.where(read, np.uint64(NAME), codes)
         line[offsets[:-1][simple]] = own[simple]
         line[others] = np.array(special, np.uint64)
         lines.append(line)
@@ -228,6 +246,11 @@ def templates(texts, cache):
     return lines, edges[1:], slots_of
 
 
+def _among(codes, known):
+    """Which codes are among sorted known ones."""
+    return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+
+
 def windows(codes, size):
     """64-bit hash of each window of `size` codes."""
     n = len(codes) - size + 1
@@ -243,240 +266,345 @@ def _hashed(columns):
     return total
 
 
-def _item_windows(lines, size):
-    """(hashes, places) of the windows of an item: all readings of the words that begin sentences, and plain words."""
-    first = windows(lines[0], size)
-    hashes, places = [first], [np.arange(len(first))]
-    plain = _differing(lines[0], lines[2], size)
-    hashes.append(windows(lines[2], size)[plain])
-    places.append(plain)
-    views = np.lib.stride_tricks.sliding_window_view(lines[0], size)
-    either = np.lib.stride_tricks.sliding_window_view(lines[0] != lines[1], size)
-    several = either.sum(axis=1)
-    for many in set(several[several > 0].tolist()):
-        at = np.flatnonzero(several == many)
-        spots = np.nonzero(either[at])[1].reshape(-1, many)
-        for choice in range(1, 1 << many):
-            rows = views[at].copy()
-            for j in range(many):
-                if choice >> j & 1:
-                    rows[np.arange(len(at)), spots[:, j]] = NAME
-            hashes.append(_hashed(list(rows.T)))
-            places.append(at)
-    return np.concatenate(hashes), np.concatenate(places)
-
-
 def _differing(one, two, size):
-    """Places of the windows in which two readings differ."""
+    """Whether each window differs in two readings."""
     sums = np.append(0, np.cumsum(one != two))
-    return np.flatnonzero(sums[size:] > sums[:-size]) if len(one) >= size else np.empty(0, np.int64)
+    return sums[size:] > sums[:-size]
+
+
+def _literals(line, size):
+    """Plain words of each window."""
+    sums = np.append(0, np.cumsum(line > UNIT))
+    return sums[size:] - sums[:-size]
+
+
+def looked_up(lines, size):
+    """[(places, hashes, hash of the window before)] of the windows to look up, a triple a reading.
+
+    A window with LITERALS plain words counts in the first reading, and in the others where it
+    differs from the ones before; windows with fewer even if all capitalised words are plain ones
+    count with their values, so numbers and names alone match the same numbers and names only.
+    The window before is 0 where it does not count in that reading.
+    """
+    n = len(lines[0]) - size + 1
+    if n <= 0:
+        return [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))] * 4
+    plain = [_literals(line, size) >= LITERALS for line in lines[:3]]
+    first, second = _differing(lines[0], lines[1], size), _differing(lines[0], lines[2], size)
+    wanted = [plain[0], plain[1] & first, plain[2] & second & _differing(lines[1], lines[2], size), ~plain[2]]
+    found = []
+    for reading, (line, which) in enumerate(zip(lines, wanted)):
+        places = np.flatnonzero(which)
+        if len(places) > n // 2:
+            hashes = windows(line, size)[places]
+        else:
+            hashes = _hashed([line[places + i] for i in range(size)]) if len(places) else np.empty(0, np.uint64)
+        if reading == 3:
+            hashes ^= np.uint64(STIR)
+        before = np.zeros(len(places), np.uint64)
+        follows = np.flatnonzero(np.diff(places) == 1) + 1
+        before[follows] = hashes[follows - 1]
+        found.append((places, hashes, before))
+    return found
 
 
 # ------------------------------------------------------------------------- matching
 
-def _index(items):
-    """Lookup for a block of benchmark items [(item_id, text)]."""
-    by_size, kept = defaultdict(list), []
-    lines, ends, slots_of = templates([text.encode() for _, text in items], {})
-    for t, (item_id, _) in enumerate(items):
-        own = [line[ends[t - 1] if t else 0:ends[t]] for line in lines]
-        n = len(own[0])
-        if not n:
-            continue
-        size = min(WINDOW, n)
-        hashes, places = _item_windows(own, size)
-        by_size[size, n < SHORTEST].append((hashes, np.full(len(hashes), len(kept)), places))
-        kept.append((item_id, n, size, slots_of(t)))
-    index = {}
-    for key, parts in by_size.items():
-        hashes, owners, places = (np.concatenate(p) for p in zip(*parts))
-        order = np.argsort(hashes, kind="stable")
-        known, begins = np.unique(hashes[order], return_index=True)
-        index[key] = (known, np.append(begins, len(order)), owners[order].astype(np.int32),
-                      places[order].astype(np.int32))
-    return kept, index
+class Item:
+    """Template of a benchmark item: codes in four readings, slots, and the size of its windows."""
 
+    def __init__(self, lines, slots):
+        self.lines, self.slots, self.n = lines, slots, len(lines[0])
+        self.size, self.whole = min(WINDOW, self.n), self.n < SHORTEST
+        self.literal, self.places = lines[0] > UNIT, sorted(slots[0])
 
-def _renaming(i, d, reading, size, item, doc):
-    """{item value: document value} of a window hit in a reading of the document, or None if it contradicts itself.
 
-    A name that the document has as a plain word stands for itself. Common words at the start of a
-    sentence, of the item or of the document, must be the same.
-    """
-    (item_slots, item_names, item_initial), (slots, names, initial) = item, doc
-    pairs = []
-    for a, b in zip(range(i, i + size), range(d, d + size)):
-        plain = b not in slots or (b in names and (reading == 2 or (reading == 0 and b in initial)))
-        if plain:
-            if a in item_names and a not in item_initial:
-                pairs.append((item_slots[a], item_slots[a]))
-            continue
-        x, y = item_slots[a], slots[b]
-        if b in names and (a in item_initial or b in initial) and (x.lower() in COMMON or y.lower() in COMMON):
-            if x.lower() != y.lower():
-                return None
+def item_rows(texts):
+    """(pickled template, windows as packed arrays, number of windows) of each text; None for one without a token."""
+    rows = []
+    for text in texts:
+        lines, _, slots_of = templates([text or b""], {})
+        if not len(lines[0]):
+            rows.append((None, None, 0))
             continue
-        pairs.append((x, y))
-    there = dict(pairs)
-    return there if len(there) == len(set(pairs)) == len(set(there.values())) else None
+        item = Item([line.copy() for line in lines], slots_of(0))
+        if item.whole:      # compared as a whole, with its values
+            found = [(np.zeros(1, np.int64), windows(lines[3], item.n) ^ np.uint64(STIR), np.zeros(1, np.uint64))]
+        else:
+            found = looked_up(lines, item.size)
+        places, hashes, before = (np.concatenate(x) for x in zip(*found))
+        rows.append((pickle.dumps(item), pickle.dumps((places.astype(np.int32), hashes, before)), len(places)))
+    return [list(x) for x in zip(*rows)] if rows else [[], [], []]
 
 
-def _grown(seed, hits):
-    """The hits that fit one renaming with hits[seed], and the renaming.
+def index(rows):
+    """Lookup of a block of items [(item_id, pickled template, pickled windows)]: (ids, templates, {(size, whole): table}).
 
-    Hits are taken by the distance of their diagonal (document place - item place) from the seed's,
-    then by their distance in the document; one that maps a value to a second value, or two values
-    to one, is left out. So a copy is complete before anything else in the document is looked at.
-    """
-    first, middle = hits[seed][1] - hits[seed][0], hits[seed][1]
-    order = sorted(range(len(hits)), key=lambda x: (abs(hits[x][1] - hits[x][0] - first), abs(hits[x][1] - middle), x))
-    return _fitting([seed, *order], hits)
-
-
-def _fitting(order, hits):
-    """The numbers of the hits that fit one renaming when taken in this order, and the renaming."""
-    there, back, kept, places = {}, {}, set(), set()
-    for x in order:
-        own = hits[x][2]
-        if hits[x][:2] in places:                        # another reading of a window that is kept
-            kept.add(x)
-        elif all(there.get(a, b) == b and back.get(b, a) == a for a, b in own.items()):
-            there.update(own)
-            back.update((b, a) for a, b in own.items())
-            kept.add(x)
-            places.add(hits[x][:2])
-    return kept, there
-
-
-def _alignments(hits):
-    """(hits, renaming) of the ways to read a document's hits (item place, document place, renaming) of one item.
-
-    The first takes the hits in document order. Every hit that no reading has kept yet begins another,
-    so hits that fit each other on one diagonal are all in one reading, whatever else the document holds.
+    A table has the known hashes, where each begins in the entries, and the entries: hash of the
+    window before, item number, place. The entries of a hash are in order of the window before.
     """
-    hits = sorted(hits, key=lambda h: (h[1], h[0]))
-    kept, there = _fitting(range(len(hits)), hits)
-    yield sorted({hits[x][:2] for x in kept}), there
-    used = set(kept)
-    for x in range(len(hits)):
-        if x not in used:
-            kept, there = _grown(x, hits)
-            used |= kept
-            yield sorted({hits[x][:2] for x in kept}), there
-
-
-def _hits(lines, ends, index):
-    """{text number: {item number: [(item place, text place, reading)]}} of the windows that texts share with items.
-
-    The texts of a batch are looked up end to end, one pass a window size and reading; later
-    readings only where they differ from the first.
+    items, parts = [], defaultdict(list)
+    for number, (_, item, packed) in enumerate(rows):
+        items.append(pickle.loads(item))
+        places, hashes, before = pickle.loads(packed)
+        parts[items[-1].size, items[-1].whole].append((hashes, before, np.full(len(places), number, np.int32), places))
+    tables = {}
+    for key, some in parts.items():
+        hashes, before, owners, places = (np.concatenate(x) for x in zip(*some))
+        order = np.lexsort((before, hashes))
+        known, begins = np.unique(hashes[order], return_index=True)
+        tables[key] = known, np.append(begins, len(order)), before[order], owners[order], places[order]
+    return [r[0] for r in rows], items, tables
+
+
+def starts(lines, ends, tables):
+    """{text number: {item number: [(item place, text place, reading)]}}: where stretches that a text shares with an item begin.
+
+    A place at which the windows before match as well continues a stretch and is passed over, so a
+    hash that an item and a text hold many times costs its stretches, not all pairs of its places.
     """
     lengths = np.diff(ends, prepend=0)
-    hits = defaultdict(lambda: defaultdict(list))
-    for (size, whole), (known, begins, items, places) in index.items():
-        for reading, line in enumerate(lines):
-            found = windows(line, size)
-            asked = _differing(lines[0], line, size) if reading else np.arange(len(found))
-            found = found[asked]
-            near = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            equal = known[near] == found
-            at, near = asked[equal], near[equal]
-            owner = np.searchsorted(ends, at, side="right")
-            inside = at + size <= ends[owner]
-            if whole:
-                inside &= lengths[owner] == size
-            for d, t, j in zip(at[inside].tolist(), owner[inside].tolist(), near[inside].tolist()):
+    found = defaultdict(lambda: defaultdict(list))
+    asked = {}
+    for (size, whole), (known, begins, before, owners, places) in tables.items():
+        if whole:
+            at = ends[lengths == size] - size
+            hashes = _hashed([lines[3][at + i] for i in range(size)]) ^ np.uint64(STIR) if len(at) else np.empty(0, np.uint64)
+            readings = [(at, hashes, np.zeros(len(at), np.uint64))] if len(at) else []
+        else:
+            readings = asked.get(size) or asked.setdefault(size, looked_up(lines, size))
+        for reading, (at, hashes, previous) in enumerate(readings):
+            if not len(at):
+                continue
+            near = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            equal = np.flatnonzero(known[near] == hashes)
+            owner = np.searchsorted(ends, at[equal], side="right")
+            inside = at[equal] + size <= ends[owner]
+            for d, t, j, p in zip(at[equal][inside].tolist(), owner[inside].tolist(), near[equal][inside].tolist(),
+                                  previous[equal][inside]):
+                low, high = int(begins[j]), int(begins[j + 1])
                 begin = int(ends[t] - lengths[t])
-                for x in range(begins[j], begins[j + 1]):
-                    hits[t][int(items[x])].append((int(places[x]), d - begin, reading))
-    return hits
-
+                skip = (low, low)
+                if p and d > begin:
+                    skip = (low + int(np.searchsorted(before[low:high], p)), low + int(np.searchsorted(before[low:high], p, "right")))
+                for x in (*range(low, skip[0]), *range(skip[1], high)):
+                    found[t][int(owners[x])].append((int(places[x]), d - begin, 3 if whole else reading))
+    return found
 
-def _extent(hits, n, size):
-    """(share of the item's n tokens that the hits cover, most tokens in a row)."""
-    covered = np.zeros(n, bool)
-    for i, _ in hits:
-        covered[i:i + size] = True
-    return float(covered.mean()), _longest(hits, size)
 
+def stretches(item, lines, begins):
+    """Longest stretches (item place, text place, tokens, reading) of equal template tokens around the starts.
 
-def _matches(hits, kept, slots):
-    """Contaminating items of one text: [(item_id, matched windows, coverage, longest run, changed slots)].
-
-    Of the readings of an item's hits, the one with the most coverage is given, then the longest run.
+    A capitalised word of the item may stand for any name, or for the same word in whatever case.
     """
-    results = []
-    for at, places in hits.items():
-        item_id, n, size, item_slots = kept[at]
-        fitting = []
-        for i, d, reading in sorted(places, key=lambda h: h[2]):
-            there = _renaming(i, d, reading, size, item_slots, slots)
-            if there is not None:
-                fitting.append((i, d, there))
-        most = _extent({h[:2] for h in fitting}, n, size)     # if nothing contradicted
-        if most[0] < COVERAGE and most[1] < RUN:
+    known, found = {}, []
+    n = len(lines[0])
+    for i, d, reading in sorted(begins, key=lambda b: (b[2], b[1], b[0])):
+        if known.get((reading, d - i), -1) >= d:        # inside a stretch that was found
             continue
-        best = None
-        for good, there in _alignments(fitting):
-            share, run = _extent(good, n, size)
-            if share >= COVERAGE or run >= RUN:
-                changed = sum(a != b for a, b in there.items())
-                if best is None or (share, run) > best[2:4]:
-                    best = (item_id, len(good), share, run, changed)
-                if (share, run) == most:
-                    break
-        if best:
-            results.append(best)
-    return results
+        options, text = item.lines[:3] if reading < 3 else item.lines[3:], lines[reading]
+        low, high = min(i, d), min(item.n - i, n - d)
+        stop = i + _equal(text[d:d + high], [line[i:i + high] for line in options])
+        start = i
+        if low and any(text[d - 1] == line[i - 1] for line in options):
+            start -= _equal(text[d - low:d][::-1], [line[i - low:i][::-1] for line in options])
+        known[reading, d - i] = stop + d - i - 1
+        found.append((start, start + d - i, stop - start, reading))
+    return found
+
+
+def _equal(text, options):
+    """How many tokens from the first on are equal to one of the options."""
+    equal = text == options[0]
+    for line in options[1:]:
+        equal |= text == line
+    first = int(equal.argmin())
+    return len(equal) if equal[first] else first
+
+
+def consistent(item, stretch, slots):
+    """[(item place, text place, tokens, {item value: text value})]: parts of a stretch that rename values one to one.
+
+    A name that the text has as a plain word stands for itself. Parts are as long as can be and hold a window.
+    """
+    i, d, length, reading = stretch
+    own, names, initial = item.slots
+    values, doc_names, doc_initial = slots
+    pairs = []
+    for a, b in zip(range(i, i + length), range(d, d + length)):
+        plain = b not in values or (b in doc_names and (reading == 2 or (reading == 0 and b in doc_initial)))
+        if plain:
+            pairs.append((own[a], own[a]) if a in names and a not in initial else None)
+        else:
+            pairs.append((own.get(a, values[b]), values[b]))
+    found, there, back, begin = [], {}, {}, 0       # value -> (other value, last place that says so)
+    for k, pair in enumerate(pairs):
+        if pair is None:
+            continue
+        x, y = pair
+        wrong = max((there[x][1] if x in there and there[x][0] != y else -1), (back[y][1] if y in back and back[y][0] != x else -1))
+        if wrong >= begin:
+            found.append((begin, k))
+            begin = wrong + 1
+        there[x], back[y] = (y, k), (x, k)
+    found.append((begin, length))
+    return [(i + lo, d + lo, hi - lo, dict(p for p in pairs[lo:hi] if p)) for lo, hi in found if hi - lo >= item.size]
+
+
+def _evidence(item, part):
+    """Which tokens of a part speak for the item: its plain words, and values that are the same in the text."""
+    i, _, length, there = part
+    mask = item.literal[i:i + length]
+    if there is None:
+        return np.ones(length, bool)        # at most
+    if there:
+        mask, own = mask.copy(), item.slots[0]
+        for a in item.places[bisect_left(item.places, i):bisect_left(item.places, i + length)]:
+            mask[a - i] |= there.get(own[a], "").lower() == own[a].lower()
+    return mask
+
+
+def _verdict(item, parts):
+    """(coverage, longest run) of parts that fit each other, or None if they are too few.
+
+    The coverage is that of the plain words and equal values; all tokens count in an item of few plain words.
+    """
+    seen, run = np.zeros(item.n, bool), 0
+    for part in parts:
+        i, _, length, _ = part
+        mask = _evidence(item, part)
+        seen[i:i + length] |= mask
+        if length > run and (length < RUN or mask.sum() >= FEWEST):
+            run = length
+    words = int(seen.sum())
+    total = int((seen | item.literal).sum()) if item.literal.sum() >= FEWEST else item.n
+    few = min(FEWEST, item.n)
+    return (words / total, run) if words >= few and (words >= COVERAGE * total or run >= RUN) else None
+
+
+def _alignments(item, parts):
+    """Sets of parts that fit one renaming, each with the renaming.
+
+    Every part that no set has yet begins another, the longest first; the parts near it in the text, by
+    the distance of their diagonal, join if they give no value a second meaning. So a copy is complete
+    before anything else in the text is looked at.
+    """
+    reach = 4 * item.n + 64
+    by_place = sorted(range(len(parts)), key=lambda x: parts[x][1])
+    line = [parts[x][1] for x in by_place]
+    used = set()
+    for x in sorted(range(len(parts)), key=lambda x: (-parts[x][2], parts[x][1])):
+        if x in used:
+            continue
+        i, d, _, _ = parts[x]
+        near = by_place[bisect_left(line, d - reach):bisect_right(line, d + reach)]
+        there, back, kept = {}, {}, []
+        for y in [x, *sorted(near, key=lambda y: (abs(parts[y][1] - parts[y][0] - d + i), abs(parts[y][1] - d), y))]:
+            own = parts[y][3]
+            if y not in kept[:1] and all(there.get(a, b) == b and back.get(b, a) == a for a, b in own.items()):
+                there.update(own)
+                back.update((b, a) for a, b in own.items())
+                kept.append(y)
+        used.update(kept)
+        yield [parts[y] for y in kept], there
+
+
+def match(item, lines, begins, slots):
+    """(matched windows, coverage, longest run, changed slots) if a text holds the item, else None.
+
+    Plain words count, and values that are the same. Others may differ, if they are renamed one to one.
+    """
+    found = stretches(item, lines, begins)
+    if _verdict(item, [(*s[:3], None) for s in found]) is None:      # even if nothing contradicted and all values were equal
+        return None
+    held, best, parts, equal = slots(), None, {}, {}
+    values, numbers = sorted(held[0]), sorted(set(held[0]) - held[1])
+    for stretch in found:
+        i, d, length, reading = stretch
+        if not _within(item.places, i, i + length) and not _within(values, d, d + length):
+            some = [(i, d, length, {})]
+        elif reading == 3 or (reading == 2 and not _within(numbers, d, d + length)):     # the same words and values
+            if (i, length) not in equal:
+                own = [item.slots[0][a] for a in item.places if i <= a < i + length]
+                equal[i, length] = dict(zip(own, own))
+            some = [(i, d, length, equal[i, length])]
+        else:
+            some = consistent(item, stretch, held)
+        for part in some:
+            # the same words with the same values are the same evidence; copies far apart are told apart
+            parts.setdefault((part[0], part[2], frozenset(part[3].items()), part[1] // (4 * item.n + 64)), part)
+    parts = list(parts.values())
+    if _verdict(item, [(*p[:3], None) for p in parts]) is None:
+        return None
+    for chosen, there in _alignments(item, parts):
+        share = _verdict(item, chosen)
+        if share is not None and (best is None or share > best[1:3]):
+            best = (_window_count(item, chosen), *share, sum(a != b for a, b in there.items()))
+            if share[0] == 1.0:
+                break
+    return best
 
 
-def _longest(hits, size):
-    """Most item tokens in a row that follow each other in the document as well."""
-    best, chains = 0, {}
-    for i, d in sorted(hits, key=lambda x: (x[1], x[0])):
-        length = chains.get((i - 1, d - 1), size - 1) + 1
-        chains[i, d] = length
-        best = max(best, length)
-    return best
+def _within(places, low, high):
+    return bisect_left(places, low) < bisect_left(places, high)
+
+
+def _window_count(item, parts):
+    """Windows of the item that lie in a part."""
+    seen = np.zeros(item.n, bool)
+    for i, _, length, _ in parts:
+        seen[i:i + length - item.size + 1] = True
+    return int(seen.sum())
 
 
 def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
     """Pairs of a document and a benchmark item found in it: doc_id, item_id, matched_windows, coverage,
     longest_run and changed_slots (values of the item that stand for others in the document).
 
-    Item windows are looked up in blocks of whole items with about BLOCK_WINDOWS windows; each block
-    is one pass over the documents, so its lookup table is bounded however long the benchmark is.
-    Documents are read whole; nothing but the result is shuffled. A pair is reported when windows that fit
-    one renaming of the item's values cover COVERAGE of its template or RUN tokens in a row. Windows that
-    contradict each other are read apart, so a chance hit hides no copy elsewhere in the document.
-    A capitalised word at the start of a sentence is looked up as a name and as a plain word, and
-    windows also match by their plain words, whatever their case. Items shorter than
-    a window are one window; under SHORTEST tokens they match only a document that is nothing else.
-    Null and empty texts match nothing. Repeated documents or items give a pair each time; a null
-    id is reported as null.
+    Items become templates in tasks, with a table of window hashes. Documents are hash-joined with that
+    table, a block of whole items with about BLOCK_WINDOWS windows (counted) at a time: each block goes to
+    every task and is one pass over the documents, which are read whole; nothing but the result is shuffled.
+
+    A window needs LITERALS plain words, else it is compared with its values: numbers or names alone
+    match the same numbers or names. Equal windows are grown to stretches. A pair is reported when
+    stretches whose values can be renamed one to one cover COVERAGE of the item's plain words and equal
+    values, or RUN tokens in a row, and FEWEST plain words or equal values in any case. A capitalised word at the start of a sentence is looked up as a name and
+    as a plain word, and windows also match by their plain words, whatever their case. Items
+    shorter than a window are one window; under SHORTEST tokens they match only a document that is
+    nothing else. Stretches that contradict each other are read apart, so a chance hit hides no copy
+    elsewhere in the document.
+
+    Null and empty texts match nothing, empty tables give no pair. Repeated documents or items give a pair
+    each time; a null id is reported as null. Long texts of few words cost what their stretches cost.
     """
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
-    items = materialize(benchmark.select(column("item_id").alias("item_id"), column("text").alias("text"))
-                        .filter(F.col("text").isNotNull()))
-    spark = docs.sparkSession
-    kind = dict(items.dtypes)["item_id"]
+    items = benchmark.select(column("item_id").alias("item_id"), column("text").cast("string").alias("text"))
+    kind = items.schema["item_id"].dataType.simpleString()
+    made = per_text(items, "text", item_rows, "item binary, windows binary, size bigint", ["item_id"], binary=True)
+    made = materialize(made.filter(F.col("size") > 0))
+    numbered = ordered.running_totals(made, [F.xxhash64("item")], {"end": "size"}, bounded=False)
+    blocked = materialize(numbered.select("item_id", "item", "windows", F.expr(f"(end - size) div {BLOCK_WINDOWS}").alias("block")))
+    last = blocked.agg(F.max("block")).first()[0]
     results = None
-    for block in _blocks(items):
-        shared = spark.sparkContext.broadcast(_index(block))
+    for block in range(0 if last is None else last + 1):
+        part = blocked.filter(F.col("block") == block).select("item_id", "item", "windows").collect()
+        if not part:        # a long item fills several blocks
+            continue
+        shared = docs.sparkSession.sparkContext.broadcast(index([tuple(r) for r in part]))
 
         def run(texts, shared=shared, cache={}):     # the cache of words lasts for a task  # noqa: B006
-            kept, index = shared.value
+            ids, known, tables = shared.value
             lines, ends, slots_of = templates([t or b"" for t in texts], cache)
-            hits = _hits(lines, ends, index)
-            return [[[dict(zip(("item_id", "matched_windows", "coverage", "longest_run", "changed_slots"), r))
-                      for r in _matches(hits[i], kept, slots_of(i))] if i in hits else []
-                     for i in range(len(texts))]]
+            found = starts(lines, ends, tables)
+            return [[[r for item, begins in found[t].items()
+                      for r in [_pair(ids[item], known[item], lines, ends, t, begins, slots_of)] if r] if t in found else []
+                     for t in range(len(texts))]]
 
-        found = per_text(rows, "text", run, f"found array<struct<item_id:{kind},matched_windows:int,coverage:double,"
+        pairs = per_text(rows, "text", run, f"found array<struct<item_id:{kind},matched_windows:int,coverage:double,"
                                             "longest_run:int,changed_slots:int>>", carry=["doc_id"], binary=True,
                          limit=PIECE)
-        found = found.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
-        results = found if results is None else results.unionByName(found)
+        pairs = pairs.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+        results = pairs if results is None else results.unionByName(pairs)
     if results is None:
         return rows.select("doc_id").limit(0).select(
             "doc_id", F.lit(None).cast(kind).alias("item_id"), F.lit(0).alias("matched_windows"),
@@ -484,17 +612,11 @@ def contaminated(docs, benchmark, text="text", doc_id="doc_id"):
     return results
 
 
-def _blocks(items):
-    """Lists of benchmark items with about BLOCK_WINDOWS words each, read one at a time."""
-    block, words = [], 0
-    for item_id, text in items.toLocalIterator():
-        block.append((item_id, text))
-        words += text.count(" ") + text.count("\n") + 1
-        if words >= BLOCK_WINDOWS:
-            yield block
-            block, words = [], 0
-    if block:
-        yield block
+def _pair(item_id, item, lines, ends, t, begins, slots_of):
+    """The row of a document and an item, or None."""
+    begin = int(ends[t - 1]) if t else 0
+    found = match(item, [line[begin:ends[t]] for line in lines], begins, lambda: slots_of(t))
+    return found and dict(zip(("item_id", "matched_windows", "coverage", "longest_run", "changed_slots"), (item_id, *found)))
 
 
 def drop_contaminated(docs, benchmark):

@@ -1,6 +1,7 @@
 """Near-duplicates, repeated passages and decontamination against plain versions."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -186,3 +187,116 @@ def test_decontamination_of_names_that_begin_sentences(spark):
     got = {(r.doc_id, r.item_id): (r.coverage, r.changed_slots) for r in found}
     assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (7, 3)}
     assert got[1, 1] == (1.0, 6) and got[2, 1] == (1.0, 6) and got[3, 1] == (1.0, 0)
+
+
+def found_pairs(spark, docs, bench):
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                       spark.createDataFrame(bench, "item_id bigint, text string")).collect()
+    return {(r.doc_id, r.item_id): r for r in found}
+
+
+def test_numbers_and_names_alone_are_no_evidence(spark):
+    """Tables of numbers, lists of names and other texts of placeholders stay, also with such items in the benchmark."""
+    draw = random.Random(12)
+    names = "Anna Bob Carla Dmitri Elena Frank Greta Hugo Ines Jonas Karl Lena Marta Nils Olga Pavel Rosa Sven Tara Uwe".split()
+    numeric = "What is the median of 3 5 8 12 14 20 21 23 27 30 31 40?"
+    listed = "The winners were Anna, Bob, Carla, Dmitri, Elena, Frank, Greta, Hugo and Ines."
+    bench = [(1, numeric), (2, listed), (3, "3.5 kg 7 kg 9 kg 12 kg 14 kg 18 kg 20 kg"), (4, " ".join(names[13::-1]))]
+    tables = [(i, " ".join(str(draw.randint(1, 99)) for _ in range(30))) for i in range(50)]
+    tables += [(100 + i, "The winners: " + ", ".join(draw.choice(names) for _ in range(12)) + ".") for i in range(50)]
+    tables += [(200 + i, "Cities: " + ", ".join(word(draw).capitalize() for _ in range(12))) for i in range(50)]
+    tables += [(300 + i, " ".join(f"{draw.randint(1, 99)} kg" for _ in range(20))) for i in range(20)]
+    copies = [(900, numeric), (901, "x " + bench[2][1] + " y"), (902, bench[3][1]), (903, "Now. " + listed)]
+    assert set(found_pairs(spark, tables + copies, bench)) == {(900, 1), (901, 3), (902, 4), (903, 2)}
+    docs = spark.createDataFrame(tables, "doc_id bigint, text string")
+    assert decontaminate.drop_contaminated(docs, spark.createDataFrame(bench, "item_id bigint, text string")).count() == len(tables)
+
+
+QUESTIONS = [
+    "If {a} buys {x} apples at {y} kg each and gives {b} {z} of them, how many apples are left with {a} now?",
+    "{a} has {x} marbles. {b} wins {y} of them in the first game and {z} in the second. How many marbles does {a} keep?",
+    "A train leaves the station at {x} km per hour while {a} drives after it at {y} km per hour for {z} hours. Who is ahead?",
+    "The sum of two numbers is {x} and their difference is {y}. {a} says the larger is {z}. Is {b} right to doubt it?",
+    "{a} paints {x} walls in {y} days and {b} paints {z} walls in the same time. How long do they need together for the house?"]
+
+
+def test_changed_questions_are_found(spark):
+    """Recall on planted questions with other names and numbers, and no other text reported."""
+    draw = random.Random(13)
+    people = "Anna Peter Maria Tom Ivan Olga Lena Hugo Rosa Sven".split()
+
+    def made(question):
+        a, b = draw.sample(people, 2)
+        x, y, z = draw.sample(range(2, 90), 3)
+        return question.format(a=a, b=b, x=x, y=y, z=z)
+
+    bench = [(i, made(q)) for i, q in enumerate(QUESTIONS)]
+    docs, planted = [], set()
+    for k in range(100):
+        i = draw.randrange(len(QUESTIONS))
+        docs.append((k, prose(draw, draw.randint(0, 60)) + ". " + made(QUESTIONS[i]) + " " + prose(draw, draw.randint(0, 60))))
+        planted.add((k, i))
+    docs += [(1000 + k, prose(draw, 120)) for k in range(50)]
+    found = set(found_pairs(spark, docs, bench))
+    assert len(found & planted) >= 0.9 * len(planted) and found <= planted
+
+
+@pytest.mark.parametrize("text", ["same " * 20_000, "Name " * 20_000, "7 " * 20_000, "a 1 b 2 c d e f g h " * 2_000,
+                                  "if x is 3 then y is 4 . " * 2_000])
+def test_texts_of_few_words_take_little_time(text):
+    made = [t for t in ("same " * 300, "Name " * 300, "7 " * 300, "a 1 b 2 c d e f g h " * 30, "if x is 3 then y is 4 . " * 40)]
+    items, packed, _ = decontaminate.item_rows([m.encode() for m in made])
+    _, known, tables = decontaminate.index(list(zip(range(5), items, packed)))
+    decontaminate.templates([b"warm up"], {})
+    begin = time.time()
+    lines, ends, slots_of = decontaminate.templates([text.encode()], {})
+    found = decontaminate.starts(lines, ends, tables)
+    pairs = [decontaminate.match(known[i], lines, b, lambda: slots_of(0)) for i, b in found[0].items()]
+    assert any(p and p[1] == 1.0 for p in pairs) and time.time() - begin < 3      # about half a second on an idle machine
+
+
+def test_windows_are_counted(spark, monkeypatch):
+    """Four windows a place at most, and blocks by their number."""
+    text = " ".join(f"{word(random.Random(i)).capitalize()}." for i in range(400))
+    (size,) = decontaminate.item_rows([text.encode()])[2]
+    assert size <= 4 * 400
+    blocks, original = [], decontaminate.index
+    monkeypatch.setattr(decontaminate, "index", lambda rows: blocks.append(len(rows)) or original(rows))
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 60)
+    draw = random.Random(4)
+    found_pairs(spark, [(1, "x")], [(i, prose(draw, 30)) for i in range(20)])
+    assert sum(blocks) == 20 and len(blocks) > 5
+
+
+def slow_matches(text, item, size=8):
+    """Plain rule for texts without names and numbers: equal windows at all places, all pairs of them."""
+    doc, own = text.lower().split(), item.lower().split()
+    if len(own) < 5:
+        return doc == own
+    size = min(size, len(own))
+    covered, run, best = set(), {}, 0
+    for i in range(len(own) - size + 1):
+        for d in range(len(doc) - size + 1):
+            if own[i:i + size] == doc[d:d + size]:
+                covered.update(range(i, i + size))
+                run[i, d] = run.get((i - 1, d - 1), size - 1) + 1
+                best = max(best, run[i, d])
+    return len(covered) >= 5 and (2 * len(covered) >= len(own) or best >= 13)
+
+
+@pytest.mark.parametrize("words", ["abc", "abcdefghijklmnop"])
+def test_matches_equal_the_plain_rule(spark, words):
+    draw = random.Random(14)
+    line = lambda n: " ".join("q" + draw.choice(words) for _ in range(n))
+    bench = [(i, line(draw.choice([2, 4, 6, 9, 14, 40]))) for i in range(30)]
+    docs = []
+    for k in range(120):
+        text = line(draw.randint(0, 40))
+        if k % 2:
+            own = draw.choice(bench)[1].split()
+            lo = draw.randint(0, len(own) // 2)
+            text += " " + " ".join(own[lo:lo + draw.randint(4, 30)]) + " " + line(draw.randint(0, 5))
+        docs.append((k, text.strip()))
+    docs += [(500, bench[0][1]), (501, bench[0][1].upper())]
+    want = {(d, i) for d, text in docs for i, item in bench if slow_matches(text, item)}
+    assert want and set(found_pairs(spark, docs, bench)) == want
