@@ -5,9 +5,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..schemas import BREAKDOWN_ROWS, EXPLAIN_SAMPLE, SEED
+from ..storage import materialize, new_path
+from .ordered import running_totals
 
 ROWS_PER_TASK = 10_000      # rows explained by one task
-from ..storage import new_path
+BLOCK_BYTES = 64 << 20      # of leaf paths that are sent to every task at once
+CELLS = 1_000_000           # numbers in a step of batch arithmetic
 
 LEAF_SCHEMA = ("tree int, value double, features array<int>, low array<double>, "
                "high array<double>, share array<double>")
@@ -75,12 +78,21 @@ def leaf_paths(nodes):
 
 # --------------------------------------------------------------- contributions
 
-def tree_contributions(rows, leaves, names, row_id="transaction_id", features="features", values="values"):
-    """Shapley contributions of every feature to the forest score, one row per (row, feature).
+def leaf_blocks(leaves, block_bytes=None):
+    """The leaves with `block`: whole trees, in blocks of about `block_bytes` (BLOCK_BYTES unless given) and a tree."""
+    size = F.lit(64) + 28 * F.size("features")
+    trees = leaves.groupBy("tree").agg(F.sum(size.cast("bigint")).alias("_bytes"))
+    upto = running_totals(trees, ["tree"], {"_upto": "_bytes"}, bounded=True)       # one row a tree
+    block = F.expr(f"(_upto - _bytes) div {BLOCK_BYTES if block_bytes is None else block_bytes}")
+    return leaves.join(F.broadcast(upto.select("tree", block.alias("block"))), "tree")
+
+
+def contribution_vectors(rows, leaves, names, row_id="transaction_id", features="features", values="values", block_bytes=None):
+    """Shapley contributions of all features to the forest score, one row per row.
 
     Rows are (row_id, features vector, and optionally an array of the values to show, in the order of
-    `names`). Returns row_id, feature, value, contribution, base_value with base_value + sum of
-    contributions = score; without the array `value` is the model input. Path-dependent: a feature
+    `names`). Returns row_id, values, contributions (arrays) and base_value; base_value + the sum of the
+    contributions = score. Without the array `values` are the model inputs. Path-dependent: a feature
     left out follows both branches in proportion to the training weight.
 
     For a leaf with value v, the weight of a coalition is a Beta integral, so feature i gets
@@ -88,54 +100,81 @@ def tree_contributions(rows, leaves, names, row_id="transaction_id", features="f
     z_j (1 - t) + o_j t, with o = 1 if the row takes the branches and z the training share. The
     integrand is a polynomial, which Gauss-Legendre nodes integrate exactly.
 
-    Rows are spread over the cluster, ROWS_PER_TASK to a task; the leaves (at most trees * 2^depth) go
-    to every task. The values travel with their row.
+    Rows are spread over the cluster, ROWS_PER_TASK to a task. The leaf paths stay a table: one block
+    of counted bytes at a time goes to every task and adds its part to the vectors, which are
+    written between two blocks.
     """
     from pyspark.ml.functions import vector_to_array
-    spark = rows.sparkSession
-    by_length, trees = _pack(leaves.toPandas())
-    forest = spark.sparkContext.broadcast((by_length, trees, len(names)))
-
-    def explain(batches):
-        import pandas as pd
-        groups, tree_count, width = forest.value
+    spark, width = rows.sparkSession, len(names)
+    blocked = materialize(leaf_blocks(leaves, block_bytes))
+    trees, blocks = blocked.agg(F.count_distinct("tree"), F.collect_set("block")).first()
+    inputs = vector_to_array(features)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    wide = rows.select(
+        row_id, inputs.alias("x"), (F.col(values) if values in rows.columns else inputs).alias("values"),
+        F.array_repeat(F.lit(0.0), width).alias("contributions"), F.lit(0.0).alias("base_value")).repartition(tasks, row_id)
+    for place, block in enumerate(sorted(blocks)):
+        if place:
+            wide = materialize(wide)
+        part = blocked.filter(F.col("block") == block).toPandas()       # BLOCK_BYTES and one tree at most
+        wide = wide.mapInPandas(_adder(spark.sparkContext.broadcast(_pack(part)), trees, width), wide.schema)
+    return wide.select(row_id, "values", "contributions", "base_value")
+
+
+def _adder(packed, trees, width):
+    """Adds the contributions of a block of leaves to batches of rows."""
+    def add(batches):
         for batch in batches:
-            x = np.stack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, width))
+            if not len(batch):
+                continue
+            x = np.stack(batch["x"].to_numpy())
             total, base = np.zeros((len(batch), width)), 0.0
-            for value, feature, low, high, share in groups:
-                depth = feature.shape[1]
+            for value, feature, low, high, share in packed.value:
                 base += float((value * share.prod(axis=1)).sum())
-                if depth == 0:
-                    continue
-                points, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
-                points, weights = (points + 1) / 2, weights / 2
-                step = max(1, 500_000 // max(1, len(batch) * depth))
-                for start in range(0, len(value), step):
-                    part = slice(start, start + step)
-                    f, z = feature[part], share[part]
-                    taken = x[:, f]
-                    o = ((taken > low[part]) & (taken <= high[part])).astype(float)
-                    rest = np.zeros_like(o)
-                    for t, w in zip(points, weights):
-                        factor = z * (1 - t) + o * t
-                        rest += w * factor.prod(axis=2, keepdims=True) / factor
-                    phi = value[part][None, :, None] * (o - z) * rest
-                    slot = np.zeros((f.size, width))
-                    slot[np.arange(f.size), f.ravel()] = 1.0
-                    total += phi.reshape(len(batch), -1) @ slot
-            yield pd.DataFrame({row_id: batch[row_id], "v": batch["v"], "c": list(total / tree_count),
-                                "base_value": base / tree_count})
-
-    id_type = rows.schema[row_id].dataType.simpleString()
-    inputs = vector_to_array(features)
-    ready = rows.select(row_id, inputs.alias("x"), (F.col(values) if values in rows.columns else inputs).alias("v"))
-    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
-    wide = ready.repartition(tasks, row_id).mapInPandas(
-        explain, f"{row_id} {id_type}, v array<double>, c array<double>, base_value double")
-    zipped = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("v").alias("value"),
-                          F.col("c").alias("contribution"))
-    return (wide.select(row_id, "base_value", F.explode(zipped).alias("p"))
-            .select(row_id, "p.feature", "p.value", "p.contribution", "base_value"))
+                _add_leaves(total, x, value, feature, low, high, share)
+            batch["contributions"] = list(np.stack(batch["contributions"].to_numpy()) + total / trees)
+            batch["base_value"] = batch["base_value"] + base / trees
+            yield batch
+
+    return add
+
+
+def _add_leaves(total, x, value, feature, low, high, share):
+    """Add what leaves with paths of the same number of features give each row of `x` to `total`."""
+    rows, depth = len(x), feature.shape[1]
+    if not depth:
+        return
+    patterns = 1 << depth
+    tabled = patterns <= rows       # fewer ways to take or miss the branches of a path than rows
+    step = max(1, CELLS // ((min(patterns, rows) + rows) * depth))
+    for start in range(0, len(value), step):
+        part = slice(start, start + step)
+        f, z = feature[part], share[part]
+        slot = np.zeros((f.size, total.shape[1]))
+        slot[np.arange(f.size), f.ravel()] = 1.0
+        taken = np.empty((rows, *f.shape), dtype=bool)
+        for j in range(depth):
+            column = x[:, f[:, j]]
+            np.logical_and(column > low[part, j], column <= high[part, j], out=taken[:, :, j])
+        if tabled:
+            ways = (np.arange(patterns)[:, None] >> np.arange(depth) & 1).astype(float)
+            given = _leaf_contributions(value[part], np.broadcast_to(ways[:, None, :], (patterns, *f.shape)), z)
+            way = taken @ (1 << np.arange(depth))
+            phi = given[way, np.arange(len(f))[None, :]]
+        else:
+            phi = _leaf_contributions(value[part], taken.astype(float), z)
+        total += phi.reshape(rows, -1) @ slot
+
+
+def _leaf_contributions(value, o, z):
+    """Contributions to leaves of that value, for rows that take the branches of a path where `o` is 1."""
+    depth = z.shape[1]
+    points, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
+    rest = np.zeros_like(o)
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factor = z * (1 - t) + o * t
+        rest += w * factor.prod(axis=2, keepdims=True) / factor
+    return value[None, :, None] * (o - z) * rest
 
 
 def _pack(leaves):
@@ -145,14 +184,34 @@ def _pack(leaves):
         stack = [np.array(same[c].tolist()).reshape(len(same), -1)
                  for c in ("features", "low", "high", "share")]
         groups.append((same["value"].to_numpy(dtype=float), stack[0].astype(int), *stack[1:]))
-    return groups, int(leaves["tree"].nunique())
+    return groups
+
+
+def long_form(vectors, names, row_id="transaction_id", only=None):
+    """One row per (row, feature) of contribution vectors: row_id, feature, value, contribution, base_value.
+
+    With `only`, a collection of names, just those features.
+    """
+    wanted = [(i, n) for i, n in enumerate(names) if only is None or n in only]
+    lines = F.array(*[F.struct(F.lit(n).alias("feature"), F.col("values")[i].alias("value"),
+                               F.col("contributions")[i].alias("contribution")) for i, n in wanted])
+    return (vectors.select(row_id, "base_value", F.explode(lines).alias("p"))
+            .select(row_id, "p.feature", "p.value", "p.contribution", "base_value"))
+
+
+def tree_contributions(rows, leaves, names, row_id="transaction_id", **settings):
+    """`contribution_vectors` in long form, one row per (row, feature)."""
+    return long_form(contribution_vectors(rows, leaves, names, row_id, **settings), names, row_id)
 
 
 # ----------------------------------------------------------------- summaries
 
-def mean_abs_contribution(contributions):
-    return (contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
-            .orderBy(F.desc("mean_abs_contribution"), "feature"))
+def mean_abs_contribution(vectors, names):
+    """(feature, mean_abs_contribution), largest first: the vectors are averaged as they are, in one aggregate."""
+    means = vectors.agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f"m{i}") for i in range(len(names))])
+    lines = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"m{i}").alias("mean_abs_contribution"))
+                      for i, n in enumerate(names)])
+    return means.select(F.inline(lines)).orderBy(F.desc("mean_abs_contribution"), "feature")
 
 
 def display_values(numeric, categorical=None, slots=()):
@@ -161,11 +220,10 @@ def display_values(numeric, categorical=None, slots=()):
                    *[(F.col(categorical) == v).cast("double") for v in slots])
 
 
-def contribution_points(contributions, ranking, k=BREAKDOWN_ROWS, row_id="transaction_id"):
+def contribution_points(vectors, names, ranking, k=BREAKDOWN_ROWS, row_id="transaction_id"):
     """(row_id, feature, value, contribution) of the k features with the largest mean effect."""
-    best = ranking.limit(k).select("feature")
-    return (contributions.join(F.broadcast(best), "feature")
-            .select(row_id, "feature", "value", "contribution"))
+    best = {r["feature"] for r in ranking.limit(k).collect()}
+    return long_form(vectors, names, row_id, best).select(row_id, "feature", "value", "contribution")
 
 
 def top_drivers(contributions, k=3):

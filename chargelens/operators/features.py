@@ -1,11 +1,13 @@
 """Features, built by the same code for training and scoring."""
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import daily_spend, gap_seconds, week_label, week_number
 from ..schemas import DAYS_PER_MONTH, NO_PREV, ORDER, RAPID_REPEAT_SECONDS
-from .ordered import number_rows, with_previous
+from .ordered import number_rows, place, with_previous
 from .skew import join_dimension
 
 MAX_CATEGORIES = 1_000
@@ -69,11 +71,34 @@ def log_amount(df, amount="amount"):
 
 # ---------------------------------------------------- fitted column transforms
 
+def training_statistics(train, label, numeric, categorical=None, most=MAX_CATEGORIES):
+    """({class: rows}, {column: (mean, population deviation)}, categories) from one pass.
+
+    The pass gives one row a class and category, whose moments are merged here; a constant column
+    gets deviation 1. Categories are alphabetical; more than `most` are refused. `label` may be None.
+    """
+    groups = [c for c in (label, categorical) if c]
+    moments = [m for i, c in enumerate(numeric) for m in (F.avg(c).alias(f"mean_{i}"), F.var_pop(c).alias(f"var_{i}"))]
+    found = train.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), *moments).limit(2 * most + 2).collect()
+    values = sorted({r[categorical] for r in found}) if categorical else []
+    if len(values) > most:
+        raise ValueError(f"{categorical} has more than {most} values, too many for one slot each")
+    found = sorted((r for r in found if r["n"]), key=lambda r: [repr(r[c]) for c in groups])
+    rows = sum(r["n"] for r in found)
+    classes, scaling = {}, {}
+    for r in found:
+        if label:
+            classes[r[label]] = classes.get(r[label], 0) + r["n"]
+    for i, c in enumerate(numeric):
+        mean = math.fsum(r["n"] * r[f"mean_{i}"] for r in found) / rows if rows else 0.0
+        spread = math.fsum(r["n"] * (r[f"var_{i}"] + (r[f"mean_{i}"] - mean) ** 2) for r in found)
+        scaling[c] = (mean, math.sqrt(spread / rows) if spread > 0 else 1.0)
+    return classes, scaling, values
+
+
 def fit_scaling(train, columns):
     """{column: (mean, population deviation)} from one pass; a constant column gets deviation 1."""
-    stats = train.agg(*[F.avg(c).alias(f"{c}__mean") for c in columns],
-                      *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]).first()
-    return {c: (stats[f"{c}__mean"], stats[f"{c}__std"] or 1.0) for c in columns}
+    return training_statistics(train, None, columns)[1]
 
 
 def scaled(column, mean, deviation):
@@ -86,10 +111,7 @@ def scale_features(df, scaling):
 
 def fit_categories(train, column, most=MAX_CATEGORIES):
     """Distinct values, alphabetical: the domain of a categorical model input."""
-    values = [r[0] for r in train.select(column).distinct().orderBy(column).limit(most + 1).collect()]
-    if len(values) > most:
-        raise ValueError(f"{column} has more than {most} values, too many for one slot each")
-    return values
+    return training_statistics(train, None, [], column, most)[2]
 
 
 def one_hot(df, column, values):
@@ -105,10 +127,59 @@ def class_weights(train, label="is_fraud"):
                                       / (F.count(F.lit(1)).over(classes) * F.col("n"))).alias("weight"))
 
 
+def balanced_weights(classes):
+    """{class: weight} that gives all classes the same total, and the rows a mean weight of 1."""
+    rows = sum(classes.values())
+    return {c: rows / (len(classes) * n) for c, n in classes.items()}
+
+
 def weight_column(weights, label="is_fraud"):
-    """Column of the per-row weight from the collected rows of `class_weights`."""
-    by_class = {row[label]: row["weight"] for row in weights}
+    """Column of the per-row weight from {class: weight}; null for a class without one."""
     column = F.lit(None).cast("double")
-    for value, weight in by_class.items():
-        column = F.when(F.col(label) == value, F.lit(weight)).otherwise(column)
+    for value, weight in weights.items():
+        column = F.when(F.col(label) == value, F.lit(float(weight))).otherwise(column)
     return column
+
+
+# ------------------------------------------------------------- bounded drawing
+
+DRAW_BITS = 60
+
+
+def draw_rates(classes, bound):
+    """{class: share of its rows to draw} so that `bound` rows are expected at most.
+
+    Classes share the bound evenly; what a class does not need goes to the larger ones. So a rare
+    class is kept whole as long as it is smaller than its part.
+    """
+    rates, left = {}, bound
+    for place, (value, n) in enumerate(sorted(classes.items(), key=lambda c: (c[1], c[0]))):
+        part = left / (len(classes) - place)
+        rates[value] = min(1.0, part / n)
+        left -= min(part, n)
+    return rates
+
+
+def draw_number(df, keys):
+    """A number from 0 below 1 that depends on the order keys of a row alone: the first bits of an md5."""
+    text = F.concat_ws("|", *[place(df, k).cast("string") for k in keys])
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+    return bits / F.lit(float(1 << DRAW_BITS))
+
+
+def draw(df, label, rates, keys):
+    """The drawn rows with `_rate`, the chance with which each was drawn.
+
+    The draw depends on the keys, which tell rows apart, so it is the same however the rows lie.
+    """
+    rate = weight_column(rates, label)
+    return df.filter(draw_number(df, keys) < rate).withColumn("_rate", rate)
+
+
+def balanced_draw(df, label, classes, keys, bound):
+    """The drawn rows with `weight`: the balanced weight of the class over the chance of the draw.
+
+    Totals by class are those of all rows in expectation; without a draw the weight is the balanced one.
+    """
+    drawn = draw(df, label, draw_rates(classes, bound), keys)
+    return drawn.withColumn("weight", weight_column(balanced_weights(classes), label) / F.col("_rate")).drop("_rate")

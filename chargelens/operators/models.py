@@ -5,10 +5,12 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import ratio_or_zero
 from ..schemas import FOREST_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, SEED
-from .features import MAX_CATEGORIES, fit_categories, fit_scaling
+from .features import MAX_CATEGORIES, training_statistics
 
 LOGISTIC, FOREST = "logistic_regression", "random_forest"
 
@@ -25,28 +27,37 @@ def require_inputs(df, columns):
     return df.withColumns({c: present(c) for c in columns})
 
 
-def fit_inputs(train, numeric, categorical=None, most=MAX_CATEGORIES):
-    """Fit the model-input stages on the training rows: (PipelineModel, feature names).
+def input_stages(scaling, categorical=None, values=()):
+    """The model-input stages for known statistics: (PipelineModel, feature names).
 
-    Numerics are standardised with the population deviation, the category becomes one slot per
-    known value, alphabetical, and no slot for an unknown one; more than `most` values are refused.
+    Numerics are standardised, the category becomes one slot per value and no slot for an unknown one.
     """
-    scaling = fit_scaling(train, numeric)
     columns = ", ".join(f"(`{c}` - {mean!r}D) / {dev!r}D AS `{c}_z`" for c, (mean, dev) in scaling.items())
     stages = [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")]
-    inputs, names = [f"{c}_z" for c in numeric], list(numeric)
+    inputs, names = [f"{c}_z" for c in scaling], list(scaling)
     if categorical:
+        spark = SparkSession.active()
         indexer = StringIndexerModel.from_labels(
-            fit_categories(train, categorical, most), inputCol=categorical, outputCol="_category_index",
-            handleInvalid="keep")
+            list(values), inputCol=categorical, outputCol="_category_index", handleInvalid="keep")
         encoder = OneHotEncoder(inputCol="_category_index", outputCol="_category_slots")
-        stages += [indexer, encoder.fit(indexer.transform(train))]    # slots known from the labels
+        none = spark.createDataFrame([], f"`{categorical}` string")
+        stages += [indexer, encoder.fit(indexer.transform(none))]     # slots known from the labels
         inputs.append("_category_slots")
-        names += [f"{categorical}_{v}" for v in indexer.labels]
+        names += [f"{categorical}_{v}" for v in values]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     return PipelineModel(stages), names
 
 
+def fit_inputs(train, numeric, categorical=None, most=MAX_CATEGORIES):
+    """Fit the model-input stages on the training rows, in one pass: (PipelineModel, feature names).
+
+    Numerics are standardised with the population deviation, the category becomes one slot per
+    known value, alphabetical; more than `most` values are refused.
+    """
+    _, scaling, values = training_statistics(train, None, numeric, categorical, most)
+    return input_stages(scaling, categorical, values)
+
+
 def fit_logistic(train, rows, label, weight="weight"):
     """Balanced logistic regression.
 
@@ -81,12 +92,31 @@ def with_scores(df, logistic, forest):
             .drop("_lr_label", "_lr_probability", "_lr_raw", "_forest_score"))
 
 
-def gini_importance(forest, names, spark):
-    """Forest importances by feature name, largest first."""
-    values = forest.featureImportances.toArray()
-    rows = [(name, float(v)) for name, v in zip(names, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance"), "feature")
+def gini_importance(nodes, names):
+    """Importances by feature name, largest first, from the node table of a forest (`explain.forest_nodes`).
+
+    A split is worth the impurity of its node less that of its two children, each by training weight;
+    the impurity of a node with fraud share p is p (1 - p). A feature's importance in a tree is what
+    its splits are worth, as a share of the tree's sum; in the forest it is the mean over trees that
+    split, as a share of the whole. Features without a split have none: 0.
+    """
+    spark = nodes.sparkSession
+    impurity = nodes.select("tree", "id", "left", "right", "feature",
+                            (F.col("cover") * F.col("value") * (1 - F.col("value"))).alias("impure"))
+    below = impurity.select("tree", F.col("id").alias("child"), F.col("impure").alias("rest"))
+    splits = impurity.filter(F.col("left") >= 0)
+    sides = splits.select("tree", "id", "feature", "impure", F.explode(F.array("left", "right")).alias("child"))
+    worth = (sides.join(below, ["tree", "child"]).groupBy("tree", "id", "feature")
+             .agg((F.first("impure") - F.sum("rest")).alias("worth")))
+    each = worth.groupBy("tree", "feature").agg(F.sum("worth").alias("worth"))
+    whole = each.groupBy("tree").agg(F.sum("worth").alias("whole"))
+    shares = (each.join(whole, "tree").groupBy("feature").agg(F.sum(ratio_or_zero(F.col("worth"), F.col("whole"))).alias("share")))
+    total = shares.agg(F.sum("share").alias("total"))                  # at most one row a feature from here on
+    listed = spark.createDataFrame(list(enumerate(names)), "number int, name string")
+    return (listed.join(shares, listed["number"] == shares["feature"], "left").join(F.broadcast(total))
+            .select(F.col("name").alias("feature"),
+                    F.coalesce(ratio_or_zero(F.col("share"), F.col("total")), F.lit(0.0)).alias("importance"))
+            .orderBy(F.desc("importance"), "feature"))
 
 
 def top(ranking, k):

@@ -1,6 +1,7 @@
 """Every registered query as a callable (spark, folder of the test tables) -> DataFrame."""
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import risk_bucket
@@ -89,6 +90,61 @@ def _landed(spark, frame, fmt):
     return path
 
 
+def _scan_transactions_csv(spark, d):
+    """Text to timestamps and numbers."""
+    return sources.scan_transactions(spark, _landed(spark, views.transactions(spark, d, gaps=True), "csv"), "csv")
+
+
+def _loaded(spark, d):
+    """The tables after a full refresh of an older load."""
+    folder = new_path(spark, "warehouse")
+    old = views.tables(spark, d, gaps=True)
+    sources.load_tables({n: t.limit(1) for n, t in old.items()}, folder)
+    sources.load_tables(old, folder)
+    return sources.open_tables(spark, folder)
+
+
+def _run_sql(spark, d):
+    """One SQL text over the registered tables."""
+    sources.register_views(views.tables(spark, d))
+    return sources.run_sql(spark, "SELECT home_city, count(*) AS txns, max(amount) AS largest "
+                                  "FROM transactions JOIN customers USING (customer_id) GROUP BY home_city")
+
+
+def _flagged_csv(spark, d):
+    """The file of flagged rows, read back; its lines are in order of the score."""
+    path = new_path(spark, "flagged")
+    job.write_flagged(_rule_flags(spark, d), path)
+    lines = spark.read.schema("transaction_id bigint, customer_id bigint, category string, amount double, "
+                              "timestamp timestamp_ntz, fraud_score double").option("header", True).csv(path)
+    place = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    before = F.lag("fraud_score").over(Window.partitionBy(F.input_file_name()).orderBy(place))
+    return lines.withColumn("in_order", F.coalesce(before >= F.col("fraud_score"), F.lit(True)))
+
+
+def _metrics_json(spark, d):
+    """Metrics written as JSON and read back."""
+    path = new_path(spark, "metrics")
+    sources.write_json(evaluation.binary_metrics(views.rule_scored(spark, d)), path)
+    return spark.read.schema("precision double, recall double, f1 double, tn bigint, fp bigint, fn bigint, tp bigint").json(path)
+
+
+def _importances_json(spark, d):
+    """The map of importances, written as JSON and read back, a row a feature."""
+    path = new_path(spark, "importances")
+    explaining.write_importances(rule_forest.ranking(_rules(spark, d)), path)
+    return spark.read.schema("importances map<string,double>").json(path).select(
+        F.explode("importances").alias("feature", "importance"))
+
+
+def _wide_features(spark, d):
+    """The inputs of the wide model: all columns but the label and the order key."""
+    ready = features.log_amount(views.wide(spark, d), "amount")
+    layout = training.wide_layout(ready, ["vec_id"], "class", "amount")
+    return ready.select("vec_id", F.size(F.array(*layout.numeric)).alias("inputs"),
+                        F.round(sum(F.col(c) for c in layout.numeric), 4).alias("total"))
+
+
 def _scan_transactions(spark, d):
     return sources.scan_transactions(spark, _landed(spark, views.transactions(spark, d, gaps=True), "parquet"))
 
@@ -106,6 +162,27 @@ def _temporal_split(spark, d):
         F.lit(str(point[0])).cast("timestamp_ntz").alias("split_ts"))
 
 
+def _temporal_split_double(spark, d):
+    """Split by a fractional key, with the id as tie-break."""
+    order = ["amount", "transaction_id"]
+    events = views.events(spark, d).select(*order)
+    point = ordered.split_point(events, TEST_FRACTION, order)
+    return events.select("transaction_id", "amount", F.when(ordered.before(point, order), "train").otherwise("test").alias("part"),
+                         F.lit(point[0]).alias("split_at"))
+
+
+DRAWN = 2_000       # bound of the registered draw
+
+
+def _training_weights(spark, d):
+    """The rows that a fit of at most DRAWN rows reads, with their weights."""
+    txns = _txns(spark, d).select(*ORDER, "amount", "is_fraud")
+    train, _, _ = _split(txns)
+    classes = features.training_statistics(train, "is_fraud", ["amount"])[0]
+    drawn = features.balanced_draw(train, "is_fraud", classes, ORDER, DRAWN)
+    return drawn.select("transaction_id", "is_fraud", F.round("weight", 9).alias("weight"))
+
+
 def _assign_ids(spark, d):
     return features.assign_ids_by_time(
         views.events(spark, d).select("timestamp", F.col("transaction_id").alias("event_id"),
@@ -178,6 +255,12 @@ def relational_queries():
         "scan_customers": lambda s, d: sources.scan_customers(s, _landed(s, views.customers(s, d), "csv"), "csv"),
         "scan_merchants": lambda s, d: sources.scan_merchants(s, _landed(s, views.merchants(s, d), "csv"), "csv"),
         "scan_wide": _scan_wide,
+        "scan_transactions_csv": _scan_transactions_csv,
+        "loaded_transactions": lambda s, d: _loaded(s, d)["transactions"],
+        "loaded_customers": lambda s, d: _loaded(s, d)["customers"],
+        "run_sql": _run_sql,
+        "flagged_csv": _flagged_csv,
+        "metrics_json": _metrics_json,
         "load_counts": lambda s, d: sources.load_counts(s, views.tables(s, d)),
         "query_suite": lambda s, d: suite.suite_overview(views.tables(s, d)),
         # integrity
@@ -215,6 +298,7 @@ def relational_queries():
             views.events(s, d).select("transaction_id", "customer_id", "timestamp")),
         "assign_ids_by_time": _assign_ids,
         "temporal_split": _temporal_split,
+        "temporal_split_double_key": _temporal_split_double,
         "time_parts": lambda s, d: features.time_parts(
             views.events(s, d).select("transaction_id", "timestamp")),
         "amount_norm": _amount_norm,
@@ -223,6 +307,8 @@ def relational_queries():
         "scaled_features": _scaled_features,
         "one_hot_category": _one_hot_category,
         "class_weights": _class_weights,
+        "training_weights": _training_weights,
+        "wide_features": _wide_features,
         # evaluation of the rule score
         "predict_label": _predict_label,
         "confusion_matrix": lambda s, d: evaluation.confusion_matrix(views.rule_scored(s, d)),
@@ -276,7 +362,8 @@ def _artifact(spark, d):
 
 
 def _explanation(spark, d):
-    return _once("explanation", spark, d, lambda: explaining.explain_run(_card_run(spark, d)))
+    """All rows of the test window are explained."""
+    return _once("explanation", spark, d, lambda: explaining.explain_run(_card_run(spark, d), size=None))
 
 
 def _train_logistic(spark, d):
@@ -305,7 +392,7 @@ def _scored(spark, d):
 
 def _gini(spark, d):
     run = _card_run(spark, d)
-    return models.gini_importance(run.forest, run.feature_names, spark)
+    return models.gini_importance(explain.forest_nodes(run.forest, spark), run.feature_names)
 
 
 def _explain_sample(spark, d):
@@ -324,11 +411,6 @@ def _top_drivers(spark, d):
     return explain.top_drivers(explaining.explain_top_fraud(_card_run(spark, d), leaves))
 
 
-def _contribution_points(spark, d):
-    e = _explanation(spark, d)
-    return explain.contribution_points(e.contributions, e.ranking)
-
-
 def model_queries():
     return {
         "train_logistic": _train_logistic,
@@ -350,7 +432,7 @@ def model_queries():
         "explain_sample": _explain_sample,
         "tree_contributions": lambda s, d: _explanation(s, d).contributions,
         "mean_abs_contribution": lambda s, d: _explanation(s, d).ranking,
-        "contribution_points": _contribution_points,
+        "contribution_points": lambda s, d: _explanation(s, d).points(),
         "decision_breakdown": _breakdown,
         "top_drivers": _top_drivers,
         "importance_overlap": lambda s, d: explain.importance_overlap(
@@ -361,7 +443,7 @@ def model_queries():
 # ---------------- what SQL can check: explanations of a declared forest, the logistic solution
 
 def _rules(spark, d):
-    return _once("rules", spark, d, lambda: rule_forest.contributions(_txns(spark, d)))
+    return _once("rules", spark, d, lambda: rule_forest.vectors(_txns(spark, d)))
 
 
 def _rule_breakdown(spark, d):
@@ -369,18 +451,47 @@ def _rule_breakdown(spark, d):
         "contribution", F.round("contribution", 8))
 
 
+def _rule_proba(spark, d):
+    return rule_forest.scored(_txns(spark, d)).select("transaction_id", F.round("fraud_score", 9).alias("fraud_score"))
+
+
+DECLARED = ["rule_norm", "rule_forest"]
+
+
+def _rule_counts(spark, d):
+    """Two declared scores of every transaction as one table of counts."""
+    forest = rule_forest.scored(_txns(spark, d)).select("transaction_id", F.round("fraud_score", 4).alias("rule_forest"))
+    both = (views.rule_scored(spark, d).select("transaction_id", "is_fraud", F.col("score").alias("rule_norm"))
+            .join(forest, "transaction_id"))
+    return materialize(evaluation.count_scores(evaluation.stack_scores(both, DECLARED)))
+
+
+def _rule_curves(spark, d):
+    return evaluation.pr_curve(_rule_counts(spark, d), by=["model"], n="n").select(
+        "model", "threshold", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
+
+
 def rule_queries():
     return {
         "logistic_gradient": lambda s, d: training.logistic_gradient(_card_run(s, d)).withColumn(
             "gradient", F.round("gradient", 5)),
-        "rule_contributions": _rules,
+        "rule_predict_proba": _rule_proba,
+        "rule_score_transactions": lambda s, d: job.ranked(rule_forest.flagged(_txns(s, d))),
+        "rule_flag_summary": lambda s, d: scoring.flag_summary(rule_forest.flagged(_txns(s, d))),
+        "rule_gini_importance": lambda s, d: rule_forest.importance(s).withColumn("importance", F.round("importance", 9)),
+        "rule_top_importances": lambda s, d: models.top(rule_forest.importance(s), 2).select("feature"),
+        "rule_model_comparison": lambda s, d: evaluation.compare_models(_rule_counts(s, d)),
+        "rule_model_reports": lambda s, d: evaluation.classification_report(_rule_counts(s, d), by=["model"], n="n"),
+        "rule_model_curves": _rule_curves,
+        "rule_contributions": lambda s, d: rule_forest.contributions(_rules(s, d)),
         "rule_mean_contribution": lambda s, d: rule_forest.ranking(_rules(s, d)),
         "rule_contribution_points": lambda s, d: explain.contribution_points(
-            _rules(s, d), rule_forest.ranking(_rules(s, d)), 2),
+            _rules(s, d), rule_forest.FEATURES, rule_forest.ranking(_rules(s, d)), 2),
         "rule_top_drivers": lambda s, d: explain.top_drivers(
             rule_forest.top_fraud(_rules(s, d), _txns(s, d)), 2),
         "rule_decision_breakdown": _rule_breakdown,
         "rule_importance_overlap": lambda s, d: rule_forest.overlap(_rules(s, d), _txns(s, d)),
+        "importances_json": _importances_json,
     }
 
 

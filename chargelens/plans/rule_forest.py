@@ -3,7 +3,7 @@
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..operators import explain, scoring
+from ..operators import explain, forest, models, scoring
 from ..storage import materialize
 
 FEATURES = ["amount", "hour_of_day", "merchant_risk_score"]
@@ -31,7 +31,8 @@ def _grow(tree, branch, rows):
     feature, cut, low, high = branch
     left, below = _grow(tree, low, rows)
     right, above = _grow(tree, high, rows)
-    rows[number] = (tree, number, 0.0, below + above, left, right, FEATURES.index(feature), [cut], -1)
+    mean = (rows[left][2] * below + rows[right][2] * above) / (below + above)
+    rows[number] = (tree, number, mean, below + above, left, right, FEATURES.index(feature), [cut], -1)
     return number, below + above
 
 
@@ -45,30 +46,55 @@ def nodes(spark, trees=None):
     return spark.createDataFrame(found, NODES)
 
 
-def contributions(txns):
-    """Contributions of every transaction to 9 places, written once."""
-    rows = txns.withColumn("hour_of_day", F.hour("timestamp"))
+def _inputs(txns):
+    return txns.withColumn("hour_of_day", F.hour("timestamp"))
+
+
+def vectors(txns):
+    """Contribution vectors of every transaction to 9 places, written once."""
     values = explain.display_values(FEATURES)
-    rows = rows.select("transaction_id", array_to_vector(values).alias("features"), values.alias("values"))
+    rows = _inputs(txns).select("transaction_id", array_to_vector(values).alias("features"), values.alias("values"))
     leaves = materialize(explain.leaf_paths(nodes(txns.sparkSession)))
-    found = explain.tree_contributions(rows, leaves, FEATURES)
-    return materialize(found.withColumns({c: F.round(c, 9) for c in ("contribution", "base_value")}))
+    found = explain.contribution_vectors(rows, leaves, FEATURES)
+    return materialize(found.withColumns({"contributions": F.transform("contributions", lambda c: F.round(c, 9)),
+                                          "base_value": F.round("base_value", 9)}))
+
+
+def contributions(found):
+    return explain.long_form(found, FEATURES)
 
 
 def ranking(found):
-    return explain.mean_abs_contribution(found).withColumn(
+    return explain.mean_abs_contribution(found, FEATURES).withColumn(
         "mean_abs_contribution", F.round("mean_abs_contribution", 9))
 
 
 def top_fraud(found, txns):
     """Contributions of the fraud with the highest score."""
-    scores = found.groupBy("transaction_id").agg(
-        F.round(F.first("base_value") + F.sum("contribution"), 6).alias("score"))
+    scores = found.select("transaction_id", F.round(
+        F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c), 6).alias("score"))
     best = scoring.top_scored_fraud(scores.join(txns.select("transaction_id", "is_fraud"), "transaction_id"))
-    return found.join(F.broadcast(best.select("transaction_id")), "transaction_id", "left_semi")
+    return contributions(found.join(F.broadcast(best.select("transaction_id")), "transaction_id", "left_semi"))
 
 
 def overlap(found, txns, k=2):
     """How many features lead both among all transactions and among the frauds."""
     frauds = txns.filter("is_fraud = 1").select("transaction_id")
     return explain.importance_overlap(ranking(found), ranking(found.join(frauds, "transaction_id", "left_semi")), k)
+
+
+# ---------------------------------------------------------------------- scores
+
+def scored(txns):
+    """The transactions with fraud_score, the declared forest compiled to nested comparisons."""
+    score = forest.compiled(nodes(txns.sparkSession), FEATURES)
+    return _inputs(txns).withColumn("fraud_score", score).select(*txns.columns, "fraud_score")
+
+
+def flagged(txns, threshold=0.4):
+    rounded = scored(txns).withColumn("fraud_score", F.round("fraud_score", 4))
+    return scoring.flag(rounded, threshold)
+
+
+def importance(spark):
+    return models.gini_importance(nodes(spark), FEATURES)

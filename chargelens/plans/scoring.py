@@ -3,17 +3,25 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import features, models, scoring
+from ..operators import explain, features, forest, models, scoring
 from ..sources import artifacts, tables
 from ..storage import materialize
 
 
 def apply_model(frame, artifact):
-    """Add fraud_score to 4 places and the 0/1 flag to a feature frame."""
+    """Add fraud_score to 4 places and the 0/1 flag to a feature frame.
+
+    A forest of few nodes is scored by generated code, a larger one by the saved pipeline.
+    """
     frame = models.require_inputs(frame, [*artifact.features_num, *artifact.features_cat])
-    scored = (artifact.pipeline.transform(frame)
-              .withColumn("fraud_score", F.round(F.col("_forest_score"), 4)).select(*frame.columns, "fraud_score"))
-    return scoring.flag(scored, artifact.threshold)
+    categorical = artifact.features_cat[0] if artifact.features_cat else None
+    score = None
+    if artifact.forest.totalNumNodes <= forest.EXPRESSION_NODES:
+        inputs = forest.pipeline_inputs(artifact.inputs, artifact.features_num, categorical)
+        score = forest.compiled(explain.forest_nodes(artifact.forest, frame.sparkSession), inputs)
+    scored = artifact.pipeline.transform(frame) if score is None else frame.withColumn("_forest_score", score)
+    return scoring.flag(scored.withColumn("fraud_score", F.round(F.col("_forest_score"), 4)).select(*frame.columns, "fraud_score"),
+                        artifact.threshold)
 
 
 def score(spark, txns, customers, model_folder, fmt="csv"):

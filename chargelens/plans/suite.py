@@ -34,13 +34,37 @@ def write_suite(tables, folder):
         result.write.mode("overwrite").parquet(f"{folder}/q{number}")
 
 
+DIGEST_DIGITS = 12      # hexadecimal digits of a row's md5 that are added up; thousands of rows fit a bigint
+
+
+def _text(field):
+    """A value as text, numbers to 3 places, so that other engines write the same."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.NumericType):
+        value = F.round(value, 3).cast("decimal(20,3)")
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
+def digest(result):
+    """(column_name, n_rows, digest) per column of a result, whatever the order of its rows.
+
+    Each row gives a hash of its first column, which names the row, and the value; their sum is the
+    digest. So wrong values, wrong text and values of another row show in the column they are in.
+    """
+    names = result.columns
+    texts = {f.name: _text(f) for f in result.schema.fields}
+    hashes = [F.conv(F.substring(F.md5(F.concat_ws("|", texts[names[0]], texts[n])), 1, DIGEST_DIGITS), 16, 10).cast("bigint")
+              for n in names]
+    sums = result.agg(F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.sum(h), F.lit(0)).alias(f"_d{i}") for i, h in enumerate(hashes)])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.col("_n").alias("n_rows"), F.col(f"_d{i}").alias("digest"))
+        for i, n in enumerate(names)])))
+
+
 def suite_overview(tables):
-    """(query_no, title, n_rows, total) of every question; `total` adds up all numbers of its result."""
+    """(query_no, title, column_name, n_rows, digest) of every question and column."""
     overview = None
     for number, (title, result) in run_suite(tables).items():
-        numbers = [f.name for f in result.schema.fields if isinstance(f.dataType, T.NumericType)]
-        whole = sum(F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in numbers)
-        line = result.agg(F.lit(number).alias("query_no"), F.lit(title).alias("title"),
-                          F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(whole), 3).alias("total"))
-        overview = line if overview is None else overview.unionByName(line)
-    return overview.orderBy("query_no")
+        lines = digest(result).select(F.lit(number).alias("query_no"), F.lit(title).alias("title"), "column_name", "n_rows", "digest")
+        overview = lines if overview is None else overview.unionByName(lines)
+    return overview

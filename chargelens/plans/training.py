@@ -1,6 +1,8 @@
 """Train both models on the earlier transactions, judge them on the later ones."""
 
+import math
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +16,9 @@ from ..sources import artifacts
 from ..storage import materialize
 
 MODELS = [models.LOGISTIC, models.FOREST]
-TRAIN_PARTITIONS = 32
+FIT_ROWS = 20_000_000       # training rows that the solvers read at most, in expectation
+PARTITION_ROWS = 5_000      # of those in a partition, until there are MOST_PARTITIONS
+MOST_PARTITIONS = 256       # every partition sends the counts of all nodes it holds, so more of them cost more
 
 
 @dataclass
@@ -50,12 +54,28 @@ class Trained:
     scored: DataFrame       # order keys, label, amount, one score column per model; test rows
     split_at: tuple
     rows: int
-    train_rows: int
+    classes: dict           # training rows of each class
+    fit_rows: int           # bound on the rows that the solvers read
+
+    @property
+    def train_rows(self):
+        return sum(self.classes.values())
 
     @property
     def pipeline(self):
         return PipelineModel([*self.inputs.stages, self.forest])
 
+    def fitted(self):
+        """The training rows that the solvers read, with their weight."""
+        early = self.table.filter(ordered.before(self.split_at, self.layout.order))
+        return features.balanced_draw(early, self.layout.label, self.classes, self.layout.order, self.fit_rows)
+
+    @cached_property
+    def counts(self):
+        """Scored rows by model, score and label, written: one scan of the scores for all evaluations of all models."""
+        stacked = evaluation.stack_scores(self.scored, MODELS, [self.layout.label])
+        return materialize(evaluation.count_scores(stacked, self.layout.label))
+
     def scores(self, model):
         keep = list(dict.fromkeys([*self.layout.order, self.layout.label, self.layout.amount]))
         return self.scored.select(*keep, F.col(model).alias("score"))
@@ -65,31 +85,41 @@ class Trained:
                                     label=self.layout.label, amount=self.layout.amount)
 
 
-def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, partitions=TRAIN_PARTITIONS,
+def fit_partitions(rows):
+    """Partitions for that many rows: a function of the data, never of cores or files."""
+    return max(1, min(MOST_PARTITIONS, -(-rows // PARTITION_ROWS)))
+
+
+def train(table, layout=CARD, trees=FOREST_TREES, test_fraction=TEST_FRACTION, fit_rows=FIT_ROWS,
           max_categories=features.MAX_CATEGORIES):
     """Fit on the earlier rows and score the later ones.
 
-    The feature table and the scored test rows are each written once. The solvers read the training
-    rows dealt over `partitions` by a hash of the order keys and sorted in each, because the forest
-    draws its samples per partition: the model depends on that number and the data, not on cores,
-    files or the order of writing. Raise it with the table, to some million rows a partition.
+    The feature table and the scored test rows are each written once. Class sizes, scaling and
+    categories are exact, from one pass over all training rows. The solvers read `fit_rows` of them
+    at most: where there are more, rows are drawn by a hash of their order keys, rare classes whole as
+    far as possible, and weigh the inverse of their chance to be drawn. The rows are dealt over
+    partitions whose number follows from that of the rows, by a hash of the order keys, and sorted
+    in each, because the forest draws its samples per partition: the model depends on the data
+    alone, not on cores, files or the order of writing.
     """
     table = materialize(models.require_inputs(table.select(*layout.columns), layout.columns))
     early, late, split_at = ordered.temporal_split(table, test_fraction, layout.order)
-    weights = features.class_weights(early, layout.label).collect()     # one row per class
-    train_rows = sum(w["n"] for w in weights)
-    inputs, names = models.fit_inputs(early, layout.numeric, layout.categorical, max_categories)
-    ready = (inputs.transform(early.repartition(partitions, *layout.order).sortWithinPartitions(*layout.order))
-             .select("features", F.col(layout.label).cast("double").alias("label"),
-                     features.weight_column(weights, layout.label).alias("weight")).persist())
-    logistic = models.fit_logistic(ready, train_rows, "label")
+    classes, scaling, values = features.training_statistics(
+        early, layout.label, layout.numeric, layout.categorical, max_categories)
+    inputs, names = models.input_stages(scaling, layout.categorical, values)
+    rates = features.draw_rates(classes, fit_rows)
+    partitions = fit_partitions(sum(math.ceil(rates[c] * n) for c, n in classes.items()))
+    drawn = (features.balanced_draw(early, layout.label, classes, layout.order, fit_rows)
+             .repartition(partitions, *layout.order).sortWithinPartitions(*layout.order))
+    ready = inputs.transform(drawn).select("features", F.col(layout.label).cast("double").alias("label"), "weight").persist()
+    logistic = models.fit_logistic(ready, sum(classes.values()), "label")
     forest = models.fit_forest(ready, "label", trees=trees)
     ready.unpersist()
     keep = list(dict.fromkeys([*layout.order, layout.label, layout.amount]))
     scored = materialize(models.with_scores(inputs.transform(late), logistic, forest)
                          .select(*keep, *MODELS))
     return Trained(layout, inputs, logistic, forest, names, table, late, scored, split_at,
-                   table.count(), train_rows)
+                   table.count(), classes, fit_rows)
 
 
 def train_cards(txns, customers, **settings):
@@ -100,14 +130,10 @@ def logistic_gradient(run):
     """(feature, gradient): size of the gradient of the logistic loss per row at the fitted coefficients.
 
     The loss is strictly convex, so the solution is the one place where all of it vanishes. One pass
-    over the training rows.
+    over the rows it was fitted on.
     """
-    layout = run.layout
-    early = run.table.filter(ordered.before(run.split_at, layout.order))
-    weights = features.class_weights(early, layout.label).collect()     # one row per class
-    rows = run.logistic.transform(run.inputs.transform(early))
-    error = features.weight_column(weights, layout.label) * (
-        vector_to_array("_lr_probability")[1] - F.col(layout.label))
+    rows = run.logistic.transform(run.inputs.transform(run.fitted()))
+    error = F.col("weight") * (vector_to_array("_lr_probability")[1] - F.col(run.layout.label))
     names = run.feature_names
     sums = rows.select(error.alias("e"), vector_to_array("features").alias("x")).agg(
         *[F.sum(F.col("e") * F.col("x")[i]).alias(f"s{i}") for i in range(len(names))], F.sum("e").alias("s"))
@@ -119,20 +145,11 @@ def logistic_gradient(run):
 
 def model_comparison(run):
     """One row per model: metrics at 0.5, average precision, confusion counts."""
-    result = None
-    for name in MODELS:
-        scored = run.scores(name)
-        line = (evaluation.binary_metrics(scored, label=run.layout.label).withColumn("model", F.lit(name))
-                .join(evaluation.average_precision(scored, label=run.layout.label)
-                      .withColumn("model", F.lit(name)), "model"))
-        result = line if result is None else result.unionByName(line)
-    return result.select("model", "precision", "recall", "f1", "pr_auc", "tn", "fp", "fn", "tp")
+    return evaluation.compare_models(run.counts, label=run.layout.label)
 
 
 def pr_curves(run):
-    curves = [evaluation.pr_curve(run.scores(name), label=run.layout.label).withColumn("model", F.lit(name))
-              for name in MODELS]
-    return curves[0].unionByName(curves[1])
+    return evaluation.pr_curve(run.counts, label=run.layout.label, by=["model"], n="n")
 
 
 # ------------------------------------------------------------ metrics document
@@ -152,9 +169,7 @@ DOCUMENT = (
 
 def model_reports(run):
     """The per-class report of both models at 0.5."""
-    reports = [evaluation.classification_report(run.scores(name), label=run.layout.label)
-               .withColumn("model", F.lit(name)) for name in MODELS]
-    return reports[0].unionByName(reports[1])
+    return evaluation.classification_report(run.counts, label=run.layout.label, by=["model"], n="n")
 
 
 def metrics_document(run, review_cost=REVIEW_COST, source=None):
@@ -184,7 +199,7 @@ def metrics_document(run, review_cost=REVIEW_COST, source=None):
 def to_artifact(run):
     """The forest with its cost-optimal threshold, ready to save."""
     best = cost.cost_optimal(run.sweep()).first()
-    auc = evaluation.average_precision(run.scores(models.FOREST), label=run.layout.label).first()[0]
+    auc = evaluation.average_precision(run.counts.filter(F.col("model") == models.FOREST), run.layout.label, n="n").first()[0]
     categorical = [run.layout.categorical] if run.layout.categorical else []
     return artifacts.Artifact(run.pipeline, best["threshold"], list(run.layout.numeric), categorical,
                               run.feature_names, artifacts.now(), run.train_rows, auc)

@@ -78,15 +78,16 @@ def load_counts(spark, tables):
         "(SELECT count(*) FROM {transactions}) AS transactions", **tables)
 
 
-def scan_wide(spark, path, order_key, label, fmt="parquet"):
+def scan_wide(spark, path, order_key, label, fmt="parquet", key_type="bigint"):
     """The wide numeric table and a text saying where it came from.
 
-    A Spark table has no row order of its own, so the time order needs a key column, in CSV a whole
-    number. The key and the label are integers, all else is double.
+    A Spark table has no row order of its own, so the time order needs a key column. In CSV it is read
+    as `key_type`: a whole number unless told otherwise, such as double, date or timestamp. The
+    label is an integer, all else is double.
     """
     if fmt == "csv":
         header = spark.read.option("header", True).csv(path).columns
-        kinds = {order_key: T.LongType(), label: T.IntegerType()}
+        kinds = {order_key: T.StructType.fromDDL(f"k {key_type}")["k"].dataType, label: T.IntegerType()}
         schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in header])
         df = _checked_csv(spark, path, schema)
     else:

@@ -171,22 +171,31 @@ def _text(value):
 
 
 def _suite():
-    counts = "txns + fraud_txns + fraud_rate_pct"
+    rate = ["txns", "fraud_txns", "fraud_rate_pct"]
+    # title, rows, columns; a column of text is marked by a star, the first column names the row
     questions = [
-        ("Headline fraud rate", HEADLINE,
-         "total_transactions + fraud_transactions + fraud_rate_pct + coalesce(fraud_dollar_loss, 0)"),
-        ("Merchant categories by fraud rate", BY_CATEGORY, f"{counts} + coalesce(fraud_dollar_loss, 0)"),
-        ("Fraud rate over the day", BY_HOUR, f"{counts} + hour_of_day"),
-        ("Customers with the largest fraud losses", TOP_CUSTOMERS, "customer_id + fraud_txns + total_fraud_amount"),
-        ("Fraud rate per week", TREND, f"{counts} + rolling_3wk_avg_fraud_rate"),
-        ("Card-testing pattern", _card_testing_rows(120), "customer_id + rapid_repeat_txns + of_which_fraud + avg_amount"),
-        ("Fraud rate by merchant risk band", BY_BUCKET, "txns + actual_fraud_rate_pct"),
+        ("Headline fraud rate", HEADLINE, ["total_transactions", "fraud_transactions", "fraud_rate_pct", "fraud_dollar_loss"]),
+        ("Merchant categories by fraud rate", BY_CATEGORY, ["*category", *rate, "fraud_dollar_loss"]),
+        ("Fraud rate over the day", BY_HOUR, ["hour_of_day", *rate]),
+        ("Customers with the largest fraud losses", TOP_CUSTOMERS, ["customer_id", "*home_city", "fraud_txns", "total_fraud_amount"]),
+        ("Fraud rate per week", TREND, ["*iso_week", *rate, "rolling_3wk_avg_fraud_rate"]),
+        ("Card-testing pattern", _card_testing_rows(120), ["customer_id", "rapid_repeat_txns", "of_which_fraud", "avg_amount"]),
+        ("Fraud rate by merchant risk band", BY_BUCKET, ["*risk_bucket", "txns", "actual_fraud_rate_pct"]),
         ("Purchases far above a customer's norm", ANOMALIES,
-         "transaction_id + customer_id + amount + implied_daily_spend + x_over_daily_norm + is_fraud")]
+         ["transaction_id", "customer_id", "amount", "implied_daily_spend", "x_over_daily_norm", "is_fraud"])]
+
+    def written(column):
+        text = column[1:] if column[0] == "*" else f"CAST(round({column}, 3) AS DECIMAL(20, 3))"
+        return f"coalesce(CAST({text} AS VARCHAR), 'null')"
+
+    def line(i, title, text, columns, column):
+        row = f"{written(columns[0])} || '|' || {written(column)}"
+        return (f"SELECT {i} AS query_no, {_text(title)} AS title, '{column.lstrip('*')}' AS column_name, count(*) AS n_rows, "
+                f"CAST(coalesce(sum(('0x' || substr(md5({row}), 1, 12))::BIGINT), 0) AS BIGINT) AS digest FROM ({text}) AS q{i}")
+
     return _q("\nUNION ALL\n".join(
-        f"SELECT {i} AS query_no, {_text(title)} AS title, count(*) AS n_rows, "
-        f"round(sum(CAST({numbers} AS DOUBLE)), 3) AS total FROM ({text}) AS q{i}"
-        for i, (title, text, numbers) in enumerate(questions, 1)), _WEEKLY + _GAPS)
+        line(i, title, text, columns, column) for i, (title, text, columns) in enumerate(questions, 1) for column in columns),
+        _WEEKLY + _GAPS)
 
 
 def _nulls():
@@ -233,6 +242,23 @@ r AS (
          coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
   FROM cm)"""
 
+# the declared forest: its score, and what its splits are worth
+
+def _value(branch):
+    if len(branch) == 2:
+        return branch[0]
+    return (_value(branch[2]) * _weight(branch[2]) + _value(branch[3]) * _weight(branch[3])) / _weight(branch)
+
+
+def _splits(branch, tree):
+    """(tree, feature, weight and fraud share of the node and of both children) of every split, as rows of values."""
+    if len(branch) == 2:
+        return []
+    parts = [x for b in (branch, branch[2], branch[3]) for x in (float(_weight(b)), float(_value(b)))]
+    return [f"({tree}, '{branch[0]}', {', '.join(f'{x!r}::DOUBLE' for x in parts)})",
+            *_splits(branch[2], tree), *_splits(branch[3], tree)]
+
+
 # Shapley values by their definition: a feature outside the coalition follows both branches by weight
 _COALITIONS = range(1 << len(RULE_FEATURES))
 
@@ -251,6 +277,40 @@ def _expected(branch, coalition):
     return f"({_weight(low)}::DOUBLE * {a} + {_weight(high)}::DOUBLE * {b}) / {_weight(branch)}::DOUBLE"
 
 
+_ALL = (1 << len(RULE_FEATURES)) - 1
+_FOREST = _FEATURES + """,
+forest AS (
+  SELECT transaction_id, customer_id, category, "timestamp", amount, is_fraud,
+         (""" + " + ".join(f"({_expected(t, _ALL)})" for t in RULE_TREES) + f""") / {len(RULE_TREES)}.0::DOUBLE AS raw
+  FROM features),
+forest_flags AS (
+  SELECT * EXCLUDE (raw), round(raw, 4) AS fraud_score, CASE WHEN round(raw, 4) >= 0.4 THEN 1 ELSE 0 END AS flagged FROM forest)"""
+
+_IMPORTANCE = """
+splits(tree, feature, w, p, lw, lp, rw, rp) AS (VALUES
+  """ + ",\n  ".join(line for i, t in enumerate(RULE_TREES) for line in _splits(t, i)) + """),
+worth AS (
+  SELECT tree, feature, sum(w * p * (1 - p) - lw * lp * (1 - lp) - rw * rp * (1 - rp)) AS worth FROM splits GROUP BY tree, feature),
+shares AS (SELECT feature, sum(worth / whole) AS share FROM worth JOIN (SELECT tree, sum(worth) AS whole FROM worth GROUP BY tree) AS t
+           USING (tree) GROUP BY feature),
+importance AS (SELECT feature, share / (SELECT sum(share) FROM shares) AS importance FROM shares)"""
+
+_MODELS = _SCORED[len(_FEATURES):] + """,
+judged AS (
+  SELECT 'rule_norm' AS model, score, is_fraud FROM scored
+  UNION ALL SELECT 'rule_forest', fraud_score, is_fraud FROM forest_flags),
+cm AS (
+  SELECT model, count(*) FILTER (score < 0.5 AND is_fraud = 0) AS tn, count(*) FILTER (score >= 0.5 AND is_fraud = 0) AS fp,
+         count(*) FILTER (score < 0.5 AND is_fraud = 1) AS fn, count(*) FILTER (score >= 0.5 AND is_fraud = 1) AS tp
+  FROM judged GROUP BY model),
+model_scores AS (
+  SELECT model, score, sum(is_fraud) AS pos, count(*) - sum(is_fraud) AS neg FROM judged GROUP BY model, score),
+model_points AS (
+  SELECT model, score, pos, sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tp,
+         sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fp, sum(pos) OVER (PARTITION BY model) AS all_pos
+  FROM model_scores)"""
+
+
 def _shapley(i):
     # of three players: weight 1/3 for coalitions of none or both of the others, 1/6 for those of one
     gains = [f"(v{c | 1 << i} - v{c}) / {(3.0, 6.0, 3.0)[bin(c).count('1')]}::DOUBLE"
@@ -437,6 +497,65 @@ SELECT 2, 'other', NULL, round(sum(contribution), 8), max(base_value), count(*)
     "rule_importance_overlap": _q("""
 SELECT count(*) AS shared, 2 AS "of" FROM ranking JOIN fraud_ranking USING (feature)
 WHERE ranking.place <= 2 AND fraud_ranking.place <= 2""", _RULES),
+    "scan_transactions_csv": _q("SELECT * EXCLUDE (prev_ts) FROM transactions"),
+    "loaded_transactions": _q("SELECT * EXCLUDE (prev_ts) FROM transactions"),
+    "loaded_customers": _q("SELECT * FROM customers"),
+    "run_sql": _q("""
+SELECT home_city, count(*) AS txns, max(amount) AS largest FROM transactions JOIN customers USING (customer_id) GROUP BY home_city"""),
+    "flagged_csv": _q("""
+SELECT transaction_id, customer_id, category, amount, "timestamp", score AS fraud_score, true AS in_order
+FROM scored WHERE score >= 0.3""", _SCORED),
+    "metrics_json": _q("""
+SELECT round(coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0), 4) AS precision,
+       round(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0), 4) AS recall,
+       round(coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1, tn, fp, fn, tp FROM cm""", _CONFUSION),
+    "importances_json": _q("SELECT feature, round(mean_abs_contribution, 6) AS importance FROM ranking", _RULES),
+    "wide_features": f"""WITH {_WIDE} SELECT vec_id, 65 AS inputs,
+       round(list_sum([x::DOUBLE FOR x IN embedding]) + ln(1.0::DOUBLE + amount), 4) AS total FROM wide""",
+    "temporal_split_double_key": """
+WITH placed AS (SELECT event_id, value, row_number() OVER (ORDER BY value, event_id) - 1 AS place, count(*) OVER () AS n FROM events),
+split AS (SELECT *, CASE WHEN place < floor(n * 0.75::DOUBLE) THEN 'train' ELSE 'test' END AS part FROM placed)
+SELECT event_id AS transaction_id, value AS amount, part, min(value) FILTER (part = 'test') OVER () AS split_at FROM split""",
+    "training_weights": _q("""
+, classes AS (SELECT is_fraud, count(*) AS n FROM split WHERE part = 'train' GROUP BY is_fraud),
+few AS (SELECT * FROM classes ORDER BY n, is_fraud LIMIT 1),
+rates AS (
+  SELECT c.is_fraud, c.n, least(1.0::DOUBLE, CASE WHEN c.is_fraud = f.is_fraud THEN 1000.0::DOUBLE
+         ELSE 2000.0::DOUBLE - least(1000, f.n) END / c.n) AS rate FROM classes c, few f),
+drawn AS (
+  SELECT transaction_id, s.is_fraud, rates.n, rate, (SELECT sum(n) FROM classes) AS every,
+         ('0x' || substr(md5(epoch_us("timestamp") || '|' || transaction_id), 1, 15))::BIGINT / 1152921504606846976.0::DOUBLE AS u
+  FROM split s JOIN rates USING (is_fraud) WHERE part = 'train')
+SELECT transaction_id, is_fraud, round(every / (2.0::DOUBLE * n) / rate, 9) AS weight FROM drawn WHERE u < rate""", _FEATURES),
+    "rule_predict_proba": _q("SELECT transaction_id, round(raw, 9) AS fraud_score FROM forest", _FOREST),
+    "rule_score_transactions": _q("""
+SELECT transaction_id, customer_id, category, amount, "timestamp", fraud_score FROM forest_flags WHERE flagged = 1""", _FOREST),
+    "rule_flag_summary": _q("""
+SELECT scored, flagged, tp, fp, fn, round(flagged::DOUBLE / scored, 4) AS flagged_share,
+       round(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0), 3) AS recall,
+       round(coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0), 3) AS precision
+FROM (SELECT count(*) AS scored, CAST(sum(flagged) AS BIGINT) AS flagged,
+             count(*) FILTER (flagged = 1 AND is_fraud = 1) AS tp, count(*) FILTER (flagged = 1 AND is_fraud = 0) AS fp,
+             count(*) FILTER (flagged = 0 AND is_fraud = 1) AS fn FROM forest_flags) AS c""", _FOREST),
+    "rule_gini_importance": f"WITH {_IMPORTANCE} SELECT feature, round(importance, 9) AS importance FROM importance",
+    "rule_top_importances": f"WITH {_IMPORTANCE} SELECT feature FROM importance ORDER BY importance DESC, feature LIMIT 2",
+    "rule_model_comparison": _q("""
+SELECT model, round(coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0), 4) AS precision,
+       round(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0), 4) AS recall,
+       round(coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1, pr_auc, tn, fp, fn, tp
+FROM cm JOIN (SELECT model, round(sum(pos * tp::DOUBLE / (tp + fp)) / max(all_pos), 4) AS pr_auc FROM model_points GROUP BY model) AS a
+     USING (model)""", _FOREST + _MODELS),
+    "rule_model_reports": _q("""
+SELECT model, 'legit' AS class, round(p0, 4) AS precision, round(r0, 4) AS recall, round(f0, 4) AS f1, legit AS support FROM r
+UNION ALL SELECT model, 'fraud', round(p1, 4), round(r1, 4), round(f1, 4), fraud FROM r
+UNION ALL SELECT model, 'accuracy', NULL, NULL, round((tn + tp)::DOUBLE / every, 4), every FROM r
+UNION ALL SELECT model, 'macro avg', round((p0 + p1) / 2, 4), round((r0 + r1) / 2, 4), round((f0 + f1) / 2, 4), every FROM r
+UNION ALL SELECT model, 'weighted avg', round((p0 * legit + p1 * fraud) / every, 4),
+  round((r0 * legit + r1 * fraud) / every, 4), round((f0 * legit + f1 * fraud) / every, 4), every FROM r""",
+                             _FOREST + _MODELS + REPORT),
+    "rule_model_curves": _q("""
+SELECT model, score AS threshold, round(tp::DOUBLE / (tp + fp), 9) AS precision, round(tp::DOUBLE / all_pos, 9) AS recall
+FROM model_points UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0 FROM model_points""", _FOREST + _MODELS),
     "logistic_gradient": "SELECT unnest([" + ", ".join(
         f"'{f}'" for f in [*NUMERIC, *(f"category_{c}" for c in sorted(NAMES)), "intercept"])
         + "]) AS feature, 0.0::DOUBLE AS gradient",

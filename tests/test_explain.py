@@ -119,7 +119,7 @@ def test_explanation_of_the_test_rows(run, explanation):
 
 
 def test_points_show_raw_values(run, explanation):
-    points = explain.contribution_points(explanation.contributions, explanation.ranking, 3)
+    points = explanation.points(3)
     assert points.count() == 3 * explanation.sample.count()
     hours = points.filter("feature = 'hour_of_day'").join(explanation.sample.select("transaction_id", "hour_of_day"),
                                                           "transaction_id")
@@ -144,6 +144,47 @@ def test_rows_are_spread_by_their_number(spark, small, monkeypatch):
     assert rows(explain.tree_contributions(ready.limit(0), leaves, names), "transaction_id") == []
 
 
+def test_blocks_of_leaves_add_up_to_the_same(spark, small, monkeypatch):
+    """One block of all leaves and one a tree; the driver sees a block at a time."""
+    ready, names, forest = small
+    leaves = explain.leaf_paths(explain.forest_nodes(forest, spark))
+    sizes, original = [], explain._pack
+    monkeypatch.setattr(explain, "_pack", lambda part: sizes.append(len(part)) or original(part))
+    whole = rows(explain.contribution_vectors(ready, leaves, names), "transaction_id", "contributions", "base_value")
+    assert sizes == [leaves.count()]
+    parts = dict((r[0], r[1:]) for r in rows(explain.contribution_vectors(ready, leaves, names, block_bytes=1),
+                                             "transaction_id", "contributions", "base_value"))
+    assert len(sizes) == 1 + 5 and sum(sizes[1:]) == sizes[0] and len(parts) == len(whole)
+    for number, contributions, base in whole:
+        assert np.abs(np.array(parts[number][0]) - contributions).max() < 1e-12 and abs(parts[number][1] - base) < 1e-12
+
+
+def test_patterns_and_rows_give_the_same(monkeypatch):
+    """Leaves worked out per way to take a path equal those worked out per row."""
+    draw = np.random.default_rng(3)
+    for depth in (1, 3, 6):
+        feature = np.array([draw.choice(7, depth, replace=False) for _ in range(40)])
+        low = draw.normal(size=(40, depth)) - 1
+        leaves = (draw.normal(size=40), feature, low, low + draw.exponential(size=(40, depth)), draw.uniform(0.1, 0.9, (40, depth)))
+        x = draw.normal(size=(200, 7))
+        whole, apart = np.zeros((200, 7)), np.zeros((200, 7))
+        explain._add_leaves(whole, x, *leaves)
+        monkeypatch.setattr(explain, "CELLS", 50)
+        for i in range(200):
+            explain._add_leaves(apart[i:i + 1], x[i:i + 1], *leaves)
+        monkeypatch.undo()
+        assert np.abs(whole - apart).max() < 1e-12
+
+
+def test_means_are_taken_of_the_vectors(spark, explanation):
+    """No row per feature is made on the way to the mean."""
+    means = explain.mean_abs_contribution(explanation.vectors, explanation.names)
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") > plan.index("Generate") and plan.count("Aggregate") == 1
+    slow = explanation.contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("m"))
+    assert means.join(slow, "feature").agg(F.max(F.abs(F.col("m") - F.col("mean_abs_contribution")))).first()[0] < 1e-12
+
+
 def test_breakdown_adds_up(spark, run, explanation):
     one = explaining.explain_top_fraud(run, explanation.leaves)
     lines = explain.decision_breakdown(one, 5).collect()

@@ -1,12 +1,15 @@
 import json
+import subprocess
+import sys
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from chargelens.operators import evaluation, features, models, scoring
+from chargelens.operators import evaluation, explain, features, forest, models, scoring
 from chargelens.plans import scoring as job
 from chargelens.plans import training
 from chargelens.schemas import FEATURES_NUM
@@ -29,7 +32,7 @@ def txns(spark):
 
 @pytest.fixture(scope="module")
 def run(txns, customers):
-    return training.train_cards(txns, customers, trees=20)
+    return training.train_cards(txns, customers)
 
 
 @pytest.fixture(scope="module")
@@ -88,8 +91,110 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "is_fraud int")
     weights = features.class_weights(df).collect()
     assert {(r["is_fraud"], r["n"], r["weight"]) for r in weights} == {(0, 6, 8 / 12), (1, 2, 2.0)}
-    total = df.agg(F.sum(features.weight_column(weights))).first()[0]
-    assert total == pytest.approx(8)
+    balanced = features.balanced_weights({r["is_fraud"]: r["n"] for r in weights})
+    assert balanced == {0: 8 / 12, 1: 2.0}
+    assert df.agg(F.sum(features.weight_column(balanced))).first()[0] == pytest.approx(8)
+
+
+def test_statistics_of_one_pass(spark):
+    df = spark.range(1, 1001).select((F.col("id") % 7 == 0).cast("int").alias("y"), (F.col("id") * 1e9 + F.col("id") % 13).alias("a"),
+                                     F.lit(3).alias("b"), F.format_string("c%d", F.col("id") % 4).alias("c"))
+    classes, scaling, values = features.training_statistics(df, "y", ["a", "b"], "c")
+    plain = df.agg(F.avg("a"), F.stddev_pop("a")).first()
+    assert classes == {0: 858, 1: 142} and values == ["c0", "c1", "c2", "c3"]
+    assert scaling["a"] == (pytest.approx(plain[0]), pytest.approx(plain[1])) and scaling["b"] == (3.0, 1.0)
+    assert features.training_statistics(df.limit(0), "y", ["a"], "c") == ({}, {"a": (0.0, 1.0)}, [])
+
+
+def test_draw(spark):
+    assert features.draw_rates({0: 100, 1: 10}, 200) == {0: 1.0, 1: 1.0}
+    assert features.draw_rates({0: 1000, 1: 10}, 110) == {0: 0.1, 1: 1.0}
+    assert features.draw_rates({0: 1000, 1: 500}, 300) == {0: 0.15, 1: 0.3}
+    df = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 50 == 0).cast("int").alias("y"))
+    drawn = features.balanced_draw(df, "y", {0: 19_600, 1: 400}, ["k"], 2_400)
+    assert drawn.filter("y = 1").count() == 400 and abs(drawn.count() - 2_400) < 250
+    sums = {r["y"]: r["w"] for r in drawn.groupBy("y").agg(F.sum("weight").alias("w")).collect()}
+    assert sums[1] == pytest.approx(10_000) and abs(sums[0] - 10_000) < 800
+    again = features.balanced_draw(df.repartition(9), "y", {0: 19_600, 1: 400}, ["k"], 2_400)
+    assert again.exceptAll(drawn).count() == 0
+    whole = features.balanced_draw(df, "y", {0: 19_600, 1: 400}, ["k"], 20_000)
+    assert whole.count() == 20_000
+
+
+def test_a_bounded_fit_learns_as_well(txns, customers):
+    run = training.train_cards(txns, customers, trees=20, fit_rows=1_500)
+    assert run.fitted().count() < 1_700 and run.train_rows == 7_500
+    best = {r["model"]: r for r in training.model_comparison(run).collect()}[models.FOREST]
+    assert best["recall"] > 0.85 and best["pr_auc"] > 0.85
+    assert training.logistic_gradient(run).agg(F.max("gradient")).first()[0] < 1e-3
+
+
+def test_partitions_follow_the_rows():
+    assert [training.fit_partitions(n) for n in (0, 1, 5_000, 5_001, 75_000, 10**9)] == [1, 1, 1, 2, 15, 256]
+
+
+CORES = """
+import sys
+from chargelens.session import local_session
+from chargelens.plans import training
+from chargelens.sources import driver_views
+spark = local_session(sys.argv[1])
+run = training.train_cards(driver_views.transactions(spark, sys.argv[2], gaps=True), driver_views.customer_spend(spark, sys.argv[2]),
+                           trees=2, fit_rows=600)
+print("MODEL", run.forest.totalNumNodes, [repr(float(x)) for x in run.forest.featureImportances.toArray()],
+      [round(float(x), 6) for x in run.logistic.coefficients])
+"""
+
+
+def test_the_same_model_on_two_and_eight_cores():
+    root = str(Path(__file__).resolve().parent.parent)
+    found = [subprocess.run([sys.executable, "-c", CORES, cores, SF.replace("0.01", "0.001")], cwd=root, capture_output=True, text=True, timeout=600).stdout
+             for cores in ("2", "8")]
+    assert "MODEL" in found[0] and found[0] == found[1]
+
+
+def test_importances_equal_those_of_the_solver(run, spark):
+    ours = {r["feature"]: r["importance"] for r in
+            models.gini_importance(explain.forest_nodes(run.forest, spark), run.feature_names).collect()}
+    theirs = dict(zip(run.feature_names, run.forest.featureImportances.toArray()))
+    assert ours.keys() == theirs.keys()
+    assert max(abs(ours[f] - theirs[f]) for f in ours) < 1e-6
+
+
+def test_a_compiled_forest_scores_like_the_solver(spark, txns, customers):
+    run = training.train_cards(txns, customers, trees=3, fit_rows=700)
+    nodes = explain.forest_nodes(run.forest, spark)
+    inputs = forest.pipeline_inputs(run.inputs, run.layout.numeric, run.layout.categorical)
+    assert nodes.filter("categories > 0").count() > 0 and len(inputs) == len(run.feature_names)
+    score = forest.compiled(nodes, inputs)
+    ours = run.test.withColumn("ours", score)
+    assert "Python" not in ours._jdf.queryExecution().toString()
+    worst = ours.join(run.scored, "transaction_id").agg(F.max(F.abs(F.col("ours") - F.col(models.FOREST)))).first()[0]
+    assert worst == 0.0
+    assert forest.compiled(nodes, inputs, most=5) is None
+    job_scores = job.apply_model(run.test, training.to_artifact(run))
+    assert job_scores.join(run.scored, "transaction_id").filter(
+        F.col("fraud_score") != F.round(models.FOREST, 4)).count() == 0
+
+
+def test_ties_of_the_decision(spark):
+    df = spark.createDataFrame([(0.5,), (0.6,)], "score double")
+    assert rows(evaluation.predict_label(df), "predicted") == [(1,), (1,)]
+    assert rows(evaluation.predict_label(df, ties=0), "predicted") == [(0,), (1,)]
+
+
+def test_models_are_judged_from_one_scan(run):
+    """Comparison, reports and curves of all models read the counts, not the scores."""
+    for frame in (training.model_comparison(run), training.model_reports(run), training.pr_curves(run)):
+        plan = frame._jdf.queryExecution().toString()
+        assert models.FOREST + "#" not in plan
+    for name in training.MODELS:
+        alone = evaluation.binary_metrics(run.scores(name)).first()
+        both = training.model_comparison(run).filter(F.col("model") == name).first()
+        assert [alone[c] for c in ("precision", "recall", "f1", "tn", "fp", "fn", "tp")] == [
+            both[c] for c in ("precision", "recall", "f1", "tn", "fp", "fn", "tp")]
+        assert both["pr_auc"] == evaluation.average_precision(run.scores(name)).first()[0]
+        assert training.pr_curves(run).filter(F.col("model") == name).count() == evaluation.pr_curve(run.scores(name)).count()
 
 
 def test_unknown_category_has_no_slot(spark):
