@@ -53,8 +53,8 @@ def _grams(points, starts, size):
 def train(df, text="text", label="lang", key="doc_id", rows=TRAIN_ROWS):
     """Model from the rows of `df` with a text and a label, or None if there are none.
 
-    At most about `rows` rows of each label are used, drawn by a hash of `key`; this bounds the
-    fit, nothing else. The counts are summed by Spark per (label, bucket): that many numbers, not
+    At most about `rows` rows of each label are used, drawn by a hash of `key` and text, so that rows
+    which share a key are not drawn as one; this bounds the fit, nothing else. The counts are summed by Spark per (label, bucket): that many numbers, not
     the rows, reach the driver. The labels are the languages, so they are taken to be few.
     """
     known = df.filter(column(text).isNotNull() & column(label).isNotNull()).select(
@@ -62,7 +62,7 @@ def train(df, text="text", label="lang", key="doc_id", rows=TRAIN_ROWS):
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if not sizes:
         return None
-    draw = F.pmod(F.xxhash64(F.coalesce("key", F.lit("")), F.lit("train")), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64(F.coalesce("key", F.lit("")), "text", F.lit("train")), F.lit(1_000_000))
     share = F.coalesce(*[F.when(F.col("label") == lang, F.lit(int(1_000_000 * min(1.0, rows / n))))
                          for lang, n in sizes.items()])
     known = known.filter(draw < share)

@@ -20,13 +20,16 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Class of a candidate by the characters it holds: bits per character that a window must reach.
 THRESHOLDS = {"entropy_hex": 3.0, "entropy_alnum": 3.6, "entropy_base64": 3.8}
+LONGEST_WORD = 32        # letters; a longer stretch of one case is judged by its entropy
 ALLOWED = (
     re.compile(r"[0-9=_/+-]+"),                                                     # numbers, rules
-    re.compile(r"[A-Z]?[a-z]+"),                                                    # a long word
-    re.compile(r"[A-Z]+"),
+    re.compile(rf"[A-Z]?[a-z]{{1,{LONGEST_WORD}}}"),                                # a long word
+    re.compile(rf"[A-Z]{{1,{LONGEST_WORD}}}"),
     re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"),   # UUID
-    re.compile(r"[/_=-]*(?:(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+|[0-9]{1,4})(?:[/_=-]+|$))*"),    # path, slug
+    re.compile(rf"[/_=-]*(?:(?:[A-Z]?[a-z]{{1,{LONGEST_WORD}}}[0-9]{{0,4}}|[A-Z]{{1,{LONGEST_WORD}}}|[0-9]{{1,4}})"
+               r"(?:[/_=-]+|$))*"),                                                 # path, slug
 )
+SINGLE_CASE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 MASS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]     # n * log2(n)
 
 
@@ -82,6 +85,19 @@ def _merged(spans):
     return merged
 
 
+def _free(start, end, taken, starts):
+    """The parts of a stretch that no known span covers; `starts` are those of the disjoint spans `taken`."""
+    at = max(bisect_left(starts, start + 1) - 1, 0)
+    while at < len(taken) and taken[at][0] < end:
+        if taken[at][1] > start:
+            if taken[at][0] > start:
+                yield start, taken[at][0]
+            start = taken[at][1]
+        at += 1
+    if start < end:
+        yield start, end
+
+
 def scan_text(text):
     """Spans of one text as (start, kind number, end), sorted by start, then kind."""
     found = known_spans(text)
@@ -95,11 +111,19 @@ def scan_text(text):
         if any(rule.fullmatch(word) for rule in ALLOWED):
             continue
         kind = _class_of(word)
+        least = LONGEST_WORD + 1 if SINGLE_CASE.fullmatch(word) else WINDOW
         for start, end in entropy_spans(word, THRESHOLDS[kind]):
-            start, end = start + m.start(), end + m.start()
-            before = bisect_left(starts, end) - 1        # last known span that begins before the end
-            if before < 0 or taken[before][1] <= start:
-                found.append((start, KINDS.index(kind), end))
+            if end - start < least:     # a compound word is dense in places
+                continue
+            for low, high in _free(start + m.start(), end + m.start(), taken, starts):
+                if (low, high) == (start + m.start(), end + m.start()):
+                    found.append((low, KINDS.index(kind), high))
+                    continue
+                rest = text[low:high]       # what a known shape leaves of a stretch must stand by itself
+                if any(rule.fullmatch(rest) for rule in ALLOWED):
+                    continue
+                kind_of_rest = _class_of(rest)
+                found += [(s + low, KINDS.index(kind_of_rest), e + low) for s, e in entropy_spans(rest, THRESHOLDS[kind_of_rest])]
     return sorted(found)
 
 
@@ -108,8 +132,9 @@ def scan(df, text="text", carry=None):
 
     Spans are in code points, end exclusive. Known shapes are always reported. Entropy spans come
     from candidate strings of 20 characters or more; candidates that an allow-list pattern matches
-    whole (words, numbers, paths, slugs, UUIDs) and stretches that overlap a known shape are
-    suppressed. Texts are read whole, a null text is empty. Repeated rows are scanned alike.
+    whole (words, numbers, paths, slugs, UUIDs) are suppressed, words up to LONGEST_WORD letters. What a
+    known shape covers is cut out of a stretch; the rest is reported if it has the entropy by itself.
+    An empty table gives an empty one. Texts are read whole, a null text is empty. Repeated rows are scanned alike.
     """
     def run(texts):
         rows = []

@@ -7,9 +7,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import column, materialize, neutral, per_text, pieces
+from .common import column, materialize, neutral, per_text, pieces, small
 
 TRAIN_ROWS = 30_000          # about as many labelled rows are learned from, at most
+MARKS_ROWS = 1_000_000       # labels up to so many are broadcast; more are joined by shuffle, with the drawn rows only
 PRIOR_SHARE = 0.05           # weight of the Dirichlet prior, as a share of all counts
 LEAST_Z = 4.0                # tokens below keep no score of their own
 MOST_TOKENS = 200_000        # tokens of the fitted model, those with the highest |z|
@@ -116,18 +117,19 @@ def fit(docs, labels, rows=TRAIN_ROWS):
     """Model from the labelled documents, or None unless both labels occur.
 
     `docs` has doc_id and text, `labels` doc_id and toxic (0 or 1; null rows are left out, of
-    several labels of a document the highest counts). About `rows` labelled rows, drawn by a hash of
-    doc_id, are used at most: this bounds the fit and with it the broadcast of their ids. Equal
-    texts count once, so a group of copies carries one vote. Spark counts the texts that hold a token;
-    tokens with a clear log-odds reach the driver, at most MOST_TOKENS.
+    several labels of a document the highest counts). About `rows` labelled rows are used at most,
+    however many rows share an id: the labelled rows are counted, and drawn by a hash of doc_id and
+    text. Equal texts count once, so a group of copies carries one vote. Spark counts the texts that
+    hold a token; tokens with a clear log-odds reach the driver, at most MOST_TOKENS.
     """
     marks = materialize(labels.filter(column("doc_id").isNotNull() & column("toxic").isNotNull())
                         .groupBy(column("doc_id").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
-    share = min(1.0, rows / max(marks.count(), 1))
-    drawn = marks.filter(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) < int(1_000_000 * share))
+    marks = small(marks, MARKS_ROWS)
+    named = docs.select(column("doc_id").alias("doc_id"), column("text").cast("binary").alias("text")).filter(F.col("text").isNotNull())
+    share = min(1.0, rows / max(named.select("doc_id").join(marks, "doc_id").count(), 1))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1_000_000)) < int(1_000_000 * share)
     rows_of = materialize(
-        docs.select(column("doc_id").alias("doc_id"), column("text").cast("binary").alias("text"))
-        .filter(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id")
+        named.filter(draw).join(marks, "doc_id")
         .groupBy(F.sha2("text", 256).alias("_same")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
         .select("toxic", "text"))
     if rows_of.select("toxic").distinct().count() < 2:
