@@ -21,8 +21,23 @@ def shared_dir(spark):
     return folder
 
 
+def job_dir(spark):
+    """The folder of this application in the shared folder."""
+    return f"{shared_dir(spark)}/chargelens/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark, kind="tables"):
-    return f"{shared_dir(spark)}/chargelens-{kind}/{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
+def clear(spark):
+    """Remove what this application has written to the shared folder; frames made of it are gone then.
+
+    For the end of a job, when its results are written elsewhere.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(job_dir(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialize(df):

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +89,10 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("age,home_city,customer_id,avg_monthly_spend\n60,Oslo,2,20.5\n")
     with pytest.raises(Exception, match="(?i)header"):
         tables.scan_customers(spark, str(tmp_path), "csv").collect()
+
+
+def test_what_a_job_wrote_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(storage, "job_dir", lambda s: f"{storage.shared_dir(s)}/chargelens/one-job")
+    frame = storage.materialize(spark.range(5))
+    assert frame.count() == 5 and storage.clear(spark)
+    assert not Path(storage.job_dir(spark).removeprefix("file:")).exists()
