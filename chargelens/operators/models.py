@@ -5,7 +5,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ratio_or_zero
@@ -111,11 +111,11 @@ def gini_importance(nodes, names):
     each = worth.groupBy("tree", "feature").agg(F.sum("worth").alias("worth"))
     whole = each.groupBy("tree").agg(F.sum("worth").alias("whole"))
     shares = (each.join(whole, "tree").groupBy("feature").agg(F.sum(ratio_or_zero(F.col("worth"), F.col("whole"))).alias("share")))
-    total = shares.agg(F.sum("share").alias("total"))                  # at most one row a feature from here on
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)     # at most one row a feature
+    shares = shares.withColumn("importance", ratio_or_zero(F.col("share"), F.sum("share").over(everything)))
     listed = spark.createDataFrame(list(enumerate(names)), "number int, name string")
-    return (listed.join(shares, listed["number"] == shares["feature"], "left").join(F.broadcast(total))
-            .select(F.col("name").alias("feature"),
-                    F.coalesce(ratio_or_zero(F.col("share"), F.col("total")), F.lit(0.0)).alias("importance"))
+    return (listed.join(shares, listed["number"] == shares["feature"], "left")
+            .select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
             .orderBy(F.desc("importance"), "feature"))
 
 

@@ -75,3 +75,15 @@ def test_bytes_are_counted_before_a_broadcast(spark, fact):
     assert 40_000 < skew.counted_bytes(wide) < 45_000 and skew.counted_bytes(wide.limit(0)) == 0
     assert "broadcast" in skew.sized(wide)._jdf.queryExecution().toString()
     assert "broadcast" not in skew.sized(wide, 40_000)._jdf.queryExecution().logical().toString()
+
+
+def test_a_dimension_is_counted_once(spark, fact, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(40).select(F.col("id").alias("customer_id"), F.lit("abc").alias("spend")).write.parquet(path)
+    read = lambda: spark.read.parquet(path)
+    first = len(skew._counted)
+    sizes = [skew.counted_bytes(read()), skew.counted_bytes(read())]
+    assert len(skew._counted) == first + 1 and sizes[0] == sizes[1]
+    assert skew.counted_bytes(read().filter("customer_id < 5")) < sizes[0] and len(skew._counted) == first + 2
+    spark.range(400).select(F.col("id").alias("customer_id"), F.lit("abc").alias("spend")).write.mode("overwrite").parquet(path)
+    assert skew.counted_bytes(read()) > 5 * sizes[0]        # other files, counted anew

@@ -68,6 +68,15 @@ def test_suite(spark, loaded, tmp_path):
     assert {r["query_no"]: r["n_rows"] for r in suite.suite_overview(loaded).collect()}[8] == 20
 
 
+def test_wide_csv_with_other_order_keys(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text("Time,V1,Amount,Class\n2.5,0.5,10,0\n1e-3,0.25,20,1\n")
+    df, _ = tables.scan_wide(spark, str(tmp_path / "wide.csv"), "Time", "Class", "csv", "double")
+    assert [r["Time"] for r in df.orderBy("Time").collect()] == [0.001, 2.5]
+    (tmp_path / "zoned.csv").write_text("Time,V1,Class\n2020-01-01T00:00:00+02:00,1,0\n2019-12-31T23:00:00Z,1,1\n")
+    df, _ = tables.scan_wide(spark, str(tmp_path / "zoned.csv"), "Time", "Class", "csv", "timestamp")
+    assert [r["Class"] for r in df.orderBy("Time").collect()] == [0, 1]
+
+
 def test_wide_csv(spark, tmp_path):
     (tmp_path / "wide.csv").write_text("Time,V1,Amount,Class\n2,0.5,10,0\n1,0.25,20,1\n")
     df, source = tables.scan_wide(spark, str(tmp_path / "wide.csv"), "Time", "Class", "csv")
