@@ -176,6 +176,59 @@ def test_patterns_and_rows_give_the_same(monkeypatch):
         assert np.abs(whole - apart).max() < 1e-12
 
 
+def drawn_leaves(draw, cuts, depth, features=6):
+    """The leaves of a tree of random splits, neighbours side by side."""
+    import pandas as pd
+    out, todo = [], [({}, 0)]
+    while todo:
+        path, level = todo.pop()
+        f = int(draw.integers(features))
+        low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+        inside = [c for c in cuts if low < c < high]
+        if level == depth or not inside:
+            out.append((0, float(draw.normal()), list(path), *[[p[i] for p in path.values()] for i in range(3)]))
+            continue
+        cut, part = float(draw.choice(inside)), float(draw.uniform(0.1, 0.9))
+        todo += [({**path, f: (cut, high, share * (1 - part))}, level + 1), ({**path, f: (low, cut, share * part)}, level + 1)]
+    return pd.DataFrame(out, columns=["tree", "value", "features", "low", "high", "share"]).assign(block=0)
+
+
+@pytest.mark.parametrize("table", [4_096, 16, 1])
+def test_tables_of_leaves_give_the_same(spark, monkeypatch, table):
+    """Rows looked up in tables equal rows worked out leaf by leaf: on cuts, beyond all of them, without a number."""
+    draw = np.random.default_rng(7)
+    leaves = drawn_leaves(draw, [-1.0, -0.5, 0.0, 0.25, 0.5, 1.0], 7)
+    monkeypatch.setattr(explain, "TABLE", table)
+    schema = f"{explain.LEAF_SCHEMA}, block bigint"
+    found = explain.bunched(spark.createDataFrame(leaves, schema).coalesce(1)).toPandas()
+    assert len(found) == len(leaves)
+    if table == 4_096:      # many leaves a table, that is the saving
+        assert found["bunch"].min() == 0 and found["bunch"].nunique() < len(leaves) / 5
+    if table == 1:          # each path is too long
+        assert set(found["bunch"]) == {-1}
+    x = draw.choice([-9.0, -1.0, -0.7, -0.5, 0.0, 0.1, 0.25, 0.3, 0.5, 1.0, 1.1, np.nan], size=(3_000, 6))
+    plain = np.zeros(x.shape)
+    for group in explain._pack(leaves.assign(bunch=-1)):
+        explain._add_leaves(plain, x, *group[1:])
+    packed, mixed = explain._pack(found), np.zeros(x.shape)
+    for bunch, *columns in packed:
+        explain._add_leaves(mixed, x, *[c[:np.searchsorted(bunch, 0)] for c in columns])
+    mixed += explain._tabled(x, packed, 6).T
+    assert np.abs(plain).max() > 0.1 and np.abs(mixed - plain).max() < 1e-12
+
+
+def test_tables_and_single_leaves_agree_in_a_job(spark, small, monkeypatch):
+    """Many rows a task take the tables, few do not."""
+    ready, names, forest = small
+    leaves = explain.leaf_paths(explain.forest_nodes(forest, spark))
+    plain = dict(rows(explain.contribution_vectors(ready, leaves, names), "transaction_id", "contributions"))
+    monkeypatch.setattr(explain, "TABLED_ROWS", 1)
+    for block_bytes in (None, 1):
+        tabled = rows(explain.contribution_vectors(ready, leaves, names, block_bytes=block_bytes), "transaction_id", "contributions")
+        assert len(tabled) == len(plain)
+        assert all(np.abs(np.array(c) - plain[i]).max() < 1e-12 for i, c in tabled)
+
+
 def test_means_are_taken_of_the_vectors(spark, explanation):
     """No row per feature is made on the way to the mean."""
     means = explain.mean_abs_contribution(explanation.vectors, explanation.names)
