@@ -6,7 +6,8 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from chargelens.operators import evaluation, explain, features, forest, models, scoring
@@ -133,6 +134,28 @@ def test_partitions_follow_the_rows():
     assert [training.fit_partitions(n) for n in (0, 1, 5_000, 5_001, 75_000, 10**9)] == [1, 1, 1, 2, 15, 256]
 
 
+def test_partitions_do_not_grow_faster_than_their_work():
+    """A partition beyond the first 24 holds 100,000 rows, so that counts of nodes are a small part of what it does."""
+    found = [training.fit_partitions(n) for n in (120_000, 450_000, 2_400_000, 4_500_000, 20_000_000)]
+    assert found == [24, 24, 24, 45, 200]
+
+
+def test_kept_nodes_give_the_same_forest(spark):
+    """Rows remember their nodes; trees equal those of a solver that walks them for each level."""
+    df = spark.range(2_000).select(
+        F.array(*[(F.col("id") * k % 101).cast("double") for k in (37, 53, 71)]).alias("x"), F.lit(1.0).alias("weight"),
+        (F.col("id") * 37 % 101 + F.col("id") * 53 % 101 > 110).cast("double").alias("label"))
+    ready = df.select(array_to_vector("x").alias("features"), "weight", "label").repartition(3, "features").persist()
+    forest = models.fit_forest(ready, "label", trees=6)
+    assert forest.getCacheNodeIds()
+    walked = RandomForestRegressor(
+        featuresCol="features", labelCol="label", weightCol="weight", numTrees=6, maxDepth=10, minInstancesPerNode=5,
+        featureSubsetStrategy="sqrt", maxBins=128, maxMemoryInMB=1024, seed=42).fit(ready)
+    ready.unpersist()
+    assert forest.totalNumNodes > 100
+    assert [t.toDebugString.split("\n")[1:] for t in forest.trees] == [t.toDebugString.split("\n")[1:] for t in walked.trees]
+
+
 CORES = """
 import sys
 from chargelens.session import local_session
