@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, spark__sql__shuffle__partitions=4)
+    # plans are searched for paths, which are cut at 100 characters otherwise
+    session = local_session(8, spark__sql__shuffle__partitions=4, spark__sql__maxMetadataStringLength=1000)
     yield session
     session.stop()
 
