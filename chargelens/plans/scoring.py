@@ -11,7 +11,7 @@ from ..storage import materialize
 def apply_model(frame, artifact):
     """Add fraud_score to 4 places and the 0/1 flag to a feature frame.
 
-    A forest of few nodes is scored by generated code, a larger one by the saved pipeline.
+    A forest of few nodes is scored by generated code, a larger one by the saved inputs and a walk of its node tables.
     """
     frame = models.require_inputs(frame, [*artifact.features_num, *artifact.features_cat])
     categorical = artifact.features_cat[0] if artifact.features_cat else None
@@ -19,7 +19,10 @@ def apply_model(frame, artifact):
     if artifact.forest.totalNumNodes <= forest.EXPRESSION_NODES:
         inputs = forest.pipeline_inputs(artifact.inputs, artifact.features_num, categorical)
         score = forest.compiled(explain.forest_nodes(artifact.forest, frame.sparkSession), inputs)
-    scored = artifact.pipeline.transform(frame) if score is None else frame.withColumn("_forest_score", score)
+    if score is None:
+        scored = models.with_forest_score(artifact.inputs.transform(frame), artifact.forest)
+    else:
+        scored = frame.withColumn("_forest_score", score)
     return scoring.flag(scored.withColumn("fraud_score", F.round(F.col("_forest_score"), 4)).select(*frame.columns, "fraud_score"),
                         artifact.threshold)
 

@@ -200,6 +200,33 @@ def test_a_compiled_forest_scores_like_the_solver(spark, txns, customers):
         F.col("fraud_score") != F.round(models.FOREST, 4)).count() == 0
 
 
+def test_a_large_forest_is_scored_by_batches_like_the_solver(spark, run):
+    """Training and the scoring job walk node tables; the scores equal the solver's, bit for bit."""
+    assert run.forest.totalNumNodes > forest.EXPRESSION_NODES
+    ready = run.inputs.transform(run.test)
+    ours = models.with_forest_score(ready, run.forest)
+    assert "walk(" in ours._jdf.queryExecution().toString()
+    assert "walk(" in job.apply_model(run.test, training.to_artifact(run))._jdf.queryExecution().toString()
+    both = run.forest.transform(ours.withColumnRenamed("_forest_score", "walked"))
+    assert both.filter("walked = _forest_score").count() == both.count() == 2500
+    kept = run.scored.join(both.select("transaction_id", "walked"), "transaction_id")
+    assert kept.filter(F.col("walked") == F.col(models.FOREST)).count() == 2500
+
+
+def test_walk_of_odd_trees_and_rows(spark):
+    """Cuts are met by equal values, a NaN goes up, a 0/1 slot may go either way, a bare root has one value, no rows no scores."""
+    nodes = spark.createDataFrame([
+        (0, 0, 0.5, 4.0, 1, 2, 0, [1.0], -1), (0, 1, 0.1, 2.0, -1, -1, -1, [], -1), (0, 2, 0.2, 2.0, 3, 4, 1, [1.0], 2),
+        (0, 3, 0.3, 1.0, -1, -1, -1, [], -1), (0, 4, 0.4, 1.0, -1, -1, -1, [], -1), (1, 0, 0.7, 4.0, -1, -1, -1, [], -1)],
+        "tree int, id int, value double, cover double, left int, right int, feature int, split array<double>, categories int")
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.5, 1.0]), (3, [1.5, 0.0]), (4, [float("nan"), 1.0])], "id int, x array<double>")
+    df = df.repartition(7).select("id", array_to_vector("x").alias("features"))     # some tasks are empty
+    found = {r["id"]: r["s"] for r in df.select("id", forest.walked(nodes).alias("s")).collect()}
+    assert found == {1: (0.1 + 0.7) / 2, 2: (0.3 + 0.7) / 2, 3: (0.4 + 0.7) / 2, 4: (0.3 + 0.7) / 2}
+    assert df.limit(0).select(forest.walked(nodes).alias("s")).count() == 0
+    assert forest.walked(nodes.withColumn("categories", F.lit(3))) is None
+
+
 def test_ties_of_the_decision(spark):
     df = spark.createDataFrame([(0.5,), (0.6,)], "score double")
     assert rows(evaluation.predict_label(df), "predicted") == [(1,), (1,)]
