@@ -156,6 +156,13 @@ def test_kept_nodes_give_the_same_forest(spark):
     assert [t.toDebugString.split("\n")[1:] for t in forest.trees] == [t.toDebugString.split("\n")[1:] for t in walked.trees]
 
 
+def test_kept_nodes_are_not_written_down(spark):
+    """The fit leaves the checkpoint folder alone; a checkpoint would hold 4 bytes a training row and tree."""
+    df = spark.range(200).select(array_to_vector(F.array(F.col("id") * 37.0 % 101)).alias("features"),
+                                 F.lit(1.0).alias("weight"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    assert models.fit_forest(df, "label", trees=2).getCheckpointInterval() == -1
+
+
 CORES = """
 import sys
 from chargelens.session import local_session
