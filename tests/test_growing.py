@@ -1,6 +1,7 @@
 """The forest grown from counts against the solver's and by definition."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import RandomForestRegressor
@@ -85,7 +86,7 @@ def test_a_grown_forest_is_a_model_like_others(spark, ready, grown):
 
 def test_a_grown_forest_does_not_depend_on_tasks(spark, ready, grown, monkeypatch):
     found = []
-    for task_bytes, shuffled in ((64 << 20, "4"), (1, "1")):
+    for task_bytes, shuffled in ((32 << 20, "4"), (1, "1")):
         monkeypatch.setattr(growing, "TASK_BYTES", task_bytes)
         spark.conf.set("spark.sql.shuffle.partitions", shuffled)
         try:
@@ -118,6 +119,24 @@ def test_many_rows_are_grown_and_few_are_not(spark, monkeypatch):
     assert asked
 
 
+def test_blocks_are_filled_whatever_the_batches():
+    """A block has as many rows as it may, so that its draws do not depend on how rows arrive."""
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([[float(i), 0.0] for i in rows]), pa.array([i % 2 for i in rows], pa.int32())], names=["x", "kind"])
+
+    found = [[growing._batches(iter(parts), width)] for parts, width in (
+        ([batch(range(0, 7)), batch([]), batch(range(7, 70_000))], 2), ([batch(range(0, 66_000)), batch(range(66_000, 70_000))], 2))]
+    sizes = [[(len(x), x[0, 0], kind.sum()) for x, kind in blocks] for (blocks,) in found]
+    assert sizes[0] == sizes[1] == [(65_536, 0.0, 32_768), (4_464, 65_536.0, 2_232)]
+
+
+def test_null_labels_are_left_to_the_solver(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (None, 1.0)], "label double, weight double")
+    assert growing.kinds_of(df, "label", "weight") is None
+    many = spark.range(20).select(F.col("id").cast("double").alias("weight"), F.lit(1.0).alias("label"))
+    assert growing.kinds_of(many, "label", "weight") is None
+
+
 def test_between():
     assert growing.between(np.array([1.0, 2.0, 4.0]), np.array([5, 1, 9]), 3).tolist() == [1.5, 3.0]
     assert growing.between(np.array([3.0]), np.array([5]), 3).tolist() == []
